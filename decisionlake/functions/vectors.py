@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -45,21 +45,14 @@ def finite(value: Column) -> Column:
 
 def argmax(values: Sequence[str | Column]) -> Column:
     """Zero-based position of the largest entry; the first one wins a tie."""
+    # Each entry is named twice only: nested choices stay small after inlining.
     cols = as_columns(values)
-    top = F.greatest(*cols)
-    out = F.lit(len(cols) - 1)
-    for i in range(len(cols) - 2, -1, -1):
-        out = F.when(cols[i] == top, F.lit(i)).otherwise(out)
-    return F.when(top.isNotNull(), out)
+    return (F.array_position(F.array(*cols), F.greatest(*cols)) - 1).cast("int")
 
 
 def pick(values: Sequence[str | Column], index: Column) -> Column:
-    """The entry at a zero-based position."""
-    cols = as_columns(values)
-    out = F.lit(None).cast("double")
-    for i in range(len(cols) - 1, -1, -1):
-        out = F.when(index == F.lit(i), cols[i]).otherwise(out)
-    return out
+    """The entry at a zero-based position; NULL for a NULL position."""
+    return F.get(F.array(*as_columns(values)), index)
 
 
 def action_index(action: str | Column, actions: Sequence[str]) -> Column:
@@ -93,3 +86,14 @@ def valid_probabilities(values: Sequence[str | Column], tolerance: float) -> Col
     cols = as_columns(values)
     ok = reduce(lambda a, b: a & b, [finite(c) & (c >= 0) for c in cols])
     return F.coalesce(ok & (F.abs(total(cols) - 1.0) <= F.lit(tolerance)), F.lit(False))
+
+
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add columns that later predicates and projections read instead of repeating.
+
+    The optimizer inlines plain columns into every use, which multiplies nested choices
+    past what code generation accepts; it does not inline the output of a generator.
+    """
+    return df.select(
+        "*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()])))
+    )

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from decisionlake.functions.vectors import (
-    action_index, action_name, argmax, below, count_if, pick, rate, total,
+    action_index, action_name, argmax, below, computed_once, count_if, pick, rate, total,
 )
 from decisionlake.operators.metrics import quantile_summary, to_long, union_long
 from decisionlake.operators.scale import top_per_group
@@ -62,7 +62,7 @@ def contrastive_stages(
     b = spec.indexed(rules.behavior)
     first, second = (spec.indexed(m) for m in rules.models)
     supported = [F.col(p) >= F.lit(rules.minimum_propensity) for p in b]
-    df = df.withColumns({
+    df = computed_once(df, {
         "_top": argmax(first),
         "_other": argmax(second),
         "_supported": total([s.cast("int") for s in supported]),
@@ -73,12 +73,12 @@ def contrastive_stages(
         F.when(supported[i] & (top != i), (F.col(x) + F.col(y)) / 2.0)
         for i, (x, y) in enumerate(zip(first, second))
     ]
-    df = df.withColumns({
+    df = computed_once(df, {
         "_negative": argmax(average),
         "_top_supported": pick([s.cast("double") for s in supported], top) == 1.0,
     })
     negative = F.col("_negative")
-    df = df.withColumns({
+    df = computed_once(df, {
         "preferred_propensity": pick(b, top),
         "near_negative_propensity": pick(b, negative),
         **{f"{m}_preferred_value": pick(spec.indexed(m), top) for m in rules.models},

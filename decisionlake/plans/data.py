@@ -89,7 +89,7 @@ def with_estimates(df: DataFrame) -> DataFrame:
         (k() % 2 + 2).cast("double"),
         F.when(k() % 9 == 0, F.lit(0.1)).otherwise((uid() % 2 + 1).cast("double")),
     ]
-    ridge = [(pressure - 70.0) / 50.0, (k() % 50) / F.lit(50.0) - 0.3, (F.lit(75.0) - pressure) / 40.0]
+    ridge = [(pressure - 70.0) / 53.0, (k() % 50) / F.lit(47.0) - 0.3, (F.lit(75.0) - pressure) / 41.0]
     df = with_reward(df).withColumns(
         {"fold": hash_fold(), **_normalised(B, weights), **dict(zip(RIDGE, ridge))}
     )
@@ -118,10 +118,11 @@ def other_policy_columns(names=RHO) -> dict[str, Column]:
 
 
 def estimates(spark: SparkSession, sf_dir: str, split: str | None = None) -> DataFrame:
-    df = trajectories(spark, sf_dir)
-    if split:
-        df = df.filter(F.col("split") == split)
-    return with_estimates(df)
+    """The written estimates table, as a cross-fit would leave it; ``split`` prunes files."""
+    df = _once(
+        spark, sf_dir, "estimates", lambda: with_estimates(trajectories(spark, sf_dir)), "split"
+    )
+    return df.filter(F.col("split") == split) if split else df
 
 
 def train(spark: SparkSession, sf_dir: str) -> DataFrame:

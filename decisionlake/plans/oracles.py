@@ -91,8 +91,8 @@ scored AS (
 ), valued AS (
   SELECT * EXCLUDE (w0, w1, w2), w0 / (w0 + w1 + w2) AS b_0, w1 / (w0 + w1 + w2) AS b_1,
          w2 / (w0 + w1 + w2) AS b_2,
-         (map_mm_hg - 70e0) / 50e0 AS ridge_0, (k % 50) / 50e0 - 0.3e0 AS ridge_1,
-         (75e0 - map_mm_hg) / 40e0 AS ridge_2
+         (map_mm_hg - 70e0) / 53e0 AS ridge_0, (k % 50) / 47e0 - 0.3e0 AS ridge_1,
+         (75e0 - map_mm_hg) / 41e0 AS ridge_2
   FROM weighted
 ), est AS (
   SELECT *, ridge_0 + ((k % 7) - 3) / 20e0 AS nonlinear_0, ridge_1 * 0.9e0 AS nonlinear_1,
