@@ -70,7 +70,7 @@ def json_text(text: Column) -> Column:
     lowered = quoted
     for code in _LETTERED:
         lowered = F.regexp_replace(
-            lowered, r"(?<!\\)((?:\\\\)*)\\u%04X" % code, r"$1\\\\u%04x" % code
+            lowered, r"(?<!\\)((?:\\\\)*)\\u%04X" % code, r"$1\\u%04x" % code
         )
     present = F.lit("[" + "".join("\\x%02x" % c for c in _LETTERED) + "]")
     return F.when(F.rlike(text, present), lowered).otherwise(quoted)

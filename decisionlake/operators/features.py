@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from decisionlake.operators.scale import group_quantiles
+from decisionlake.operators.scale import group_quantiles, is_small
 from decisionlake.spec import DEFAULT, TrajectorySpec
 
 MAX_LEVELS = 10_000
@@ -46,24 +46,52 @@ def fit_features(
     df: DataFrame, *, row_bound: int | None = None, spec: TrajectorySpec = DEFAULT
 ) -> FeatureStats:
     """Exact medians first, then moments of the imputed columns; a few dozen numbers."""
+    return fit_features_with(df, {}, row_bound=row_bound, spec=spec)[0]
+
+
+def fit_features_with(
+    df: DataFrame, also: dict[str, Column], *, row_bound: int | None = None,
+    spec: TrajectorySpec = DEFAULT,
+) -> tuple[FeatureStats, dict]:
+    """The fit, and further aggregates taken in its second pass."""
+    if is_small(row_bound):
+        known, categorical = _first_pass(df, spec)
+    else:
+        known, categorical = _medians(df, row_bound, spec), _levels(df, spec)
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in known}
+    moments = df.agg(
+        F.count("*").alias("_rows"),
+        *[F.avg(v).alias(f"{c}_mean") for c, v in filled.items()],
+        *[F.stddev_pop(v).alias(f"{c}_sd") for c, v in filled.items()],
+        *[c.alias(f"_also_{n}") for n, c in also.items()],
+    ).first()
+    numeric = tuple(
+        (c, m, moments[f"{c}_mean"], _scale(moments[f"{c}_sd"], moments[f"{c}_mean"]))
+        for c, m in known
+    )
+    return FeatureStats(numeric, categorical), {n: moments[f"_also_{n}"] for n in also}
+
+
+def _first_pass(df: DataFrame, spec: TrajectorySpec) -> tuple[list, tuple]:
+    """Medians and levels of a frame known to be small, in one aggregate."""
+    row = df.agg(
+        *[F.percentile(F.col(c).cast("double"), F.lit(0.5)).alias(c) for c in spec.numeric],
+        *[F.mode(c, True).alias(f"{c}_mode") for c in spec.categorical],
+        *[F.array_sort(F.collect_set(c)).alias(f"{c}_levels") for c in spec.categorical],
+    ).first()
+    categorical = tuple(
+        (c, row[f"{c}_mode"], tuple(row[f"{c}_levels"])) for c in spec.categorical if row[f"{c}_levels"]
+    )
+    return [(c, row[c]) for c in spec.numeric if row[c] is not None], categorical
+
+
+def _medians(df: DataFrame, row_bound: int | None, spec: TrajectorySpec) -> list:
     medians = group_quantiles(
         df.select(*[F.col(c).cast("double").alias(c) for c in spec.numeric]),
         [], spec.numeric, (0.5,), row_bound=row_bound,
     ).first()
-    known = [(c, medians[f"{c}_q"][0]) for c in spec.numeric if medians[f"{c}_q"]]
-    known = [(c, m) for c, m in known if m is not None]
-    numeric = ()
-    if known:
-        filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in known}
-        moments = df.agg(
-            *[F.avg(v).alias(f"{c}_mean") for c, v in filled.items()],
-            *[F.stddev_pop(v).alias(f"{c}_sd") for c, v in filled.items()],
-        ).first()
-        numeric = tuple(
-            (c, m, moments[f"{c}_mean"], _scale(moments[f"{c}_sd"], moments[f"{c}_mean"]))
-            for c, m in known
-        )
-    return FeatureStats(numeric, _levels(df, spec))
+    found = [(c, medians[f"{c}_q"][0]) for c in spec.numeric if medians[f"{c}_q"]]
+    return [(c, m) for c, m in found if m is not None]
 
 
 def _scale(deviation: float, mean: float) -> float:

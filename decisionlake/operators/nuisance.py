@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from decisionlake.functions.reward import require_finite_reward, with_reward
 from decisionlake.functions.vectors import action_index, as_columns, pick, valid_probabilities
-from decisionlake.operators.features import FeatureStats, fit_features, vectorize
+from decisionlake.operators.features import FeatureStats, fit_features_with, vectorize
 from decisionlake.operators.folds import with_folds
 from decisionlake.operators.metrics import behavior_report, model_deltas, reward_report, union_long
 from decisionlake.operators.validate import assert_probabilities, assert_training, require_columns
@@ -57,7 +57,8 @@ class BehaviorPolicyModel:
     def fit(self, df: DataFrame, *, row_bound: int | None = None, checked: bool = False) -> BehaviorPolicyModel:
         if not checked:
             assert_training(df, all_actions=True, spec=self.spec)
-        self.stats = fit_features(df, row_bound=row_bound, spec=self.spec)
+        self.stats, size = fit_features_with(
+            df, {"rows": F.count("*")}, row_bound=row_bound, spec=self.spec)
         rows = vectorize(df, self.stats).select(
             action_index(self.spec.action, self.spec.actions).cast("double").alias("label"), "features"
         ).persist(StorageLevel.MEMORY_AND_DISK)
@@ -65,7 +66,7 @@ class BehaviorPolicyModel:
             # The penalty is per row here and per sum in 1/C.
             self.model = LogisticRegression(
                 family="multinomial", elasticNetParam=0.0, standardization=False,
-                regParam=1.0 / (self.regularization_c * rows.count()),
+                regParam=1.0 / (self.regularization_c * size["rows"]),
                 maxIter=self.max_iter, tol=self.tol,
             ).fit(rows)
         finally:
@@ -147,20 +148,22 @@ class ActionRewardModel:
         return self
 
     def _fit_one(self, df: DataFrame, row_bound: int | None):
-        stats = fit_features(df, row_bound=row_bound, spec=self.spec)
+        stats, size = fit_features_with(
+            df, {"rows": F.count("*"), "deviation": F.stddev_pop("_target")},
+            row_bound=row_bound, spec=self.spec,
+        )
         rows = vectorize(df, stats, scaled=self.config.scaled).select(
             F.col("_target").alias("label"), "features"
         ).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            size = rows.agg(F.count("*").alias("n"), F.stddev_samp("label").alias("sd")).first()
-            return stats, self._estimator(size["n"], size["sd"] or 0.0).fit(rows)
+            return stats, self._estimator(size["rows"], size["deviation"] or 0.0).fit(rows)
         finally:
             rows.unpersist()
 
     def _estimator(self, n: int, deviation: float):
         c = self.config
         if c.model_type == "ridge":
-            # Spark divides the loss by n and scales the label by its deviation.
+            # This solver divides the loss by n and the label by its population deviation.
             return LinearRegression(
                 elasticNetParam=0.0, standardization=False, solver="normal",
                 regParam=c.alpha / n * deviation,

@@ -22,7 +22,7 @@ BLOCK_ROWS = 20_000
 
 def library_features(library: DataFrame, spec: TrajectorySpec = DEFAULT) -> FeatureStats:
     """Fitted on the library itself, which is capped per cell."""
-    return fit_features(library, spec=spec)
+    return fit_features(library, row_bound=library.count(), spec=spec)
 
 
 def nearest_examples(

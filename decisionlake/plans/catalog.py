@@ -633,19 +633,25 @@ def chosen_action(spark, sf):
     return _zero_shot(spark, sf).select(*KEY, policy.chosen_action(probability_names()).alias("chosen_action"))
 
 
-def rule_backend(messages, model_id, temperature):
-    """A stand-in model: reads the state from the prompt and answers by rule, or fails."""
-    import json
-
-    text = messages[-1]["content"]
-    state = json.loads(text.split("<structured_state_json>")[1].split("</structured_state_json>")[0])
-    if state["spo2"] == 95.0:
-        raise RuntimeError("no answer")
-    p = [0.2, 0.3, 0.5] if state["map_mm_hg"] < 65 else [0.8, 0.1, 0.1]
-    return json.dumps({
-        "prob_maintain": p[0], "prob_iv_fluids": p[1], "prob_escalate_vasopressor": p[2],
-        "rationale": "pressure rule",
-    })
+def rule_backend():
+    """A stand-in model: reads the state from the prompt and answers by rule, or fails.
+
+    A closure, so that it travels to the tasks by value.
+    """
+    def complete(messages, model_id, temperature):
+        import json
+
+        text = messages[-1]["content"]
+        state = json.loads(text.split("<structured_state_json>")[1].split("</structured_state_json>")[0])
+        if state["spo2"] == 95.0:
+            raise RuntimeError("no answer")
+        p = [0.2, 0.3, 0.5] if state["map_mm_hg"] < 65 else [0.8, 0.1, 0.1]
+        return json.dumps({
+            "prob_maintain": p[0], "prob_iv_fluids": p[1], "prob_escalate_vasopressor": p[2],
+            "rationale": "pressure rule",
+        })
+
+    return complete
 
 
 @query
@@ -656,7 +662,7 @@ def policy_with_backend(spark, sf):
     from decisionlake.sources.storage import table_path
 
     pi = policy.PromptedPolicy(
-        CLIENT, data.response_cache(spark, sf), backend=rule_backend,
+        CLIENT, data.response_cache(spark, sf), backend=rule_backend(),
         cache_path=table_path(spark, "backend-cache", uuid.uuid4()),
     )
     asked = observations(data.trajectories(spark, sf).filter(F.col("split") == "validation"), key=True)

@@ -57,7 +57,7 @@ def read_cache(spark: SparkSession, path: str, *, format: str = "json") -> DataF
     """
     if format != "json":
         return spark.read.schema(RECORD_SCHEMA).format(format).load(path)
-    files = spark.read.option("wholetext", True).text(path).select(
+    files = spark.read.text(path, wholetext=True).select(
         F.try_parse_json(F.concat(F.lit("["), "value", F.lit("]"))).alias("_v"),
         F.regexp_extract(F.input_file_name(), r"([0-9a-f]{64})\.json$", 1).alias("_name"),
     )
