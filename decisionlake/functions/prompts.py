@@ -49,6 +49,9 @@ USER_MIDDLE = """
 USER_CLOSING = """
 </handoff_note_json>"""
 
+# How angle brackets appear in a note.
+ESCAPED = ("\\u003c", "\\u003e")
+
 # Our own wording for the version with retrieved examples.
 EXAMPLES_OPENING = """
 
@@ -63,71 +66,78 @@ The examples are past logged decisions in similar states. Each label compares th
 _LETTERED = [c for c in range(0x20) if c not in (0x08, 0x09, 0x0A, 0x0C, 0x0D) and c % 16 > 9]
 
 
-def json_text(text: Column) -> Column:
-    """A JSON string literal, with lower-case hex in control-character escapes."""
-    quoted = F.to_json(F.struct(text.alias("s")))
-    quoted = F.substring(quoted, 6, F.length(quoted) - 6)
+# Texts below are assembled as SQL: one parse instead of hundreds of column calls.
+
+
+def sql_text(text: str) -> str:
+    """A SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def json_sql(text: str) -> str:
+    """SQL for a JSON string literal, with lower-case hex in control-character escapes."""
+    quoted = f"trim(TRAILING '}}' FROM substring(to_json(struct({text} AS s)), 6))"
     lowered = quoted
     for code in _LETTERED:
-        lowered = F.regexp_replace(
-            lowered, r"(?<!\\)((?:\\\\)*)\\u%04X" % code, r"$1\\u%04x" % code
-        )
-    present = F.lit("[" + "".join("\\x%02x" % c for c in _LETTERED) + "]")
-    return F.when(F.rlike(text, present), lowered).otherwise(quoted)
+        lowered = rf"regexp_replace({lowered}, r'(?<!\\)((?:\\\\)*)\\u{code:04X}', r'$1\\u{code:04x}')"
+    present = "[" + "".join(rf"\x{c:02x}" for c in _LETTERED) + "]"
+    return f"(CASE WHEN {text} IS NULL THEN NULL WHEN {text} RLIKE r'{present}' THEN {lowered} ELSE {quoted} END)"
 
 
-def number_text(value: Column) -> Column:
-    """A double the way Python prints it; Spark's text differs outside [1e-3, 1e7)."""
-    text, size = value.cast("string"), F.abs(value)
+def number_sql(value: str) -> str:
+    """SQL for a double the way Python prints it; Spark's text differs outside [1e-3, 1e7)."""
+    text = f"CAST({value} AS STRING)"
+    scientific = f"replace(regexp_replace(replace({text}, '.0E', 'E'), r'E([0-9])', 'e+$1'), 'E-', 'e-')"
 
-    def plain(scale: int) -> Column:
-        digits = value.cast(T.DecimalType(38, scale)).cast("string")
-        return F.regexp_replace(digits, r"(\.\d+?)0+$", "$1")
+    def plain(scale: int) -> str:
+        return rf"regexp_replace(CAST(CAST({value} AS DECIMAL(38, {scale})) AS STRING), r'(\.[0-9]+?)0+$', '$1')"
 
-    scientific = F.regexp_replace(
-        F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), r"E(\d)", "e+$1"), "E-", "e-"
-    )
-    scientific = F.regexp_replace(scientific, r"e([+-])(\d)$", "e$10$2")
-    return (
-        F.when((size >= 1e-3) & (size < 1e7), text)
-        .when((size >= 1e7) & (size < 1e16), plain(1))
-        .when((size >= 1e-4) & (size < 1e-3), plain(30))
-        .when((size == 0) | F.isnan(value) | (size == float("inf")), text)
-        .otherwise(scientific)
-    )
+    return f"""(CASE WHEN abs({value}) >= 1e-3D AND abs({value}) < 1e7D THEN {text}
+      WHEN abs({value}) >= 1e7D AND abs({value}) < 1e16D THEN {plain(1)}
+      WHEN abs({value}) >= 1e-4D AND abs({value}) < 1e-3D THEN {plain(30)}
+      WHEN {value} = 0 OR isnan({value}) OR abs({value}) = double('Infinity') THEN {text}
+      ELSE regexp_replace({scientific}, r'e([+-])([0-9])$', 'e$10$2') END)"""
 
 
-def _scalar_text(column: Column, kind: T.DataType, missing: str) -> Column:
+def json_text(text: str) -> Column:
+    return F.expr(json_sql(text))
+
+
+def number_text(value: str) -> Column:
+    return F.expr(number_sql(value))
+
+
+def _scalar_sql(column: str, kind: T.DataType, missing: str) -> str:
     if isinstance(kind, T.StringType):
-        return F.coalesce(json_text(column), F.lit(missing))
+        return f"coalesce({json_sql(column)}, {missing})"
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        value = column.cast("double")
-        shown = F.when(value.isNotNull() & ~F.isnan(value), number_text(value))
-        return F.coalesce(shown, F.lit(missing))
+        value = f"CAST({column} AS DOUBLE)"
+        return f"(CASE WHEN {value} IS NULL OR isnan({value}) THEN {missing} ELSE {number_sql(value)} END)"
     if isinstance(kind, (T.IntegralType, T.BooleanType)):
-        return F.coalesce(column.cast("string"), F.lit(missing))
+        return f"coalesce(CAST({column} AS STRING), {missing})"
     raise TypeError(f"Observation values must be scalars, got {kind.simpleString()}.")
 
 
-def state_json(schema: T.StructType, spec: TrajectorySpec = DEFAULT, indent: str = "  ",
-               source: Column | None = None, missing: str | None = None) -> Column:
-    """The allowed fields in canonical order, two-space indented; missing is explicit."""
-    missing = f'"{MISSING_VALUE}"' if missing is None else missing
-    fields = [
-        F.concat(
-            F.lit(f'{indent}"{c}": '),
-            _scalar_text(F.col(c) if source is None else source[c], schema[c].dataType, missing),
-        )
-        for c in spec.observations
-    ]
-    return F.concat(F.lit("{\n"), F.concat_ws(",\n", *fields), F.lit("\n" + indent[2:] + "}"))
+def state_sql(schema: T.StructType, spec: TrajectorySpec = DEFAULT, indent: str = "  ",
+              missing: str = f'"{MISSING_VALUE}"') -> str:
+    """SQL for the allowed fields in canonical order, indented; missing is explicit."""
+    fields = []
+    for c in spec.observations:
+        shown = _scalar_sql(f"`{c}`", schema[c].dataType, sql_text(missing))
+        fields.append("concat(" + sql_text(f'{indent}"{c}": ') + f", {shown})")
+    newline, close = sql_text(",\n"), sql_text("\n" + indent[2:] + "}")
+    return f"concat({sql_text('{' + chr(10))}, concat_ws({newline}, {', '.join(fields)}), {close})"
+
+
+def state_json(schema: T.StructType, spec: TrajectorySpec = DEFAULT) -> Column:
+    return F.expr(state_sql(schema, spec))
 
 
-def note_json(note: Column) -> Column:
+def note_json(note: str) -> Column:
     """The note as a JSON string that cannot close its delimiters; blank means not provided."""
-    blank = note.isNull() | ~F.rlike(note, F.lit(r"(?U)\S"))
-    text = json_text(F.when(blank, F.lit(MISSING_NOTE)).otherwise(note))
-    return F.replace(F.replace(text, F.lit("<"), F.lit("\\u003c")), F.lit(">"), F.lit("\\u003e"))
+    token = sql_text(MISSING_NOTE)
+    text = json_sql(rf"(CASE WHEN {note} IS NULL OR NOT {note} RLIKE r'(?U)\S' THEN {token} ELSE {note} END)")
+    return F.expr(f"replace(replace({text}, '<', {sql_text(ESCAPED[0])}), '>', {sql_text(ESCAPED[1])})")
 
 
 def message(role: str, content: Column) -> Column:
@@ -142,7 +152,7 @@ def zero_shot_messages(
     The frame may hold exactly the keys in ``keep``, the allowed fields and the note.
     """
     require_exactly(df, [*keep, *spec.observations, *([note] if note else [])])
-    noted = F.col(note) if note else F.lit(None).cast("string")
+    noted = f"`{note}`" if note else "CAST(NULL AS STRING)"
     rendered = df.select(
         *keep, state_json(df.schema, spec).alias("state_json"), note_json(noted).alias("note_json")
     )
@@ -168,17 +178,13 @@ def few_shot_messages(
         queries.select(*key, *spec.observations, *([note] if note else [])),
         keep=key, note=note, spec=spec,
     )
+    text = ", ".join([
+        sql_text('{\n  "state": '), state_sql(retrieved.schema, spec, "    ", "null"),
+        sql_text(',\n  "logged_action": '), json_sql("action"),
+        sql_text(',\n  "observed_outcome_label": '), json_sql("outcome_label"), sql_text("\n}"),
+    ])
     rendered = retrieved.select(
-        *key,
-        F.struct(
-            F.col("library_rank").alias("order"),
-            F.concat(
-                F.lit('{\n  "state": '), state_json(retrieved.schema, spec, "    ", missing="null"),
-                F.lit(',\n  "logged_action": '), json_text(F.col("action")),
-                F.lit(',\n  "observed_outcome_label": '), json_text(F.col("outcome_label")),
-                F.lit("\n}"),
-            ).alias("text"),
-        ).alias("record"),
+        *key, F.expr(f"struct(library_rank AS place, concat({text}) AS text)").alias("record")
     )
     examples = rendered.groupBy(*key).agg(
         F.concat(

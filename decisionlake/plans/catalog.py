@@ -558,7 +558,7 @@ def state_json(spark, sf):
 def handoff_note_json(spark, sf):
     """Whole document texts as notes."""
     docs = data.table(spark, sf, "documents")
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), note_json(F.col("text")).alias("note_json"))
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), note_json("text").alias("note_json"))
 
 
 @query

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from decisionlake.functions.decisions import parse_decisions, with_fallback
-from decisionlake.functions.prompts import json_text, number_text, valid_messages
+from decisionlake.functions.prompts import json_sql, number_sql, sql_text, valid_messages
 from decisionlake.spec import DEFAULT, TrajectorySpec
 
 # Versions and field order of a cache record.
@@ -76,33 +76,25 @@ def read_cache(spark: SparkSession, path: str, *, format: str = "json") -> DataF
     ])
 
 
-def cache_key(messages: Column, client: Client) -> Column:
+def cache_key(messages: str, client: Client) -> Column:
     """SHA-256 over the compact JSON of the request, its keys in sorted order."""
     # The sorted order of the keys is the order written here.
-    listed = F.array_join(
-        F.transform(
-            messages,
-            lambda m: F.concat(
-                F.lit('{"content":'), json_text(m["content"]),
-                F.lit(',"role":'), json_text(m["role"]), F.lit("}"),
-            ),
-        ),
-        ",",
-    )
-    payload = F.concat(
-        F.lit(f'{{"cache_format_version":{CACHE_FORMAT_VERSION},"messages":['),
-        listed,
-        F.lit('],"model_id":'), json_text(F.lit(client.model_id)),
-        F.lit(',"prompt_version":'), json_text(F.lit(client.prompt_version)),
-        F.lit(f',"response_schema_version":{RESPONSE_SCHEMA_VERSION},"temperature":'),
-        number_text(F.lit(float(client.temperature))),
-        F.lit("}"),
-    )
-    return F.sha2(payload, 256)
+    one = ", ".join([
+        sql_text('{"content":'), json_sql("m.content"), sql_text(',"role":'), json_sql("m.role"), sql_text("}"),
+    ])
+    payload = ", ".join([
+        sql_text(f'{{"cache_format_version":{CACHE_FORMAT_VERSION},"messages":['),
+        f"array_join(transform({messages}, m -> concat({one})), ',')",
+        sql_text('],"model_id":'), json_sql(sql_text(client.model_id)),
+        sql_text(',"prompt_version":'), json_sql(sql_text(client.prompt_version)),
+        sql_text(f',"response_schema_version":{RESPONSE_SCHEMA_VERSION},"temperature":'),
+        number_sql(f"{float(client.temperature)!r}D"), sql_text("}"),
+    ])
+    return F.expr(f"sha2(concat({payload}), 256)")
 
 
 def with_cache_key(df: DataFrame, client: Client, messages: str = "messages") -> DataFrame:
-    return df.withColumn("cache_key", cache_key(F.col(messages), client))
+    return df.withColumn("cache_key", cache_key(messages, client))
 
 
 def assert_messages(df: DataFrame, messages: str = "messages") -> DataFrame:

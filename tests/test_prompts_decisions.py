@@ -20,7 +20,7 @@ TEXTS = ["plain", 'quote " and \\ back', "line\nbreak\ttab", "é ü 漢字   \
 
 def test_json_text_equals_compact_json(spark):
     df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
-    for row in df.select("t", prompts.json_text(F.col("t")).alias("j")).collect():
+    for row in df.select("t", prompts.json_text("t").alias("j")).collect():
         assert row.j == json.dumps(row.t, ensure_ascii=False)
 
 
@@ -28,7 +28,7 @@ def test_number_text_equals_python(spark):
     values = [0.0, 1.0, -2.5, 63.2, 1e7, 12345678.9, 1e15, 1e16, 1.5e17, 1e-3, 1.5e-4, 1e-4, 9.9e-5, 1e-5, 1.25e-10,
               123456789012345.6, -1e7, -3.2e-7, 1e22, 0.1 + 0.2, 9999999.0, 1e100]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    for row in df.select("v", prompts.number_text(F.col("v")).alias("t")).collect():
+    for row in df.select("v", prompts.number_text("v").alias("t")).collect():
         assert row.t == repr(row.v)
 
 
