@@ -278,10 +278,9 @@ def cross_fit(
         with_reward(df, name=spec.reward, spec=spec), config.n_splits, config.seed,
         strategy=config.strategy, spec=spec,
     )
-    require_finite_reward(folded, spec.reward)
     source = table_path(spark, "folds", df.semanticHash(), config, id(config))
     folded.write.mode("overwrite").partitionBy("fold").parquet(source)
-    rows = spark.read.schema(folded.schema).parquet(source)
+    rows = require_finite_reward(spark.read.schema(folded.schema).parquet(source), spec.reward)
     if row_bound is None:
         row_bound = rows.count()
 

@@ -112,36 +112,36 @@ def _slice_hot_rows(df, hot, key, position, task_rows):
 def _sliced_neighbours(sliced, key, position, tie, number, behind, ahead):
     order = F.struct(position, *tie)
     w = Window.partitionBy(key, "_slice").orderBy(position, *tie)
-    seams = [F.count("*").alias("_rows")]
-    added = {"_row": (F.row_number().over(w) - 1).cast("bigint")}
+    seams = [F.count("*").alias("_seam_rows")]
+    added = {"_seam_row": (F.row_number().over(w) - 1).cast("bigint")}
     if behind:
         added[behind[0]] = F.lag(F.struct(*behind[1])).over(w)
-        seams.append(F.max_by(F.struct(*behind[1]), order).alias("_last"))
+        seams.append(F.max_by(F.struct(*behind[1]), order).alias("_seam_last"))
     if ahead:
         added[ahead[0]] = F.lead(F.struct(*ahead[1])).over(w)
-        seams.append(F.min_by(F.struct(*ahead[1]), order).alias("_first"))
+        seams.append(F.min_by(F.struct(*ahead[1]), order).alias("_seam_first"))
 
     across = Window.partitionBy(key).orderBy("_slice")
     edges = sliced.groupBy(key, "_slice").agg(*seams)
     edge_columns = {
-        "_before": F.coalesce(
-            F.sum("_rows").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        "_seam_before": F.coalesce(
+            F.sum("_seam_rows").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
         )
     }
     if behind:
-        edge_columns["_previous"] = F.lag("_last").over(across)
+        edge_columns["_seam_previous"] = F.lag("_seam_last").over(across)
     if ahead:
-        edge_columns["_next"] = F.lead("_first").over(across)
-    edges = edges.withColumns(edge_columns).drop("_rows", "_last", "_first")
+        edge_columns["_seam_next"] = F.lead("_seam_first").over(across)
+    edges = edges.withColumns(edge_columns).drop("_seam_rows", "_seam_last", "_seam_first")
 
     out = sliced.withColumns(added).join(edges, [key, "_slice"])
     if number:
-        out = out.withColumn(number, F.col("_row") + F.col("_before"))
+        out = out.withColumn(number, F.col("_seam_row") + F.col("_seam_before"))
     if behind:
-        out = out.withColumn(behind[0], F.coalesce(F.col(behind[0]), F.col("_previous")))
+        out = out.withColumn(behind[0], F.coalesce(F.col(behind[0]), F.col("_seam_previous")))
     if ahead:
-        out = out.withColumn(ahead[0], F.coalesce(F.col(ahead[0]), F.col("_next")))
-    return out.drop("_slice", "_row", "_before", "_previous", "_next")
+        out = out.withColumn(ahead[0], F.coalesce(F.col(ahead[0]), F.col("_seam_next")))
+    return out.drop("_slice", "_seam_row", "_seam_before", "_seam_previous", "_seam_next")
 
 
 def number_in_blocks(
@@ -160,10 +160,10 @@ def number_in_blocks(
     sizes = sizes.withColumn("_shift", F.coalesce(F.sum("_size").over(earlier), F.lit(0))).drop("_size")
     inside = Window.partitionBy(*groups, "_block").orderBy(*order)
     return (
-        df.withColumn("_row", F.row_number().over(inside) - 1)
+        df.withColumn("_seam_row", F.row_number().over(inside) - 1)
         .join(sizes, [*groups, "_block"])
-        .withColumn(name, (F.col("_row") + F.col("_shift")).cast("bigint"))
-        .drop("_block", "_row", "_shift")
+        .withColumn(name, (F.col("_seam_row") + F.col("_shift")).cast("bigint"))
+        .drop("_block", "_seam_row", "_shift")
     )
 
 

@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from decisionlake.operators.scale import TASK_ROWS, neighbours
 
 FIELDS = ("map_mm_hg", "k", "value")
 
 
+def micros(events: DataFrame, ts: str) -> Column:
+    """Microseconds in time order, whatever the session's time zone."""
+    if not isinstance(events.schema[ts].dataType, T.TimestampNTZType):
+        return F.unix_micros(ts)
+    # A wall-clock time has no zone: a cast would bend it at daylight-saving changes.
+    return F.expr(
+        f"unix_date(CAST({ts} AS DATE)) * 86400000000L + (hour({ts}) * 3600L + minute({ts}) * 60L) * 1000000L"
+        f" + CAST(extract(SECOND FROM {ts}) * 1000000 AS BIGINT)"
+    )
+
+
 def trajectories_from_events(
     events: DataFrame, row_bound: int | None = None, task_rows: int = TASK_ROWS
 ) -> DataFrame:
@@ -20,7 +32,7 @@ def trajectories_from_events(
     base = events.select(
         F.col("user_id").cast("bigint").alias("uid"),
         "event_id",
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("at"),
+        micros(events, "ts").alias("at"),
         "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
         F.when(F.col("event_type").isin("view", "click", "signup"), "maintain")

@@ -70,3 +70,30 @@ def test_small_side_broadcasts_only_within_the_limit(spark):
     plan = lambda d: d._jdf.queryExecution().analyzed().toString()
     assert "ResolvedHint" in plan(scale.small_side(spark.range(5), 10))
     assert "ResolvedHint" not in plan(scale.small_side(spark.range(50), 10))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_top_k_plans_limit_before_the_shuffle(spark):
+    from decisionlake.plans.catalog import QUERIES
+
+    for name in ("contrastive_examples", "factual_library"):
+        plan = plan_of(QUERIES[name](spark, SMALL))
+        assert "WindowGroupLimit" in plan and ", Partial" in plan
+
+
+def test_hot_windows_are_keyed_by_slice(spark, trajectories):
+    plan = plan_of(logged_transitions(trajectories, task_rows=10))
+    assert "hashpartitioning(patient_id" in plan and "_slice" in plan
+
+
+def test_order_of_wall_clock_times_ignores_the_session_zone(spark):
+    events = data.table(spark, SMALL, "events")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        rows = trajectories_from_events(events.withColumn("ts", F.expr("ts + INTERVAL 280 DAYS")), 10**6).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert sorted(rows) == sorted(trajectories_from_events(events, 10**6).collect())
