@@ -716,3 +716,78 @@ SQL["few_shot_messages"] = final(
     FROM asked q JOIN (SELECT n.patient_id, n.time_step, '[' || string_agg({_EXAMPLE}, ',' || chr(10) ORDER BY library_rank) || ']' AS examples
       FROM near n JOIN library l USING (library_rank) GROUP BY n.patient_id, n.time_step) USING (patient_id, time_step)""",
     ctes=(TRAJ, EST, LIBRARY, "asked AS (SELECT * FROM traj WHERE split = 'validation')", NEAREST))
+
+# ------------------------------------------------------------- backend and long reports
+
+_VALID_RULE = ((0.2, 0.8), (0.3, 0.1), (0.5, 0.1))
+_BY_RULE = ", ".join(
+    f"CASE WHEN answered THEN CASE WHEN map_mm_hg < 65 THEN {low}e0 ELSE {high}e0 END ELSE coalesce(prob_{x}, {1 if i == 0 else 0}e0) END AS prob_{x}"
+    for i, (x, (low, high)) in enumerate(zip(ACTIONS, _VALID_RULE)))
+SQL["policy_with_backend"] = final(
+    f"""SELECT {KEY}, cache_key, {_BY_RULE},
+    CASE WHEN answered THEN 'pressure rule' ELSE {_SAID.removesuffix(' AS rationale')} END AS rationale,
+    cache_hit OR (answered AND NOT first) AS cache_hit, cache_error AND (first OR NOT answered) AS cache_error,
+    NOT (ok OR answered) AS fallback_used,
+    CASE WHEN ok OR answered THEN NULL WHEN raw_response IS NOT NULL THEN 'structured_output_error' ELSE 'backend_error' END AS failure_reason
+    FROM (SELECT *, NOT cache_hit AND spo2 <> 95 AS answered,
+      row_number() OVER (PARTITION BY cache_key ORDER BY patient_id, time_step) = 1 AS first
+      FROM ({decided('looked', 'raw_response')}) WHERE split = 'validation')""", _PROBS, ctes=K)
+
+
+def long_part(sql: str, section: str, names: str, **dims: str) -> str:
+    """Melt one metric query into ``section, model, slice, action, fold, metric, value``."""
+    shown = ", ".join(f"CAST({dims.get(d, 'NULL')} AS VARCHAR) AS {d}" for d in ("model", "slice", "action", "fold"))
+    cells = ", ".join(f"{{'metric': '{n}', 'value': CAST(\"{n}\" AS DOUBLE)}}" for n in names.split())
+    return f"""SELECT '{section}' AS section, {shown}, m.metric AS metric, m.value AS value
+      FROM (SELECT *, unnest([{cells}]) AS m FROM ({sql}))"""
+
+
+def long_report(parts) -> str:
+    return f"SELECT * REPLACE (round(value, 6) + 0e0 AS value) FROM ({union(parts)})"
+
+
+_RATES = "top_rate_0 top_rate_1 top_rate_2"
+SQL["bias_report"] = long_report([
+    long_part(SQL["bias_observed"], "observed_reward", "rows mean favorable_rate p10 median p90", action="action"),
+    long_part(SQL["bias_global"], "global_rankings", "top_action_rate mean_modeled_value", model="model", action="action"),
+    long_part(SQL["bias_propensity"], "top_action_propensity", _Q5 + " below_support_rate", model="model"),
+    long_part(SQL["bias_agreement"], "model_agreement",
+              "rows top_action_agreement_rate agreed_top_rate_0 agreed_top_rate_1 agreed_top_rate_2"),
+    long_part(SQL["bias_matrix"], "logged_by_top", "rows " + _RATES, model="model", action="logged_action"),
+    long_part(SQL["bias_maintain"], "logged_first_action",
+              f"rows {_RATES} below_support_rate {_MQ} " + " ".join(f"propensity_{n}" for n in _Q5.split()), model="model"),
+    long_part(SQL["bias_slices"], "state_slices",
+              f"rows reward_mean favorable_rate {_RATES} {_MQ} p10 reward_median p90", model="model", slice="slice"),
+])
+_LOW = "coalesce(map_mm_hg < 65, false)"
+_SOURCE = final(f"SELECT {share(_LOW)} AS low_pressure_rate FROM train")
+_READY = f"SELECT *, CAST(underrepresented AS INT) AS under FROM ({SQL['contrastive_readiness']})"
+_THRESHOLDS = """SELECT 0.02e0 AS minimum_propensity, 0.1e0 AS minimum_advantage, 0.5e0 AS maximum_value_disagreement,
+  50 AS max_examples_per_action, 1 AS require_preferred_matches_logged, 10 AS minimum_examples_per_action, -1e0 AS minimum_logged_reward"""
+SQL["contrastive_report"] = long_report([
+    long_part(_THRESHOLDS, "thresholds", """minimum_propensity minimum_advantage maximum_value_disagreement
+      max_examples_per_action require_preferred_matches_logged minimum_examples_per_action minimum_logged_reward"""),
+    long_part(SQL["contrastive_funnel"], "selection_stages", "source_rows " + " ".join(_STAGES)),
+    long_part(_READY, "readiness", "candidates_before_balance selected_examples under", action="action"),
+    long_part(f"SELECT CAST(max(under) = 0 AS INT) AS approved FROM ({_READY})", "readiness", "approved"),
+    long_part(final(f"""SELECT {share('preferred_matches_logged')} AS preferred_matches_logged_rate,
+      count(*) FILTER ({_LOW}) AS low_pressure_rows, coalesce({share(_LOW)}, 0) AS low_pressure_rate FROM chosen""", ctes=C),
+              "selected", "preferred_matches_logged_rate low_pressure_rows low_pressure_rate"),
+    long_part(_SOURCE, "source", "low_pressure_rate"),
+] + [
+    long_part(final(f"SELECT {quartiles(v)} FROM chosen", ctes=C), "quantiles", _Q5, slice=f"'{v}'")
+    for v in ("robust_advantage", "preferred_propensity", "near_negative_propensity", "value_disagreement")
+])
+_CELLS_READY = f"SELECT *, CAST(insufficient AS INT) AS under FROM ({SQL['factual_readiness']})"
+SQL["factual_report"] = long_report([
+    long_part(SQL["reward_thresholds"], "thresholds", "lower upper logged_rows", action="action"),
+    long_part(_CELLS_READY, "cells",
+              "candidates_after_support candidates_after_patient_deduplication selected_examples under",
+              action="action", slice="outcome_label"),
+    long_part(f"SELECT CAST(max(under) = 0 AS INT) AS approved FROM ({_CELLS_READY})", "readiness", "approved"),
+    long_part(final(f"""SELECT count(*) AS selected_rows, count(DISTINCT source_patient_id) AS unique_source_patients,
+      {share(_LOW)} AS low_pressure_rate FROM library""", ctes=L), "library",
+              "selected_rows unique_source_patients low_pressure_rate"),
+    long_part(_SOURCE, "source", "low_pressure_rate"),
+    long_part(final(f"SELECT {quartiles('logged_action_propensity')} FROM library", ctes=L), "logged_action_propensity", _Q5),
+])
