@@ -26,16 +26,24 @@ from decisionlake.functions.vectors import action_index, as_columns, pick, valid
 from decisionlake.operators.features import FeatureStats, fit_features_with, vectorize
 from decisionlake.operators.folds import with_folds
 from decisionlake.operators.metrics import behavior_report, model_deltas, reward_report, union_long
+from decisionlake.operators.scale import is_small
 from decisionlake.operators.validate import assert_probabilities, assert_training, require_columns
 from decisionlake.sources.storage import table_path
 from decisionlake.spec import DEFAULT, TrajectorySpec
 
 MIN_PROPENSITY = 0.02
-#: Fits run at the same time; each is a distributed job of its own.
+#: Fits of small tables that run at the same time.
 PARALLEL_FITS = 8
 
 
-def in_parallel(tasks: Sequence[Callable[[], object]]) -> list:
+def in_parallel(tasks: Sequence[Callable[[], object]], row_bound: int | None = None) -> list:
+    """Run driver-side tasks that each launch Spark jobs.
+
+    Small fits overlap to fill the cores. A large fit fills the cluster by itself, and
+    only one may hold cached features at a time, so those run one after another.
+    """
+    if not is_small(row_bound):
+        return [t() for t in tasks]
     with ThreadPoolExecutor(max_workers=min(PARALLEL_FITS, max(1, len(tasks)))) as pool:
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
@@ -144,7 +152,7 @@ class ActionRewardModel:
         self.parts = in_parallel([
             lambda a=a: self._fit_one(df.filter(F.col(self.spec.action) == a), row_bound)
             for a in self.spec.actions
-        ])
+        ], row_bound)
         return self
 
     def _fit_one(self, df: DataFrame, row_bound: int | None):
@@ -154,9 +162,14 @@ class ActionRewardModel:
         )
         rows = vectorize(df, stats, scaled=self.config.scaled).select(
             F.col("_target").alias("label"), "features"
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+        )
+        estimator = self._estimator(size["rows"], size["deviation"] or 0.0)
+        if self.config.model_type == "ridge":
+            # One pass over the rows: nothing to keep.
+            return stats, estimator.fit(rows)
+        rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return stats, self._estimator(size["rows"], size["deviation"] or 0.0).fit(rows)
+            return stats, estimator.fit(rows)
         finally:
             rows.unpersist()
 
@@ -268,8 +281,8 @@ def cross_fit(
 ) -> DataFrame:
     """Training rows with ``fold`` and out-of-fold ``b_i`` / ``<model>_i`` columns.
 
-    The folded rows are written once, partitioned by fold: a fit then skips the files of
-    its held-out fold and a prediction reads only those. The result is written too, since
+    The folded rows are written once, partitioned by fold and action: a fit then reads only
+    the files of its own folds and action, and a prediction those of its held-out fold. The result is written too, since
     every downstream operator reads it. Coverage is checked on the written rows.
     """
     assert_training(df, all_actions=True, spec=spec)
@@ -279,7 +292,7 @@ def cross_fit(
         strategy=config.strategy, spec=spec,
     )
     source = table_path(spark, "folds", df.semanticHash(), config, id(config))
-    folded.write.mode("overwrite").partitionBy("fold").parquet(source)
+    folded.write.mode("overwrite").partitionBy("fold", spec.action).parquet(source)
     rows = require_finite_reward(spark.read.schema(folded.schema).parquet(source), spec.reward)
     if row_bound is None:
         row_bound = rows.count()
@@ -294,14 +307,14 @@ def cross_fit(
             lambda c=c: ActionRewardModel(c, spec=spec).fit(train, row_bound=row_bound, checked=True)
             for c in config.rewards.values()
         ]
-        models = in_parallel(tasks)
+        models = in_parallel(tasks, row_bound)
         if config.behavior is not None:
             out = models.pop(0).predict(out)
         for name, model in zip(config.rewards, models):
             out = model.predict_values(out, name)
         return out
 
-    parts = in_parallel([lambda f=f: held_out(f) for f in range(1, config.n_splits + 1)])
+    parts = in_parallel([lambda f=f: held_out(f) for f in range(1, config.n_splits + 1)], row_bound)
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)

@@ -51,6 +51,10 @@ def test_query_equals_sql(spark, duck, name):
     assert in_order(got) == in_order(want)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - FITTED))
-def test_other_queries_run(spark, name):
+def test_only_fitted_queries_lack_sql():
+    assert set(QUERIES) - set(SQL) == FITTED
+
+
+@pytest.mark.parametrize("name", ["behavior_propensity", "reward_model_ridge"])
+def test_fitted_queries_run(spark, name):
     assert QUERIES[name](spark, SMALL).count() > 0
