@@ -93,7 +93,7 @@ def test_ridge_matches_closed_form_per_action(spark):
     for i, a in enumerate(ACTIONS):
         part = df.filter(F.col("observed_clinician_action") == a)
         x, y = numpy_features(part, None), part.toPandas()["reward"].to_numpy()
-        # sklearn's ridge leaves the intercept unpenalised
+        # the intercept is not penalised
         xc, yc = x - x.mean(0), y - y.mean()
         w = np.linalg.solve(xc.T @ xc + np.eye(x.shape[1]), xc.T @ yc)
         fitted = y.mean() + xc @ w
