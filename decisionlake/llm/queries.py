@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from decisionlake.llm import token_orc
+from decisionlake.llm import fair_mix, token_orc, warc_index, winnowing
 from decisionlake.sources.storage import table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,21 @@ def op3_token_orc(spark, sf_dir):
     path = table_path(spark, "tokens-orc", uuid.uuid4())
     token_orc.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
     return token_orc.token_digests(spark, path)
+
+
+@query
+def op4_fair_mix(spark, sf_dir):
+    return fair_mix.per_row(fair_mix.fair_mix(table(spark, sf_dir, "documents")))
+
+
+@query
+def op8_warc_index(spark, sf_dir):
+    folder = table_path(spark, "warc", uuid.uuid4())
+    index = warc_index.write_warc(table(spark, sf_dir, "pages"), folder)
+    return warc_index.read_records(index, folder).drop("url")
+
+
+@query
+def op6_winnowing(spark, sf_dir):
+    found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("digest")

@@ -2,4 +2,125 @@
 
 from __future__ import annotations
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_SPACED = "[^\\x20\\x09-\\x0D]+"
+_LETTERS = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
+
+
+def _words(text: str, pattern: str) -> str:
+    return f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), '{pattern}')"
+
+
 SQL: dict[str, str] = {}
+
+SQL["op2_minhash_tensor"] = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, {_words("text", _SPACED)} AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN []
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words
+), grams AS (
+  SELECT doc_id, unnest(s) AS g FROM sets
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+  WHERE 100 * both >= 75 * (len(x.s) + len(y.s) - both)
+), edges AS (
+  SELECT a, b FROM links UNION SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM sets
+  UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a
+), least AS (
+  SELECT a, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least ON doc_id = a
+"""
+
+SQL["op4_fair_mix"] = f"""
+WITH sized AS (
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '{_SPACED}')) AS BIGINT) AS size
+  FROM documents
+), alike AS (
+  SELECT *, size * copies AS words FROM (SELECT *, count(*) AS copies FROM sized GROUP BY ALL)
+), sources AS (
+  SELECT source, CAST(sum(words) AS BIGINT) AS source_size FROM alike GROUP BY source
+), placed AS (
+  SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM sources
+), weighed AS (
+  SELECT *, CAST([5, 2, 1][place % 3 + 1] AS DOUBLE) AS weight, source_size * 2e0 AS cap FROM placed
+), levels AS (
+  SELECT *, (sum(source_size) OVER () * 1.5e0 - coalesce(sum(cap) OVER before, 0e0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0e0)) AS level,
+         sum(source_size) OVER () * 1.5e0 AS budget
+  FROM weighed
+  WINDOW before AS (ORDER BY cap / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), opened AS (
+  SELECT arg_min(level, cap / weight) AS open_level FROM levels WHERE cap / weight > level
+), goals AS (
+  SELECT source, place, source_size, budget,
+         CASE WHEN cap / weight <= level THEN cap ELSE least(cap, weight * open_level) END AS target
+  FROM levels LEFT JOIN opened ON true
+), entries AS (
+  SELECT doc_id, digest, place, target, words, budget, turn,
+         md5(concat_ws(':', '42', CAST(turn AS VARCHAR), coalesce(CAST(doc_id AS VARCHAR), 'null'), digest)) AS shuffled
+  FROM alike JOIN goals ON alike.source IS NOT DISTINCT FROM goals.source, (VALUES (0), (1)) AS turns(turn)
+  WHERE words > 0
+), flow AS (
+  SELECT *, sum(words) OVER (PARTITION BY place ORDER BY turn, shuffled, doc_id ROWS UNBOUNDED PRECEDING) / target AS finish FROM entries
+), queue AS (
+  SELECT *, sum(words) OVER (ORDER BY finish, place, turn, shuffled, doc_id ROWS UNBOUNDED PRECEDING) AS used FROM flow
+), times AS (
+  SELECT doc_id, digest, place, count(*) AS times FROM queue WHERE used <= budget GROUP BY ALL
+)
+SELECT s.doc_id, s.size, g.source_size, g.target, CAST(s.size * coalesce(t.times, 0) AS BIGINT) AS taken
+FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source
+LEFT JOIN times t ON s.doc_id IS NOT DISTINCT FROM t.doc_id AND s.digest = t.digest AND g.place = t.place
+"""
+
+SQL["op6_winnowing"] = f"""
+WITH d AS (
+  SELECT doc_id, {_words("text", _LETTERS)} AS w FROM documents
+), b AS (
+  SELECT item_id, {_words("text", _LETTERS)} AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, len(least_w) AS n, array_to_string(least_w, ' ') AS g FROM (
+    SELECT item_id, unnest(CASE WHEN len(w) < 10 THEN [w] ELSE list_transform(range(1, len(w) - 8), lambda i: w[i:i + 9]) END) AS least_w
+    FROM b WHERE len(w) > 0)
+), lengths AS (
+  SELECT DISTINCT n FROM windows
+), places AS (
+  SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, lengths WHERE len(w) >= n
+), hits AS (
+  SELECT doc_id, p, places.n, item_id FROM places JOIN windows
+  ON windows.n = places.n AND windows.g = array_to_string(places.w[p:p + places.n - 1], ' ')
+), covered AS (
+  SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hits GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+SQL["op8_warc_index"] = f"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), r AS (
+  SELECT *, min(page_id) OVER (PARTITION BY html) AS first FROM p
+)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('{_BASE32}',
+         CAST((CAST('0x' || substr(hex, CAST(i // 4 AS INT) * 5 + 1, 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT) + 1, 1)), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM r
+"""

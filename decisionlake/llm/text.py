@@ -14,7 +14,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Text handled at once by one task; a longer text is handled alone.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 _random = np.random.default_rng(20240607)
 _BYTE_VALUES = _random.integers(1, 2**63, 256, dtype=np.uint64) * U64(2) + U64(1)
