@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from decisionlake.llm import fair_mix, token_orc, warc_index, winnowing
+from decisionlake.llm import fair_mix, minhash_tensor, token_orc, warc_index, winnowing
 from decisionlake.sources.storage import table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,3 +52,8 @@ def op8_warc_index(spark, sf_dir):
 def op6_winnowing(spark, sf_dir):
     found = winnowing.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("digest")
+
+
+@query
+def op2_minhash_tensor(spark, sf_dir):
+    return minhash_tensor.near_duplicates(table(spark, sf_dir, "documents")).drop("digest")

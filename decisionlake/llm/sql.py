@@ -24,11 +24,11 @@ WITH RECURSIVE words AS (
 ), grams AS (
   SELECT doc_id, unnest(s) AS g FROM sets
 ), shared AS (
-  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
   FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
 ), links AS (
   SELECT a, b FROM shared JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
-  WHERE 100 * both >= 75 * (len(x.s) + len(y.s) - both)
+  WHERE 100 * common >= 75 * (len(x.s) + len(y.s) - common)
 ), edges AS (
   SELECT a, b FROM links UNION SELECT b, a FROM links
 ), reach AS (

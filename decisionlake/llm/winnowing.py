@@ -22,11 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from decisionlake.llm.graph import bitmap, in_bitmap
 from decisionlake.llm.text import LETTERS, Words, gram_hashes, minima, signed, slices
 from decisionlake.sources.storage import cut
 
 SPAN, K = 10, 5
-BITS = 25
 
 _HIT = "hash bigint, pos int, words int, around array<bigint>"
 _SCANNED = f"doc_id bigint, digest bigint, n_words bigint, found array<struct<{_HIT.replace(' ', ':').replace(',:', ',')}>>"
@@ -113,22 +113,10 @@ def item_index(items: DataFrame, span: int = SPAN, k: int = K) -> DataFrame:
     return cut(rows.mapInArrow(_item_task(span, k), "item_id bigint, hash bigint, words int, around array<bigint>").distinct(), "items")
 
 
-def bitmap(index: DataFrame) -> np.ndarray:
-    """A bit for the leading bits of each hash, as words of 64; at most 2**BITS / 64 rows reach the driver."""
-    bit = F.shiftrightunsigned("hash", 64 - BITS)
-    rows = index.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(hash, {64 - BITS}) & 63 as int))")).alias("bits"))
-    out = np.zeros(1 << (BITS - 6), np.int64)
-    for word, bits in rows.collect():
-        out[word] = bits
-    return out.view(np.uint64)
-
-
 def _document_task(span: int, k: int, lengths: tuple[int, ...], shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(shared.value.view(np.uint8), bitorder="little").view(bool)
-
         def keep(h):
-            return bits[(h >> np.uint64(64 - BITS)).astype(np.int64)]
+            return in_bitmap(shared.value, h)
 
         for batch in batches:
             for rows in slices(batch):
@@ -182,7 +170,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, span: int = SPAN, k: int =
     index = item_index(items, span, k)
     windows = cut(index.select("hash", "words", "around").distinct().withColumn("window", F.monotonically_increasing_id()), "windows")
     lengths = tuple(sorted(r[0] for r in index.select("words").distinct().collect() if r[0] < span))
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap(index))
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap(index, "hash"))
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"), "text")
     scanned = rows.mapInArrow(_document_task(span, k, lengths, shared), _SCANNED)
     scanned = cut(scanned.withColumn("rid", F.monotonically_increasing_id()), "scanned")
