@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from decisionlake.llm import fair_mix, minhash_tensor, token_orc, warc_index, winnowing
+from decisionlake.llm import fair_mix, minhash_tensor, token_orc, toxicity, warc_index, winnowing
 from decisionlake.sources.storage import table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,8 @@ def op6_winnowing(spark, sf_dir):
 @query
 def op2_minhash_tensor(spark, sf_dir):
     return minhash_tensor.near_duplicates(table(spark, sf_dir, "documents")).drop("digest")
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("digest")

@@ -160,3 +160,29 @@ def minima(values: np.ndarray, width: int) -> np.ndarray:
     if rest:
         values = np.minimum(values[:-rest], values[rest:]) if len(values) > rest else values[:0]
     return values
+
+
+class WordMemory:
+    """Remembers a small row of numbers for each distinct word, under its hash, in bounded memory.
+
+    ``compute(word)`` gives the row of a word not yet known; of two words in one slot the later stays.
+    """
+
+    BITS = 20
+
+    def __init__(self, compute, width: int):
+        self.compute = compute
+        self.seen = np.zeros(1 << self.BITS, np.uint64)
+        self.rows = np.zeros((1 << self.BITS, width), np.float32)
+
+    def lookup(self, words: Words) -> np.ndarray:
+        at = (words.hash >> U64(64 - self.BITS)).astype(np.int64)
+        out = self.rows[at]
+        miss = np.flatnonzero(self.seen[at] != words.hash)
+        if len(miss):
+            new, which, back = np.unique(words.hash[miss], return_index=True, return_inverse=True)
+            own = np.array([self.compute(words.word(i)) for i in miss[which]], np.float32).reshape(len(new), -1)
+            out[miss] = own[back]
+            at = (new >> U64(64 - self.BITS)).astype(np.int64)
+            self.seen[at], self.rows[at] = new, own
+        return out
