@@ -6,8 +6,9 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from decisionlake.llm import fair_mix, minhash_tensor, token_orc, toxicity, warc_index, winnowing
+from decisionlake.llm import fair_mix, lattice_lm, minhash_tensor, token_orc, toxicity, warc_index, winnowing
 from decisionlake.sources.storage import table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +63,9 @@ def op2_minhash_tensor(spark, sf_dir):
 @query
 def op10_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("digest")
+
+
+@query
+def op1_lattice_lm(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return lattice_lm.score(table(spark, sf_dir, "documents"), held_out, vocabulary("piece_bpe_32k.model"))
