@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from decisionlake.llm import fair_mix, lattice_lm, minhash_tensor, token_orc, toxicity, warc_index, winnowing
+from decisionlake.llm import ann_scan, fair_mix, lattice_lm, minhash_tensor, token_orc, toxicity, warc_index, winnowing
 from decisionlake.sources.storage import table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +69,9 @@ def op10_toxicity(spark, sf_dir):
 def op1_lattice_lm(spark, sf_dir):
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     return lattice_lm.score(table(spark, sf_dir, "documents"), held_out, vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op5_ann_scan(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann_scan.search(ann_scan.build(vectors), vectors.filter("vec_id % 20 = 0"))
