@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from decisionlake.llm import ann_scan, fair_mix, lattice_lm, minhash_tensor, token_orc, toxicity, warc_index, winnowing
+from decisionlake.llm import ann_scan, fair_mix, lattice_lm, minhash_tensor, run_index, token_orc, toxicity, warc_index, winnowing
 from decisionlake.sources.storage import table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ def op1_lattice_lm(spark, sf_dir):
 def op5_ann_scan(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return ann_scan.search(ann_scan.build(vectors), vectors.filter("vec_id % 20 = 0"))
+
+
+@query
+def op9_run_index(spark, sf_dir):
+    return run_index.remove_repeats(table(spark, sf_dir, "documents"))
