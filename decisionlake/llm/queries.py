@@ -62,7 +62,7 @@ def op2_minhash_tensor(spark, sf_dir):
 
 @query
 def op10_toxicity(spark, sf_dir):
-    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("digest")
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 @query

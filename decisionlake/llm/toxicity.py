@@ -27,6 +27,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from decisionlake.llm.text import LETTERS, WordMemory, Words, slices
 from decisionlake.sources.storage import cut
@@ -217,14 +218,15 @@ def _feature_task(shared):
     return run
 
 
-def _score_task(shared, weights: list[float], bias: float):
+def _score_task(shared, weights: list[float], bias: float, column: str):
+    """All columns of the rows, and the score."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer, w = Scorer(*shared.value), np.array(weights)
         for batch in batches:
             for rows in slices(batch):
                 score = 1 / (1 + np.exp(-(scorer.features(rows.column("text")) @ w + bias)))
-                columns = [c for c in rows.schema.names if c != "text"]
-                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in columns), pa.array(score)], [*columns, "score"])
+                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(score)], [*rows.schema.names, column])
 
     return run
 
@@ -289,15 +291,19 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     return shared, [float(w) for w in fit.coefficients], float(fit.intercept + shift)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """``doc_id, digest, held_out, score, predicted`` per row of ``docs``."""
+def scored(docs: DataFrame, labels: DataFrame, column: str = "score", sample: int = SAMPLE) -> DataFrame:
+    """The rows and columns of ``docs`` with the score in one column more, whose name must be new."""
     shared, weights, bias = learn(docs, labels, sample)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"), "text")
     if shared is None:
-        rows = rows.select("doc_id", "digest", F.lit(1.0 if bias > 0 else 0.0).alias("score"))
-    else:
-        rows = rows.mapInArrow(_score_task(shared, weights, bias), "doc_id bigint, digest bigint, score double")
-    return rows.select(
-        "doc_id", "digest", F.coalesce(remainder() == 0, F.lit(False)).alias("held_out"), "score",
+        return docs.withColumn(column, F.lit(1.0 if bias > 0 else 0.0))
+    schema = T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())])
+    return docs.mapInArrow(_score_task(shared, weights, bias, column), schema)
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` per row of ``docs``."""
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return scored(rows, labels, "score", sample).select(
+        "doc_id", F.coalesce(remainder() == 0, F.lit(False)).alias("held_out"), "score",
         F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
     )
