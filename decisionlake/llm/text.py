@@ -78,6 +78,8 @@ class Prefix:
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts in a row and the n+1 offsets of the texts; null is empty."""
     if column.null_count:
+        if pa.types.is_null(column.type):
+            column = column.cast(pa.string())
         column = column.fill_null(b"" if pa.types.is_binary(column.type) else "")
     if pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
         kind = np.int64
@@ -106,10 +108,13 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_BYTES
 class Words:
     """The words of consecutive texts: byte ranges, folded hashes, and where each text begins."""
 
-    def __init__(self, column: pa.Array, alphabet: np.ndarray = NOT_SPACE):
+    def __init__(self, column: pa.Array, alphabet: np.ndarray = NOT_SPACE, hide=None):
+        """``hide`` gives, for the bytes, those that are of no word besides those outside the alphabet."""
         self.data, self.offsets = column_bytes(column)
         inside = np.zeros(len(self.data) + 2, bool)
         inside[1:-1] = alphabet[self.data]
+        if hide is not None:
+            inside[1:-1] &= ~hide(self.data)
         first = inside[1:] & ~inside[:-1]
         last = inside[:-1] & ~inside[1:]
         cuts = self.offsets[1:-1]  # a text ends here even where both neighbours are of the alphabet

@@ -80,9 +80,10 @@ class Encoder:
         text = word.decode("utf-8")
         core = text.rstrip(".,;:!?#*%&$()[]{}\"/|+=<>_-")
         signs = text[len(core) :]
-        if not core.isalpha() or not is_normalized("NFC", core):
+        # a capital sigma is lower-cased by its place, and some letters become a letter and a sign
+        if not core.isalpha() or "Σ" in core or not is_normalized("NFC", core) or not core.lower().isalpha():
             return self._whole(text)
-        core = core if core.isascii() else "".join(c.lower() for c in core)
+        core = core.lower()
         ids = [t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, core.encode())))]
         if signs:
             if signs not in self.signs:

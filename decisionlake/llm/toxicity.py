@@ -37,6 +37,7 @@ TERMS, STEMS, CONTEXT_WORDS = 500, 200, 20_000
 #: Least log-odds of a term and a stem, and least evidence (see ``_evidence``).
 MIN_ODDS, STEM_ODDS = 2.0, 3.0
 MIN_EVIDENCE, STEM_EVIDENCE = 8.0, 13.0
+MISSPELLED = 0.8
 STEM_LENGTHS = range(4, 8)
 MIN_FUZZY, MAX_EDITS, WINDOW, QUOTE_BYTES = 5, 1, 6, 400
 FEATURES = 7
@@ -133,7 +134,7 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many documents of each label a word occurs, added up for each slice."""
     for batch in batches:
         for rows in slices(batch):
-            words = Words(rows.column("text"), LETTERS)
+            words = Words(rows.column("text"), LETTERS, hide=_mark_bytes)
             document = words.document()
             label = rows.column("toxic").to_numpy(zero_copy_only=False)
             order = np.lexsort((document, words.hash))
@@ -151,6 +152,25 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(toxic, pa.int32()), pa.array(n, pa.int64())], ["word", "toxic", "n"])
 
 
+def _marks(data: np.ndarray) -> np.ndarray:
+    """Where a quotation mark begins: the straight one, two curly ones and two angular ones."""
+    mark = data == 0x22
+    if len(data) > 2:
+        mark[:-2] |= (data[:-2] == 0xE2) & (data[1:-1] == 0x80) & ((data[2:] == 0x9C) | (data[2:] == 0x9D))
+    if len(data) > 1:
+        mark[:-1] |= (data[:-1] == 0xC2) & ((data[1:] == 0xAB) | (data[1:] == 0xBB))
+    return mark
+
+
+def _mark_bytes(data: np.ndarray) -> np.ndarray:
+    mark = _marks(data)
+    out = mark.copy()
+    wide = np.flatnonzero(mark & (data != 0x22))
+    out[wide + 1] = True
+    out[wide[data[wide] == 0xE2] + 2] = True
+    return out
+
+
 class Scorer:
     """Features of texts: what hits there are, how they are written, quoted and surrounded."""
 
@@ -163,7 +183,7 @@ class Scorer:
         return self.lexicon.distance(text), self.context.get(text, 0.0)
 
     def features(self, column: pa.Array) -> np.ndarray:
-        words = Words(column, LETTERS)
+        words = Words(column, LETTERS, hide=_mark_bytes)
         n = len(words.at) - 1
         rows = self.memory.lookup(words)
         hits = np.flatnonzero(rows[:, 0] >= 0) if len(rows) else np.empty(0, np.int64)
@@ -180,26 +200,24 @@ class Scorer:
 
         plain = ~quoted
         out = np.zeros((n, FEATURES))
-        out[:, 0] = np.log1p(total(exact & plain))
+        # a misspelled hit counts nearly as much as an exact one; feature 1 tells where that is wrong
+        weight = np.where(exact, 1.0, MISSPELLED)
+        out[:, 0] = np.log1p(total(plain, weight))
         out[:, 1] = np.log1p(total(~exact & plain))
         out[:, 2] = np.log1p(total(quoted))
-        out[:, 3] = total(exact & plain) > 0
+        out[:, 3] = np.minimum(total(plain, weight), 1.0)
         every = np.ones(len(hits), bool)
         count = np.maximum(total(every), 1)
         out[:, 4] = total(every, around) / count
         out[:, 5] = np.clip(total(plain, np.maximum(around, 0.0)), 0, 10)
-        out[:, 6] = 10 * total(exact & plain) / np.maximum(np.diff(words.at), 10)
+        out[:, 6] = 10 * total(plain, weight) / np.maximum(np.diff(words.at), 10)
         return out
 
     @staticmethod
     def _quoted(words: Words, hits: np.ndarray, document: np.ndarray) -> np.ndarray:
         """Between two quotation marks of the same text, the second within ``QUOTE_BYTES``."""
         data = words.data
-        mark = data == 0x22
-        if len(data) > 2:
-            mark[:-2] |= (data[:-2] == 0xE2) & (data[1:-1] == 0x80) & ((data[2:] == 0x9C) | (data[2:] == 0x9D))
-            mark[:-1] |= (data[:-1] == 0xC2) & ((data[1:] == 0xAB) | (data[1:] == 0xBB))
-        marks = np.append(np.flatnonzero(mark), len(data) + QUOTE_BYTES + 1)
+        marks = np.append(np.flatnonzero(_marks(data)), len(data) + QUOTE_BYTES + 1)
         before = np.searchsorted(marks, words.start[hits])
         inside = (before - np.searchsorted(marks, words.offsets[document])) % 2 == 1
         close = marks[np.minimum(before, len(marks) - 1)]
