@@ -12,12 +12,15 @@ built-in operator is used; otherwise, or when nothing is known, the split form i
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from decisionlake.sources.storage import cut
+
 #: Rows that one task may sort or hold as a single group.
 TASK_ROWS = 5_000_000
 #: Rows of a side that may be broadcast.
@@ -51,26 +54,21 @@ def neighbours(
 ) -> DataFrame:
     """Add the row number and the previous / next row of each key, in ``position`` order.
 
-    ``position`` is an integer column; ``behind`` and ``ahead`` are ``(name, columns)``
-    and become struct columns, NULL at the edge. Keys with at most ``task_rows`` rows use
-    one plain window. Hotter keys are cut into slices of ``position``; every slice is
-    windowed on its own and the seams are closed with one summary row per slice.
+    ``behind`` and ``ahead`` are ``(name, columns)`` and become struct columns, NULL at the edge;
+    NULL positions come first and NULL keys are a key. Keys with at most ``task_rows`` rows use one
+    plain window. Hotter keys are range-sorted into slices; every slice is windowed on its own and
+    the seams are closed with one summary row per slice.
     """
     if is_small(row_bound, task_rows):
         return _plain_neighbours(df, key, position, tie, number, behind, ahead)
-    hot = (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_key"))
-        .agg(F.count("*").alias("_n"), F.min(position).alias("_lo"), F.max(position).alias("_hi"))
-        .filter(F.col("_n") > task_rows)
-        .persist()
+    hot = cut(
+        df.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n")).filter(F.col("_n") > task_rows), "hot-keys"
     )
     if hot.isEmpty():
-        hot.unpersist()
         return _plain_neighbours(df, key, position, tie, number, behind, ahead)
-
-    cold = df.join(hot, F.col(key) == F.col("_key"), "left_anti")
-    sliced = _slice_hot_rows(df, hot, key, position, task_rows)
+    hot = small_side(hot)
+    cold = df.join(hot, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    sliced = _slice_hot_rows(df, hot, key, [position, *tie])
     return _plain_neighbours(cold, key, position, tie, number, behind, ahead).unionByName(
         _sliced_neighbours(sliced, key, position, tie, number, behind, ahead)
     )
@@ -88,41 +86,33 @@ def _plain_neighbours(df, key, position, tie, number, behind, ahead):
     return df.withColumns(added)
 
 
-def _slice_hot_rows(df, hot, key, position, task_rows):
-    """Rows of hot keys with a ``_slice`` of at most ``task_rows`` rows each."""
-    pieces = 2
-    while True:
-        width = F.greatest(
-            F.lit(1.0),
-            F.ceil((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") * pieces / task_rows)),
-        ).cast("bigint")
-        sliced = df.join(hot, F.col(key) == F.col("_key")).withColumn("_width", width).withColumn(
-            "_slice", F.floor((F.col(position) - F.col("_lo")) / F.col("_width"))
-        )
-        fullest = (
-            sliced.groupBy(key, "_slice")
-            .agg(F.count("*").alias("rows"), F.max("_width").alias("width"))
-            .filter((F.col("rows") > task_rows) & (F.col("width") > 1))
-        )
-        if fullest.isEmpty():
-            return sliced.drop("_key", "_n", "_lo", "_hi", "_width")
-        pieces *= 8
+def _slice_hot_rows(df, hot, key, order):
+    """Rows of hot keys, written in ranges of key and order; a range of a key is its ``_slice``.
+
+    A range holds the rows of a sample's share of all hot rows, however they are spread over keys and
+    positions, NULL ones included; rows equal in key and order, ``tie`` included, share a range.
+    """
+    rows = df.join(hot, F.col(key).eqNullSafe(F.col("_key"))).drop("_key", "_n")
+    ranged = rows.repartitionByRange(F.col(key).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in order])
+    return cut(ranged.withColumn("_slice", F.spark_partition_id()), "hot-rows")
 
 
 def _sliced_neighbours(sliced, key, position, tie, number, behind, ahead):
-    order = F.struct(position, *tie)
     w = Window.partitionBy(key, "_slice").orderBy(position, *tie)
+    first, last = F.col("_seam_row") == 0, F.col("_seam_back") == 0
+    added = {"_seam_row": (F.row_number().over(w) - 1).cast("bigint"),
+             "_seam_back": (F.count("*").over(Window.partitionBy(key, "_slice")) - F.row_number().over(w)).cast("bigint")}
     seams = [F.count("*").alias("_seam_rows")]
-    added = {"_seam_row": (F.row_number().over(w) - 1).cast("bigint")}
     if behind:
         added[behind[0]] = F.lag(F.struct(*behind[1])).over(w)
-        seams.append(F.max_by(F.struct(*behind[1]), order).alias("_seam_last"))
+        seams.append(F.max(F.when(last, F.struct(*behind[1]))).alias("_seam_last"))
     if ahead:
         added[ahead[0]] = F.lead(F.struct(*ahead[1])).over(w)
-        seams.append(F.min_by(F.struct(*ahead[1]), order).alias("_seam_first"))
+        seams.append(F.max(F.when(first, F.struct(*ahead[1]))).alias("_seam_first"))
+    numbered = sliced.withColumns(added)
 
     across = Window.partitionBy(key).orderBy("_slice")
-    edges = sliced.groupBy(key, "_slice").agg(*seams)
+    edges = numbered.groupBy(key, "_slice").agg(*seams)
     edge_columns = {
         "_seam_before": F.coalesce(
             F.sum("_seam_rows").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
@@ -133,15 +123,17 @@ def _sliced_neighbours(sliced, key, position, tie, number, behind, ahead):
     if ahead:
         edge_columns["_seam_next"] = F.lead("_seam_first").over(across)
     edges = edges.withColumns(edge_columns).drop("_seam_rows", "_seam_last", "_seam_first")
+    edges = edges.withColumnsRenamed({key: "_seam_key", "_slice": "_seam_slice"})
 
-    out = sliced.withColumns(added).join(edges, [key, "_slice"])
+    same = F.col(key).eqNullSafe(F.col("_seam_key")) & (F.col("_slice") == F.col("_seam_slice"))
+    out = numbered.join(edges, same)
     if number:
         out = out.withColumn(number, F.col("_seam_row") + F.col("_seam_before"))
     if behind:
-        out = out.withColumn(behind[0], F.coalesce(F.col(behind[0]), F.col("_seam_previous")))
+        out = out.withColumn(behind[0], F.when(first, F.col("_seam_previous")).otherwise(F.col(behind[0])))
     if ahead:
-        out = out.withColumn(ahead[0], F.coalesce(F.col(ahead[0]), F.col("_seam_next")))
-    return out.drop("_slice", "_seam_row", "_seam_before", "_seam_previous", "_seam_next")
+        out = out.withColumn(ahead[0], F.when(last, F.col("_seam_next")).otherwise(F.col(ahead[0])))
+    return out.drop("_slice", *[c for c in out.columns if c.startswith("_seam_")])
 
 
 def number_in_blocks(
@@ -228,6 +220,30 @@ def group_quantiles(
 _GRID = 1000
 
 
+def _ordinal(x: float) -> int:
+    """Doubles as integers in the same order, with NaN last as Spark sorts it."""
+    if math.isnan(x):
+        return 1 << 63
+    bits = struct.unpack("<q", struct.pack("<d", x + 0.0))[0]
+    return bits if bits >= 0 else -(bits & ((1 << 63) - 1))
+
+
+def _between(lo: float, hi: float) -> float:
+    """The double halfway between two, counted in doubles: ``lo`` itself if they are neighbours."""
+    at = (_ordinal(lo) + min(_ordinal(hi), _ordinal(math.inf) + 1)) // 2
+    size = struct.unpack("<d", struct.pack("<q", abs(at)))[0]
+    return math.copysign(size, at)
+
+
+def _same(bracket: dict) -> bool:
+    return _ordinal(bracket["lo"]) == _ordinal(bracket["hi"])
+
+
+def _interpolated(a: float, b: float, share: float) -> float:
+    """Between two neighbours; equal ones, infinities too, stand for themselves."""
+    return a if a == b else (1 - share) * a + share * b
+
+
 def _bracketed_quantiles(df, groups, values, probabilities, task_rows):
     spark = df.sparkSession
     long = df.select(
@@ -267,7 +283,7 @@ def _bracketed_quantiles(df, groups, values, probabilities, task_rows):
     points = left.join(small_side(cell_frame).alias("c"), same).select("cell", "x")
 
     def open_brackets(limit):
-        return [k for k, b in wanted.items() if b["lo"] < b["hi"] and b["inside"] > limit]
+        return [k for k, b in wanted.items() if not _same(b) and b["inside"] > limit]
 
     def inside(keys, bounds):
         frame = spark.createDataFrame(
@@ -293,7 +309,7 @@ def _bracketed_quantiles(df, groups, values, probabilities, task_rows):
             lo = sketch[i][max(0, math.floor(at) - 1)]
             hi = sketch[i][min(_GRID, math.ceil(at) + 1)]
             if (lo, hi) == whole[k]:
-                hi = lo + (hi - lo) / 2
+                hi = _between(lo, hi)
             guess[k] = (lo, hi)
         counted = spark.createDataFrame(
             [(k[0], i, *whole[k], *guess[k]) for i, k in enumerate(keys)],
@@ -314,6 +330,7 @@ def _bracketed_quantiles(df, groups, values, probabilities, task_rows):
         }
         for i, k in enumerate(keys):
             b, row, rank = wanted[k], counts[i], k[1] - wanted[k]["below"]
+            before = (b["lo"], b["hi"])
             if rank < row["under"]:
                 b.update(hi=row["last_under"], inside=row["under"])
             elif rank < row["upto"]:
@@ -322,8 +339,10 @@ def _bracketed_quantiles(df, groups, values, probabilities, task_rows):
             else:
                 b.update(lo=row["first_over"], below=b["below"] + row["upto"],
                          inside=b["inside"] - row["upto"])
+            if (b["lo"], b["hi"]) == before:
+                raise AssertionError(f"a bracket did not shrink: {b}")
 
-    found = {k: b["lo"] for k, b in wanted.items() if b["lo"] == b["hi"]}
+    found = {k: b["lo"] for k, b in wanted.items() if _same(b)}
     rest = [k for k in wanted if k not in found]
     if rest:
         frame = spark.createDataFrame(
@@ -356,7 +375,7 @@ def _bracketed_quantiles(df, groups, values, probabilities, task_rows):
                 at = p * (cell["n"] - 1)
                 lower, upper = math.floor(at), math.ceil(at)
                 a, b = found[(c, lower)], found[(c, upper)]
-                quantiles.append(a if lower == upper else (upper - at) * a + (at - lower) * b)
+                quantiles.append(a if lower == upper else _interpolated(a, b, at - lower))
         out.setdefault(group, {})[cell["v"]] = quantiles
     schema = T.StructType(
         [df.schema[g] for g in groups]

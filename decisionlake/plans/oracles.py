@@ -34,7 +34,7 @@ e AS (
   FROM e WINDOW w AS (PARTITION BY uid ORDER BY ts, event_id)
 ), traj AS (
 SELECT
-  concat('p', lpad(CAST(uid AS VARCHAR), 6, '0')) AS patient_id,
+  concat('p', lpad(CAST(uid AS VARCHAR), CAST(greatest(6, length(CAST(uid AS VARCHAR))) AS INT), '0')) AS patient_id,
   time_step,
   time_step * 6 AS hours_since_admission,
   CASE WHEN h % 10 < 6 THEN 'train' WHEN h % 10 < 8 THEN 'validation' ELSE 'test' END AS split,

@@ -62,7 +62,7 @@ def trajectories_from_events(
         return F.when(k % modulus != 0, expr.cast("double"))
 
     return steps.select(
-        F.concat(F.lit("p"), F.lpad(uid.cast("string"), 6, "0")).alias("patient_id"),
+        F.concat(F.lit("p"), F.when(uid.cast("string").rlike("^.{6}"), uid.cast("string")).otherwise(F.lpad(uid.cast("string"), 6, "0"))).alias("patient_id"),
         "time_step",
         (F.col("time_step") * 6).alias("hours_since_admission"),
         F.when(F.col("h") < 6, "train").when(F.col("h") < 8, "validation").otherwise("test").alias("split"),

@@ -97,3 +97,45 @@ def test_order_of_wall_clock_times_ignores_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert sorted(rows) == sorted(trajectories_from_events(events, 10**6).collect())
+
+
+POSITIONS = [None, None, 1, 1, 1, 2, 5, 5, 9, 10**12, -4]
+
+
+@pytest.mark.parametrize("limit", [2, 4])
+def test_both_window_forms_agree_on_null_positions_ties_and_hot_null_keys(spark, limit):
+    rows = [(k, p, i, f"v{i}" if i % 4 else None) for k in ("x", None, "y") for i, p in enumerate(POSITIONS * (3 if k != "y" else 1))]
+    df = spark.createDataFrame(rows, "k string, t bigint, i int, v string")
+    args = dict(tie=("i",), number="n", behind=("before", ["v"]), ahead=("after", ["v", "i"]))
+    plain = scale.neighbours(df, "k", "t", row_bound=1, **args)
+    split = scale.neighbours(df, "k", "t", task_rows=limit, **args)
+    same(plain, split)
+    assert split.count() == len(rows)
+
+
+def test_many_rows_at_one_position_are_split_by_the_tie(spark):
+    df = spark.range(300).select(F.lit("x").alias("k"), F.lit(3).alias("t"), "id")
+    args = dict(tie=("id",), number="n", behind=("before", ["id"]))
+    same(scale.neighbours(df, "k", "t", row_bound=1, **args), scale.neighbours(df, "k", "t", task_rows=20, **args))
+
+
+@pytest.mark.parametrize("values", [
+    [0.3] * 10 + [0.1 + 0.2] * 10,
+    [float("inf")] * 9 + [1.0] * 3 + [float("-inf")] * 9,
+    [float("nan")] * 9 + [2.0, 3.0, 4.0],
+    [0.0, -0.0] * 6 + [5e-324] * 7,
+    [-1.0] * 12 + [-1.0000000000000002] * 12 + [None],
+])
+def test_both_quantile_forms_agree_on_awkward_values(spark, values):
+    df = spark.createDataFrame([(float(v) if v is not None else None,) for v in values], "x double")
+    probs = (0.0, 0.25, 0.5, 0.75, 1.0)
+    plain = scale.group_quantiles(df, [], ["x"], probs, row_bound=1).first()[0]
+    split = scale.group_quantiles(df, [], ["x"], probs, row_bound=10**9, task_rows=4).first()[0]
+    assert [str(float(a)).replace("-0.0", "0.0") for a in split] == [str(float(a)).replace("-0.0", "0.0") for a in plain]
+
+
+def test_long_user_ids_stay_apart(spark):
+    events = data.table(spark, SMALL, "events").withColumn("user_id", F.col("user_id") + 12_345_600)
+    out = trajectories_from_events(events, 10**6)
+    assert out.select("patient_id").distinct().count() == events.select("user_id").distinct().count()
+    assert out.groupBy("patient_id", "time_step").count().filter("count > 1").isEmpty()
