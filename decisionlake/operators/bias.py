@@ -11,6 +11,7 @@ from decisionlake.functions.vectors import (
     action_index, argmax, below, count_if, finite, pick, rate,
 )
 from decisionlake.operators.metrics import QUARTILE_NAMES, quantile_summary, reward_summary, side_by_side, to_long, union_long
+from decisionlake.operators.validate import assert_selection_source
 from decisionlake.spec import DEFAULT, TrajectorySpec
 
 MODELS = ("ridge", "nonlinear")
@@ -179,6 +180,8 @@ def bias_report(
     spec: TrajectorySpec = DEFAULT,
 ) -> DataFrame:
     """Every bias diagnostic in the long metric layout."""
+    values = [v for m in models for v in spec.indexed(m)]
+    assert_selection_source(df, spec.indexed("b"), values, "fold" if "fold" in df.columns else None, spec)
     ranked = ranked_rows(df, models, spec=spec)
     bound = None if row_bound is None else len(models) * row_bound
     rates = [f"top_rate_{i}" for i in range(len(spec.actions))]

@@ -14,8 +14,11 @@ from decisionlake.functions.vectors import (
 )
 from decisionlake.operators.metrics import quantile_summary, to_long, union_long
 from decisionlake.operators.scale import top_per_group
+from decisionlake.operators.validate import assert_selection_source
+from decisionlake.sources.storage import cut
 from decisionlake.spec import DEFAULT, TrajectorySpec
 
+# Stage names, in order.
 STAGES = (
     "at_least_two_supported_actions",
     "models_agree_on_preferred_action",
@@ -42,13 +45,13 @@ class ContrastiveRules:
 
     def __post_init__(self):
         if not 0.0 <= self.minimum_propensity <= 1.0:
-            raise ValueError("minimum_propensity must be between zero and one.")
+            raise ValueError("minimum_propensity is a probability.")
         if self.minimum_advantage < 0 or self.maximum_value_disagreement < 0:
-            raise ValueError("Advantage and disagreement limits must be non-negative.")
+            raise ValueError("Limits on advantage and disagreement cannot be below zero.")
         if self.max_examples_per_action <= 0 or self.minimum_examples_per_action <= 0:
-            raise ValueError("Example counts must be positive.")
+            raise ValueError("Caps and minimum counts must be at least one.")
         if self.minimum_logged_reward is not None and not math.isfinite(self.minimum_logged_reward):
-            raise ValueError("minimum_logged_reward must be finite or None.")
+            raise ValueError("minimum_logged_reward takes a finite number, or None for no floor.")
 
 
 def contrastive_stages(
@@ -162,10 +165,16 @@ def balance_candidates(
     return best.orderBy(action_index("preferred_action", spec.actions), "example_rank")
 
 
+def assert_contrastive_source(df: DataFrame, rules: ContrastiveRules, spec: TrajectorySpec = DEFAULT) -> DataFrame:
+    values = [v for m in rules.models for v in spec.indexed(m)]
+    return assert_selection_source(df, spec.indexed(rules.behavior), values, spec=spec)
+
+
 def build_contrastive_examples(
     df: DataFrame, rules: ContrastiveRules = ContrastiveRules(), *,
     row_bound: int | None = None, spec: TrajectorySpec = DEFAULT,
 ) -> DataFrame:
+    assert_contrastive_source(df, rules, spec)
     staged = contrastive_stages(df, rules, spec)
     return balance_candidates(contrastive_candidates(staged, rules, spec), rules, row_bound, spec)
 
@@ -200,9 +209,11 @@ def contrastive_report(
     row_bound: int | None = None, spec: TrajectorySpec = DEFAULT,
 ) -> DataFrame:
     """Thresholds, funnel, readiness and quantile summaries as one long frame."""
+    assert_contrastive_source(df, rules, spec)
     staged = contrastive_stages(df, rules, spec)
     candidates = contrastive_candidates(staged, rules, spec)
-    selected = balance_candidates(candidates, rules, row_bound, spec)
+    # at most the cap times the actions: written once, read by every section below
+    selected = cut(balance_candidates(candidates, rules, row_bound, spec), "contrastive-selected")
     low = below(spec.pressure, spec.low_pressure)
     selected_bound = rules.max_examples_per_action * len(spec.actions)
     ready = contrastive_readiness(candidates, selected, rules, spec)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from decisionlake.functions.vectors import action_index, below, pick, rate
 from decisionlake.operators.metrics import quantile_summary, side_by_side, to_long, union_long
 from decisionlake.operators.scale import group_quantiles, top_per_group
-from decisionlake.operators.validate import require_columns
+from decisionlake.operators.validate import assert_selection_source, require_columns
+from decisionlake.sources.storage import cut
 from decisionlake.spec import DEFAULT, TrajectorySpec
 
 # The two labels, in library order.
@@ -32,11 +33,11 @@ class FactualRules:
 
     def __post_init__(self):
         if not 0.0 <= self.lower_reward_quantile < self.upper_reward_quantile <= 1.0:
-            raise ValueError("Reward quantiles must satisfy 0 <= lower < upper <= 1.")
+            raise ValueError("The lower reward quantile must lie below the upper one, both within 0 and 1.")
         if not 0.0 <= self.minimum_logged_propensity <= 1.0:
-            raise ValueError("minimum_logged_propensity must be between zero and one.")
+            raise ValueError("minimum_logged_propensity is a probability.")
         if self.max_examples_per_cell <= 0 or self.minimum_examples_per_cell <= 0:
-            raise ValueError("Example counts must be positive.")
+            raise ValueError("Caps and minimum counts must be at least one.")
 
 
 def reward_thresholds(
@@ -104,6 +105,7 @@ def factual_library(
 
     ``library_rank`` records that order, on which retrieval ties depend.
     """
+    assert_selection_source(df, spec.indexed(rules.behavior), spec=spec)
     thresholds = reward_thresholds(df, rules, row_bound=row_bound, spec=spec)
     kept = one_per_patient(supported_candidates(df, thresholds, rules, spec), spec)
     best = top_per_group(
@@ -153,6 +155,7 @@ def factual_report(
 ) -> DataFrame:
     """Thresholds, cell counts, readiness and support of the library in the long layout."""
     low = below(spec.pressure, spec.low_pressure)
+    library = cut(library, "factual-library")
     ready = factual_readiness(df, library, rules, row_bound=row_bound, spec=spec)
     cap = rules.max_examples_per_cell * len(spec.actions) * len(LABELS)
     return union_long([

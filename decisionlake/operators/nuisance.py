@@ -6,6 +6,7 @@ appended to the row (``b_0..``, ``ridge_0..``), so nothing is aligned by positio
 
 from __future__ import annotations
 
+import uuid
 import json
 import math
 from collections.abc import Callable, Sequence
@@ -291,7 +292,7 @@ def cross_fit(
         with_reward(df, name=spec.reward, spec=spec), config.n_splits, config.seed,
         strategy=config.strategy, spec=spec,
     )
-    source = table_path(spark, "folds", df.semanticHash(), config, id(config))
+    source = table_path(spark, "folds", uuid.uuid4())
     folded.write.mode("overwrite").partitionBy("fold", spec.action).parquet(source)
     rows = require_finite_reward(spark.read.schema(folded.schema).parquet(source), spec.reward)
     if row_bound is None:
@@ -318,7 +319,7 @@ def cross_fit(
     result = parts[0]
     for part in parts[1:]:
         result = result.unionByName(part)
-    target = table_path(spark, "estimates", df.semanticHash(), config, id(config))
+    target = table_path(spark, "estimates", uuid.uuid4())
     result.write.mode("overwrite").parquet(target)
     estimates = spark.read.schema(result.schema).parquet(target)
     _require_coverage(rows, estimates, config, spec)

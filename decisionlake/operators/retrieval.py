@@ -14,6 +14,7 @@ from decisionlake.operators.factual import LABELS, assert_library
 from decisionlake.operators.features import FeatureStats, fit_features
 from decisionlake.operators.scale import top_per_group
 from decisionlake.operators.validate import require_columns
+from decisionlake.sources.storage import cut
 from decisionlake.spec import DEFAULT, TrajectorySpec
 
 #: Library rows whose feature matrix is shipped to the tasks at once.
@@ -44,9 +45,12 @@ def nearest_examples(
     """
     key = list(key or spec.key)
     if examples_per_cell <= 0:
-        raise ValueError("examples_per_cell must be positive.")
+        raise ValueError("Ask for at least one example per cell.")
     require_columns(queries, [*key, *spec.observations])
     assert_library(library, spec)
+    sizes = _cell_sizes(library, spec)
+    if min(n for n, _ in sizes) < examples_per_cell:
+        raise ValueError(f"A cell of the library has fewer than {examples_per_cell} examples.")
     stats = library_features(library, spec)
     excluded = F.lit(None).cast("string") if exclude is None else (
         F.col(exclude) if isinstance(exclude, str) else exclude
@@ -59,8 +63,16 @@ def nearest_examples(
         F.array(*stats.columns()).alias("_x"),
     )
     size = library.count()
+
+    def whole(found: DataFrame) -> DataFrame:
+        # an exclusion drops one patient's examples: only where that may empty a cell is the result checked
+        if exclude is not None and min(n - most for n, most in sizes) < examples_per_cell:
+            found = cut(found, "retrieved")
+            assert_complete(queries, found, key=key, examples_per_cell=examples_per_cell, spec=spec)
+        return found
+
     if size <= block_rows:
-        return _search(asked, known, key, examples_per_cell, spec)
+        return whole(_search(asked, known, key, examples_per_cell, spec))
 
     edges = [r["e"] for r in known.select(
         F.explode(F.percentile_approx(
@@ -77,10 +89,18 @@ def nearest_examples(
             block = block.filter(F.col("library_rank") <= high)
         part = _search(asked, block, key, examples_per_cell, spec)
         found = part if found is None else found.unionByName(part)
-    return top_per_group(
+    return whole(top_per_group(
         found.drop("place"), [*key, "action", "outcome_label"],
         ["retrieval_distance", "library_rank"], examples_per_cell, name="place",
-    )
+    ))
+
+
+def _cell_sizes(library: DataFrame, spec: TrajectorySpec) -> list[tuple[int, int]]:
+    """Rows of each cell and of its most frequent patient; (0, 0) for a cell without rows."""
+    rows = library.groupBy("action", "outcome_label", "source_patient_id").agg(F.count("*").alias("n"))
+    rows = rows.groupBy("action", "outcome_label").agg(F.sum("n").alias("n"), F.max("n").alias("most")).collect()
+    found = {(r["action"], r["outcome_label"]): (r["n"], r["most"]) for r in rows}
+    return [found.get((a, label), (0, 0)) for a in spec.actions for label in LABELS]
 
 
 def _search(asked, known, key, examples_per_cell, spec):

@@ -29,7 +29,7 @@ def require_exactly(df: DataFrame, required: Sequence[str]) -> None:
 
 def require_rows(df: DataFrame) -> None:
     if df.isEmpty():
-        raise ValueError("The input must be non-empty.")
+        raise ValueError("There are no rows to learn from.")
 
 
 def duplicate_transitions(df: DataFrame, spec: TrajectorySpec = DEFAULT) -> DataFrame:
@@ -131,14 +131,14 @@ def assert_training(df: DataFrame, all_actions: bool = False, spec: TrajectorySp
     if row["rows"] == 0:
         problems.append("The input must be non-empty.")
     if row["other_split"]:
-        problems.append("Only the training split may be used.")
+        problems.append("Rows of other splits than train are not allowed here.")
     if row["bad_action"]:
-        problems.append("Logged actions cannot be missing or unknown.")
+        problems.append("Some logged actions are NULL or not in the action set.")
     if row["no_patient"]:
-        problems.append("Patient IDs cannot be missing.")
+        problems.append("Some rows have no patient.")
     absent = [a for i, a in enumerate(spec.actions) if row[f"has_{i}"] == 0]
     if all_actions and row["rows"] and absent:
-        problems.append(f"Training data is missing actions: {absent}")
+        problems.append(f"No training row has these actions: {absent}")
     _raise(problems)
     return df
 
@@ -174,9 +174,23 @@ def assert_estimates(
     return df
 
 
+def assert_selection_source(
+    df: DataFrame, probabilities: Sequence[str] = (), values: Sequence[str] = (), fold: str | None = "fold",
+    spec: TrajectorySpec = DEFAULT,
+) -> DataFrame:
+    """What libraries and bias reports are built from: training rows with finite rewards and valid
+    out-of-fold estimates. A report on estimates without folds passes ``fold=None``."""
+    require_columns(df, [spec.reward, *probabilities, *values])
+    assert_training(df, spec=spec)
+    checked = df if fold else df.withColumn("_fold", F.lit(1))
+    assert_estimates(checked, probabilities, [spec.reward, *values], fold or "_fold")
+    return df
+
+
 def split_leakage(
     df: DataFrame, left: str = TRAIN, right: str = "validation", spec: TrajectorySpec = DEFAULT
 ) -> DataFrame:
-    """Patients present in both splits."""
-    ids = [df.filter(F.col(spec.split) == s).select(spec.patient) for s in (left, right)]
-    return ids[0].intersect(ids[1])
+    """Patients present in both splits, from one scan and one combined shuffle."""
+    flags = [F.max((F.col(spec.split) == s).cast("int")).alias(n) for n, s in (("_left", left), ("_right", right))]
+    both = df.filter(F.col(spec.split).isin(left, right)).groupBy(spec.patient).agg(*flags)
+    return both.filter("_left = 1 AND _right = 1").select(spec.patient)

@@ -27,8 +27,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 KEY = list(DEFAULT.key)
 ACTION = DEFAULT.action
-#: Small fits: the check is of the operators, not of the models.
-FIT_SPLITS = 3
+FIT_SPLITS = 5
 BOOSTED_SMALL = nuisance.RewardModelConfig("hist_gradient_boosting", max_iter=3)
 
 
@@ -396,7 +395,7 @@ def reward_summary(spark, sf):
 # -------------------------------------------------------------------------- contrastive
 
 #: The formulas rarely agree closely, so the limits are wider than the defaults.
-RULES = contrastive.ContrastiveRules(minimum_logged_reward=-1.0, max_examples_per_action=50)
+RULES = contrastive.ContrastiveRules()
 
 
 @query

@@ -397,13 +397,13 @@ c6 AS (SELECT *, least(ridge_advantage, nonlinear_advantage) AS robust_advantage
 staged AS (SELECT *, n_sup >= 2 AS s1, n_sup >= 2 AND top = other AS s2,
   n_sup >= 2 AND top = other AND preferred_propensity >= 0.02e0 AS s3 FROM c6),
 staged2 AS (SELECT *, s3 AND value_disagreement <= 0.5e0 AS s4, s3 AND value_disagreement <= 0.5e0 AND robust_advantage >= 0.1e0 AS s5 FROM staged),
-staged3 AS (SELECT *, s5 AND preferred_matches_logged AS s6, s5 AND preferred_matches_logged AND reward >= -1e0 AS s7 FROM staged2),
+staged3 AS (SELECT *, s5 AND preferred_matches_logged AS s6, s5 AND preferred_matches_logged AND reward >= 0e0 AS s7 FROM staged2),
 cand AS (SELECT patient_id AS source_patient_id, time_step AS source_time_step, fold AS cross_fit_fold, {OBS},
   {name_of('top')} AS preferred_action, {name_of('neg')} AS near_negative_action, {ACT} AS logged_action, preferred_matches_logged,
   preferred_propensity, near_negative_propensity, ridge_preferred_value, ridge_near_negative_value, nonlinear_preferred_value,
   nonlinear_near_negative_value, ridge_advantage, nonlinear_advantage, robust_advantage, value_disagreement FROM staged3 WHERE s7),
 chosen AS (SELECT *, row_number() OVER (PARTITION BY preferred_action ORDER BY robust_advantage DESC, preferred_propensity DESC, source_patient_id, source_time_step) AS example_rank
-  FROM cand QUALIFY example_rank <= 50)"""
+  FROM cand QUALIFY example_rank <= 100)"""
 _CAND_DOUBLES = STATE_DOUBLES + """ preferred_propensity near_negative_propensity ridge_preferred_value ridge_near_negative_value
  nonlinear_preferred_value nonlinear_near_negative_value ridge_advantage nonlinear_advantage robust_advantage value_disagreement"""
 _CAND_INTS = STATE_INTS + " source_time_step cross_fit_fold"
@@ -763,7 +763,7 @@ _LOW = "coalesce(map_mm_hg < 65, false)"
 _SOURCE = final(f"SELECT {share(_LOW)} AS low_pressure_rate FROM train")
 _READY = f"SELECT *, CAST(underrepresented AS INT) AS under FROM ({SQL['contrastive_readiness']})"
 _THRESHOLDS = """SELECT 0.02e0 AS minimum_propensity, 0.1e0 AS minimum_advantage, 0.5e0 AS maximum_value_disagreement,
-  50 AS max_examples_per_action, 1 AS require_preferred_matches_logged, 10 AS minimum_examples_per_action, -1e0 AS minimum_logged_reward"""
+  100 AS max_examples_per_action, 1 AS require_preferred_matches_logged, 10 AS minimum_examples_per_action, 0e0 AS minimum_logged_reward"""
 SQL["contrastive_report"] = long_report([
     long_part(_THRESHOLDS, "thresholds", """minimum_propensity minimum_advantage maximum_value_disagreement
       max_examples_per_action require_preferred_matches_logged minimum_examples_per_action minimum_logged_reward"""),

@@ -9,7 +9,9 @@ import pytest
 import __spark_entry__ as driver
 from tests.conftest import SMALL
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+from decisionlake.plans.catalog import QUERIES
+from decisionlake.plans.oracles import SQL
+
 FITTED = {"behavior_propensity", "reward_model_ridge", "reward_model_gbt", "cross_fit_behavior", "cross_fit_estimates",
           "behavior_report", "reward_model_report", "reward_model_comparison"}
 
@@ -35,6 +37,10 @@ def test_every_sql_belongs_to_a_query():
     assert not any("crossJoin" in open(f).read() for f in glob.glob("decisionlake/**/*.py", recursive=True))
 
 
+def test_the_driver_has_every_query():
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql()) <= set(driver.queries())
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
 
