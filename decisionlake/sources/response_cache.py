@@ -42,18 +42,19 @@ class Client:
 
     def __post_init__(self):
         if not self.model_id.strip():
-            raise ValueError("model_id cannot be blank.")
+            raise ValueError("A client needs a model_id.")
         if not self.prompt_version.strip():
-            raise ValueError("prompt_version cannot be blank.")
+            raise ValueError("A client needs a prompt_version.")
         if not math.isfinite(self.temperature) or self.temperature < 0.0:
-            raise ValueError("temperature must be finite and non-negative.")
+            raise ValueError("The temperature is a finite number from zero on.")
 
 
 def read_cache(spark: SparkSession, path: str, *, format: str = "json") -> DataFrame:
     """Cache records: a directory of one-object JSON files, or a table written by us.
 
-    A file that is not one JSON object becomes a record without contents, never an
-    error; its key is then the file's name. A response that is not a text is missing.
+    A file named after a key is the record of that key. If it is not one JSON object, or holds
+    another key, it is a record without a response: an error for its own key and nothing for the
+    other. A response that is not a text is missing.
     """
     if format != "json":
         return spark.read.schema(RECORD_SCHEMA).format(format).load(path)
@@ -64,14 +65,17 @@ def read_cache(spark: SparkSession, path: str, *, format: str = "json") -> DataF
     whole = F.try_variant_get("_v", "$[1]", "variant").isNull()
     written = F.schema_of_variant(F.try_variant_get("_v", "$[0].raw_response", "variant")) == "STRING"
 
+    own = F.when(whole, F.try_variant_get("_v", "$[0].cache_key", "string"))
+    name = F.nullif(F.col("_name"), F.lit(""))
+    agrees = F.coalesce(own == name, F.lit(True))
+
     def field(f: T.StructField) -> Column:
         value = F.try_variant_get("_v", f"$[0].{f.name}", f.dataType.simpleString())
-        keep = whole & written if f.name == "raw_response" else whole
+        keep = whole & written & agrees if f.name == "raw_response" else whole
         return F.when(keep, value).alias(f.name)
 
     return files.select(*[
-        F.coalesce(field(f), F.nullif(F.col("_name"), F.lit(""))).alias(f.name)
-        if f.name == "cache_key" else field(f)
+        F.coalesce(name, own).alias(f.name) if f.name == "cache_key" else field(f)
         for f in RECORD_SCHEMA.fields
     ])
 
@@ -160,6 +164,7 @@ def complete_misses(
     reproduces; failed calls are not. Returns the cache table at ``path``.
     """
     spark = requests.sparkSession
+    assert_messages(requests)
     missing = (
         lookup(with_cache_key(requests, client), cache, client)
         .filter(~F.col("cache_hit"))

@@ -235,3 +235,12 @@ def test_messages_accept_a_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("keys").distinct().count() == 6
+
+
+def test_a_file_is_the_record_of_its_name(spark, tmp_path):
+    a, b, c = ("a" * 64, "b" * 64, "c" * 64)
+    record = {"cache_format_version": 1, "model_id": "m", "prompt_version": "v", "raw_response": "r", "response_schema_version": 1, "temperature": 0.0}
+    (tmp_path / f"{a}.json").write_text(json.dumps({**record, "cache_key": b}))
+    (tmp_path / f"{c}.json").write_text(json.dumps({**record, "cache_key": c}))
+    found = {r.cache_key: r.raw_response for r in read_cache(spark, str(tmp_path)).collect()}
+    assert found == {a: None, c: "r"}
