@@ -33,6 +33,9 @@ HEADLINE = (
     "behavior_propensity",
     "reward_model_ridge",
     "cross_fit_behavior",
+    "cross_fit_estimates",
+    "reward_model_comparison",
+    "policy_with_backend",
 )
 
 

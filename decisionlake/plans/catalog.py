@@ -72,14 +72,13 @@ def observation_rows(spark, sf):
 
 @query
 def response_cache_scan(spark, sf):
-    cache = data.response_cache(spark, sf)
-    return tidy(cache.filter(F.col("prompt_version") == CLIENT.prompt_version))
+    return tidy(data.response_cache(spark, sf))
 
 
 @query
 def response_cache_new_records(spark, sf):
-    """Requests of the test split that an append would add."""
-    asked = data.requests(data.trajectories(spark, sf).filter(F.col("split") == "test"))
+    """Requests that an append would add."""
+    asked = data.requests(data.trajectories(spark, sf))
     keyed = response_cache.with_cache_key(asked, CLIENT)
     return response_cache.new_records(keyed, data.response_cache(spark, sf)).select("cache_key")
 
@@ -515,8 +514,8 @@ def library_table(spark, sf):
 
 
 def _retrieved(spark, sf):
-    """Nearest examples for every validation state and every train state, own patient excluded."""
-    asked = data.trajectories(spark, sf).filter(F.col("split").isin("train", "validation"))
+    """Nearest examples for every state, own patient excluded."""
+    asked = data.trajectories(spark, sf)
     return asked, retrieval.retrieve_examples(asked, library_table(spark, sf), exclude="patient_id")
 
 

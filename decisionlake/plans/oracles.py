@@ -491,7 +491,7 @@ near AS (SELECT * FROM dist QUALIFY row_number() OVER (PARTITION BY patient_id,
 SQL["retrieve_examples"] = final(
     f"SELECT {KEY}, action, outcome_label, library_rank, retrieval_distance, source_patient_id, source_time_step FROM near",
     "retrieval_distance", "library_rank source_time_step",
-    (TRAJ, EST, LIBRARY, "asked AS (SELECT * FROM traj WHERE split IN ('train', 'validation'))", NEAREST))
+    (TRAJ, EST, LIBRARY, "asked AS (SELECT * FROM traj)", NEAREST))
 
 # -------------------------------------------------------------- prompts and decisions
 
@@ -546,10 +546,10 @@ looked AS (SELECT q.*, CASE WHEN NOT c.old THEN c.raw_response END AS raw_respon
 K = (TRAJ, KEYED)
 SQL["cache_key"] = final(f"SELECT {KEY}, cache_key FROM keyed", ctes=K)
 SQL["response_cache_scan"] = final(
-    """SELECT CAST(1 AS BIGINT) AS cache_format_version, cache_key, 'fixture-model' AS model_id, 'zero_shot_v1' AS prompt_version,
-    raw_response, CAST(1 AS BIGINT) AS response_schema_version, 0e0 AS temperature FROM cache WHERE NOT old""", ctes=K)
+    """SELECT CAST(1 AS BIGINT) AS cache_format_version, cache_key, 'fixture-model' AS model_id, CASE WHEN old THEN 'zero_shot_v0' ELSE 'zero_shot_v1' END AS prompt_version,
+    raw_response, CAST(1 AS BIGINT) AS response_schema_version, 0e0 AS temperature FROM cache""", ctes=K)
 SQL["response_cache_new_records"] = final(
-    "SELECT DISTINCT cache_key FROM keyed WHERE split = 'test' AND cache_key NOT IN (SELECT cache_key FROM cache)", ctes=K)
+    "SELECT DISTINCT cache_key FROM keyed WHERE cache_key NOT IN (SELECT cache_key FROM cache)", ctes=K)
 SQL["cache_lookup"] = final(f"SELECT {KEY}, cache_key, cache_hit, cache_error, raw_response FROM looked", ctes=K)
 
 
