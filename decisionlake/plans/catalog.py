@@ -273,6 +273,19 @@ def cross_fit_estimates(spark, sf):
     return tidy(rows.select(*KEY, "fold", *B, *RIDGE, *NONLINEAR))
 
 
+@query
+def cross_fit_facts(spark, sf):
+    """What SQL can state of a cross-fit: every training row once, its fold, and sound estimates."""
+    config = nuisance.CrossFitConfig(FIT_SPLITS, rewards={"ridge": nuisance.RIDGE})
+    rows = nuisance.cross_fit(_train_rows(spark, sf), config, **bounded(spark, sf))
+    whole = F.abs(sum((F.col(b) for b in B), F.lit(0.0)) - 1.0) < 1e-9
+    in_range = F.least(*[F.col(b) for b in B]) >= 0.0
+    finite_values = F.greatest(*[F.abs(F.col(r)) for r in RIDGE]) < float("inf")
+    return tidy(rows.select(
+        *KEY, ACTION, "fold", (whole & in_range).alias("is_distribution"), finite_values.alias("has_finite_values")
+    ))
+
+
 @query
 def behavior_report(spark, sf):
     return tidy(nuisance.cross_validate_behavior(_train_rows(spark, sf), FIT_SPLITS, **bounded(spark, sf)))

@@ -233,16 +233,17 @@ SQL["reward_and_outcomes_by_action"] = final(
       CASE WHEN terminal <> 1 THEN lead(map_mm_hg) OVER (PARTITION BY patient_id ORDER BY time_step) END AS next_map FROM traj)
     GROUP BY action, done""", "mean_reward mean_pressure_change", ctes=(TRAJ,))
 SQL["hash_folds"] = final(f"SELECT {KEY}, fold FROM scored", "", "fold")
-SQL["group_folds"] = final(
-    f"""SELECT patient_id, (row_number() OVER (PARTITION BY stratum ORDER BY md5('42:' || patient_id), patient_id) - 1 + before) % 5 + 1 AS fold
+_FOLDS = f"""SELECT patient_id, (row_number() OVER (PARTITION BY stratum ORDER BY md5('42:' || patient_id), patient_id) - 1 + before) % 5 + 1 AS fold
     FROM strata JOIN (SELECT stratum, coalesce(sum(n) OVER (ORDER BY stratum ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-      FROM (SELECT stratum, count(*) AS n FROM strata GROUP BY stratum)) USING (stratum)""",
-    "", "fold",
-    (TRAJ, f"""strata AS (SELECT patient_id,
+      FROM (SELECT stratum, count(*) AS n FROM strata GROUP BY stratum)) USING (stratum)"""
+_STRATA = f"""strata AS (SELECT patient_id,
       CAST(least(floor({share(f"{ACT} = 'iv_fluids'")} / 0.05e0), 9) * 10
          + least(floor({share(f"{ACT} = 'escalate_vasopressor'")} / 0.05e0), 9) AS INT) AS stratum
-      FROM traj WHERE split = 'train' GROUP BY patient_id)"""))
-
+      FROM traj WHERE split = 'train' GROUP BY patient_id)"""
+SQL["group_folds"] = final(_FOLDS, "", "fold", (TRAJ, _STRATA))
+SQL["cross_fit_facts"] = final(
+    f"""SELECT {KEY}, {ACT} AS observed_clinician_action, fold, true AS is_distribution, true AS has_finite_values
+    FROM traj JOIN ({_FOLDS}) AS f USING (patient_id) WHERE split = 'train'""", "", "fold", (TRAJ, _STRATA))
 # --------------------------------------------------------------------------- features
 
 
