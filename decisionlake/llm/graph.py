@@ -19,9 +19,9 @@ def components(edges: DataFrame) -> DataFrame:
     rows = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     rows, before = cut(rows, "edges"), None
     while True:
-        both = rows.unionAll(rows.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = rows.unionAll(rows.select(F.col("v").alias("u"), F.col("u").alias("v"))).repartition("u")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").repartition("u").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
         rows = cut(small.select("e.u", "e.v").filter("u <> v").distinct(), "edges")

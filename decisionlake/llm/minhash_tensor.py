@@ -7,9 +7,11 @@ agrees with probability 0.5625, and a pair meets in no table with probability be
 
 Documents with equal sets are one node. Sub-keys that no other node has are dropped before keys are
 combined, so that unique documents cost 24 narrow rows each. In each table every node is compared
-with the smallest node of its bucket, which joins groups of copies without listing their pairs; then,
-in buckets that still hold nodes of different components, the nodes across components are compared if
-enough of their minimum hashes agree. Every link is confirmed on the full sets.
+with the node of its bucket that meets the most others, usually what the copies were made from, which
+joins groups of copies without listing their pairs. Then, in buckets that still hold nodes of different
+components, nodes across components are compared, each pair in one bucket only. Shingles that no other
+such node has bound what a pair can share, which rules out most of them exactly: a copy with too many
+edits of its own has no partner, however large its group. Every link is confirmed on the full sets.
 
 Cases: A-Z are lower-cased; a text of fewer than five words is one shingle of all its words; null and
 empty texts have no shingles and are linked with nothing; null ids never name a component; rows that
@@ -32,9 +34,12 @@ from decisionlake.sources.storage import cut
 
 SHINGLE, SIDE, PER_KEY = 5, 12, 2
 HASHES = 2 * SIDE * PER_KEY
-#: Agreeing minimum hashes below which a pair across components isn't fetched: for a similarity of
-#: 0.75 fewer of 48 agree with a probability of about 0.00001.
-AGREEING = 22
+#: Nodes of a block whose sets are compared with another block's in one task.
+BLOCK_NODES = 256
+#: Bits of the finer sketch, and how many of them must agree before a pair across components is
+#: fetched: with similarity 0.75 seven eighths agree, and fewer than this with a probability near 0.00001.
+SKETCH, SKETCH_AGREE = 1024, 850
+_WORDS = [f"w{i}" for i in range(SKETCH // 64)]
 _random = np.random.default_rng(7)
 _FACTOR = _random.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFT = _random.integers(1, 2**63, HASHES, dtype=np.uint64)
@@ -107,8 +112,8 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"), "text")
 
 
-def tensor_keys(nodes: DataFrame) -> DataFrame:
-    """``key, node`` of every pair of sub-keys that some other node shares each of."""
+def sub_keys(nodes: DataFrame) -> DataFrame:
+    """``node, us, vs``: the sub-keys of each collection that some other node has too."""
     sub = F.transform(
         F.sequence(F.lit(0), F.lit(2 * SIDE - 1)),
         lambda i: F.struct(i.alias("i"), F.xxhash64(*[F.element_at("sig", i * PER_KEY + j + 1) for j in range(PER_KEY)]).alias("h")),
@@ -118,17 +123,63 @@ def tensor_keys(nodes: DataFrame) -> DataFrame:
     sides = rows.join(shared, ["i", "h"]).groupBy("node").agg(
         F.collect_list(F.when(F.col("i") < SIDE, F.col("h"))).alias("us"), F.collect_list(F.when(F.col("i") >= SIDE, F.col("h"))).alias("vs")
     )
-    keys = sides.filter("size(us) > 0 AND size(vs) > 0").select("node", F.explode("us").alias("u"), "vs").select("node", "u", F.explode("vs").alias("v"))
-    return keys.select(F.xxhash64("u", "v").alias("key"), "node")
+    return sides.filter("size(us) > 0 AND size(vs) > 0")
+
+
+def tensor_keys(sides: DataFrame) -> DataFrame:
+    """``key, u, v, node`` of every pair of sub-keys of a node."""
+    keys = sides.select("node", F.explode("us").alias("u"), "vs").select("node", "u", F.explode("vs").alias("v"))
+    return keys.select(F.xxhash64("u", "v").alias("key"), "u", "v", "node")
+
+
+def _compare(similarity: int):
+    def run(pairs: pa.Table, sets: pa.Table) -> pa.Table:
+        of = dict(zip(sets.column("node").to_pylist(), range(sets.num_rows)))
+        values = [v.values.to_numpy() for v in sets.column("set")]
+        a, b = pairs.column("a").to_numpy(), pairs.column("b").to_numpy()
+        keep = np.zeros(len(a), bool)
+        for i, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+            one, two = values[of[x]], values[of[y]]
+            inter = len(one) + len(two) - len(np.union1d(one, two))
+            keep[i] = 100 * inter >= similarity * (len(one) + len(two) - inter)
+        return pa.Table.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
+
+    return run
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    one = sets.select(F.col("node").alias("a"), F.col("set").alias("sa"))
-    two = sets.select(F.col("node").alias("b"), F.col("set").alias("sb"))
-    both = pairs.join(one, "a").join(two, "b")
-    inter = F.size(F.array_intersect("sa", "sb"))
-    union = F.size("sa") + F.size("sb") - inter
-    return both.filter(inter * 100 >= union * similarity).select("a", "b")
+    """The ``pairs`` (a, b) that are similar enough, by their full sets.
+
+    Nodes are dealt into blocks; a set goes once to each pair of blocks in which it is compared.
+    """
+    blocks = max(1, sets.count() // BLOCK_NODES)
+    dealt = cut(pairs.withColumn("x", F.pmod(F.xxhash64("a"), F.lit(blocks))).withColumn("y", F.pmod(F.xxhash64("b"), F.lit(blocks))), "pairs")
+    needed = dealt.select("x", "y", F.explode(F.array("a", "b")).alias("node")).distinct()
+    held = needed.join(sets, "node").select(F.col("x").alias("x2"), F.col("y").alias("y2"), "node", "set")
+    return dealt.groupBy("x", "y").cogroup(held.groupBy("x2", "y2")).applyInArrow(_compare(similarity), "a bigint, b bigint")
+
+
+def _sketch_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A bit of each of ``SKETCH`` further minimum hashes, packed into 64-bit numbers."""
+    random = np.random.default_rng(17)
+    factor = random.integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    shift = random.integers(1, 2**63, SKETCH, dtype=np.uint64)
+    for batch in batches:
+        out = np.zeros((batch.num_rows, SKETCH), bool)
+        for i, own in enumerate(batch.column("set")):
+            values = own.values.to_numpy().view(np.uint64)
+            for j in range(0, SKETCH, 64):
+                low = (values[:, None] * factor[j : j + 64] + shift[j : j + 64]).min(axis=0)
+                out[i, j : j + 64] = (mix(low) & np.uint64(1)).astype(bool)
+        words = np.packbits(out, axis=1, bitorder="little").view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("node"), *(pa.array(np.ascontiguousarray(w)) for w in words.T)], ["node", *_WORDS])
+
+
+def _shared_elsewhere(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """``node, shared``: how many shingles some node of another component has; no partner shares more."""
+    shingles = sets.join(placed.select("node", "root").distinct(), "node").select("node", "root", F.explode("set").alias("s")).repartition("s")
+    elsewhere = shingles.groupBy("s").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("s")
+    return shingles.join(elsewhere, "s").groupBy("node").agg(F.count("*").alias("shared"))
 
 
 def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
@@ -139,10 +190,12 @@ def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
         F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "digest")).alias("of"), F.first("sig").alias("sig")
     )
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    keys = tensor_keys(nodes.select("node", "sig"))
-    keys = cut(keys, "keys")
-    buckets = keys.groupBy("key").agg(F.min("node").alias("rep"), F.count("*").alias("c")).filter("c > 1")
-    keys = cut(keys.join(buckets.select("key", "rep"), "key"), "buckets")
+    sides = cut(sub_keys(nodes.select("node", "sig")), "sides")
+    keys = tensor_keys(sides).repartition("key")
+    counts = keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
+    keys = cut(keys.join(counts, "key"), "buckets")
+    meets = keys.groupBy("node").agg(F.sum("c").alias("meets"))
+    reps = keys.join(meets, "node").groupBy("key").agg(F.max(F.struct("meets", "node"))["node"].alias("rep"))
 
     met = nodes.join(keys.select("node").distinct(), "node").select("node", "of.doc_id", "of.digest")
     met = cut(met, "met")
@@ -151,22 +204,33 @@ def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
     same = met["doc_id"].eqNullSafe(texts["doc_id"]) & (met["digest"] == texts["digest"])
     sets = cut(texts.join(met, same).select("node", "set").dropDuplicates(["node"]), "sets")
 
-    size = nodes.select("node", F.col("n"), "sig")
+    size = nodes.select("node", "n")
     close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity
-    pairs = keys.filter("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = keys.join(reps, "key").filter("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
     pairs = pairs.join(size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
     pairs = pairs.join(size.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b").filter(close).select("a", "b")
     links = cut(_confirmed(pairs, sets, similarity), "links")
     roots = cut(components(links), "roots")
 
-    placed = keys.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("key")
-    placed = placed.join(mixed, "key").join(size, "node")
-    placed = cut(placed, "placed")
-    left = placed.select("key", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("sig").alias("siga"))
-    right = placed.select("key", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("sig").alias("sigb"))
-    agree = F.size(F.array_intersect("siga", "sigb")) >= AGREEING
-    across = left.join(right, (left["key"] == right["key"]) & (F.col("ra") < F.col("rb")) & close & agree).select("a", "b").distinct()
+    about = size.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = keys.select("key", "u", "v", "node").join(about, "node")
+    mixed = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.min("n").alias("least"))
+    placed = cut(placed.join(mixed.filter("r1 <> r2").select("key", "least"), "key"), "mixed")
+    more_about = _shared_elsewhere(placed, sets).join(sides, "node").join(sets, "node")
+    more_about = cut(more_about.select("node", "shared", "us", "vs").join(more_about.select("node", "set").mapInArrow(_sketch_task, "node bigint, " + ", ".join(f"{w} bigint" for w in _WORDS)), "node"), "about")
+    smallest = F.greatest("least", F.ceil(F.col("n") * similarity / 100))
+    enough = F.col("shared") * (100 + similarity) >= (F.col("n") + smallest) * similarity
+    placed = placed.join(more_about, "node").filter(enough).drop("least").repartition("key")
+    left = placed.select("key", "u", "v", *[F.col(c).alias("a_" + c) for c in placed.columns if c not in ("key", "u", "v")])
+    right = placed.select("key", *[F.col(c).alias("b_" + c) for c in placed.columns if c not in ("key", "u", "v")])
+    similar_size = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * similarity
+    possible = F.least("a_shared", "b_shared") * (100 + similarity) >= (F.col("a_n") + F.col("b_n")) * similarity
+    differ = sum((F.bit_count(F.col("a_" + w).bitwiseXOR(F.col("b_" + w))) for w in _WORDS), F.lit(0))
+    # a pair may share many keys: it is taken at that of its least common sub-keys
+    once = (F.array_min(F.array_intersect("a_us", "b_us")) == F.col("u")) & (F.array_min(F.array_intersect("a_vs", "b_vs")) == F.col("v"))
+    met_across = (left["key"] == right["key"]) & (F.col("a_root") < F.col("b_root")) & similar_size & possible
+    across = left.join(right, met_across & (differ <= SKETCH - SKETCH_AGREE) & once)
+    across = across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))
     more = _confirmed(across, sets, similarity)
     roots = components(links.unionByName(cut(more, "links")))
 
