@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from decisionlake.llm.text import Prefix, Words, mix, ranges, slices
 from decisionlake.sources.storage import cut
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 LONGEST = 16
 ITERATIONS = 1
 #: Languages with scores of their own, the most frequent ones; all others share one set of scores.
@@ -42,7 +42,7 @@ LANGUAGES = 7
 DISCOUNT, LATTICE_SHARE = 0.75, 0.9
 #: Added to the expected count of each piece; and the weight of all languages' scores in each one's.
 SMOOTHING, COMMON = 0.05, 0.001
-WORD_BATCH_BYTES = 1 << 20
+WORD_BATCH_BYTES = 256 << 10
 
 
 def pieces(path: str) -> list[bytes]:
