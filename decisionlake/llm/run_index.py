@@ -32,7 +32,7 @@ from decisionlake.llm.text import Prefix, column_bytes, minima, ranges, signed,
 from decisionlake.sources.storage import cut
 
 LENGTH, K = 100, 32
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 512 << 10
 #: Contexts of one anchor that still go into a shard.
 MOST_CONTEXTS = 5000
 #: A place in a document as one number: 26 bits of the text's hash, the offset, the number of windows.
@@ -221,7 +221,7 @@ def _fetch_task(length: int):
     """Bytes of the contexts of each text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (rows for whole in batches for rows in slices(whole)):
             data, offsets = column_bytes(batch.column("text"))
             data = data.tobytes()
             wanted = batch.column("wanted")
@@ -361,7 +361,7 @@ _RESULT = "doc_id bigint, digest bigint, n_bytes bigint, n_removed bigint, n_spa
 
 def _result_task(with_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (rows for whole in batches for rows in slices(whole)):
             data, offsets = column_bytes(batch.column("text"))
             data = data.tobytes()
             spans = batch.column("spans") if "spans" in batch.schema.names else None
