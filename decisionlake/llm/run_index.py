@@ -117,7 +117,7 @@ def _meet_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.flatnonzero(new_c)
             group = np.cumsum(new_h[at]) - 1 + (0 if new_h[0] else 1)  # 0: the anchor carried over
             many = np.bincount(group)
-            if not new_h[0] and many[0] and held is not None:
+            if len(many) and not new_h[0] and many[0] and held is not None:
                 for store, value in zip((pass_h, pass_id, pass_place), held):
                     store.append(np.array([value]))
                 held = None

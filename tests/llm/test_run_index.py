@@ -52,6 +52,17 @@ def test_other_lengths_and_kept_text(spark):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in kept.collect())
 
 
+def test_copies_of_a_context_fill_whole_batches(spark):
+    passage = prose(1, 60, 5000)
+    rows = [(i, prose(10 + i, 5 + i % 7, 5000) + " " + passage + " " + prose(90 + i, 9, 5000)) for i in range(45)]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert found(documents(spark, rows)) == brute(rows, 100)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_empty_table(spark):
     assert found(documents(spark, [])) == []
 
