@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from decisionlake.llm import ann_scan, fair_mix, lattice_lm, minhash_tensor, run_index, token_orc, toxicity, warc_index, winnowing
+from decisionlake.llm import ann_scan, chain_dedup, fair_mix, lattice_lm, minhash_tensor, run_index, token_orc, toxicity, warc_index, winnowing
 from decisionlake.sources.storage import table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,8 @@ def op5_ann_scan(spark, sf_dir):
 @query
 def op9_run_index(spark, sf_dir):
     return run_index.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_chain_dedup(spark, sf_dir):
+    return chain_dedup.remove_chained(table(spark, sf_dir, "documents"))

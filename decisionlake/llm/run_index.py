@@ -396,8 +396,13 @@ def _result_task(with_text: bool):
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, most_contexts: int = MOST_CONTEXTS, with_text: bool = False) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` per row of ``docs``; with the kept bytes on demand."""
+    return remove_spans(docs, repeated_spans(docs, length, k, most_contexts), with_text)
+
+
+def remove_spans(docs: DataFrame, marks: DataFrame, with_text: bool = False) -> DataFrame:
+    """The result for the byte spans ``doc_id, digest, start, stop``."""
     schema = _RESULT + (", kept binary" if with_text else "")
-    marks = cut(repeated_spans(docs, length, k, most_contexts), "marks")
+    marks = cut(marks, "marks")
     spans = marks.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     spans = spans.withColumnsRenamed({"doc_id": "i", "digest": "g"})
     held = docs.sparkSession.sparkContext.broadcast(bitmap(marks.select(F.xxhash64("doc_id", "digest").alias("b")), "b"))
