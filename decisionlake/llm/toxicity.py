@@ -48,7 +48,8 @@ class Lexicon:
     """A trie of terms, and of stems that any ending may follow, with a remembered automaton.
 
     ``distance(word)`` is the fewest edits that turn the word into a term, within what the term's
-    length allows, or -1. Terms of fewer than ``MIN_FUZZY`` letters, and stems, allow no edits.
+    length allows, or -1. Terms of fewer than ``MIN_FUZZY`` letters, and stems, allow no edits; a term
+    that begins with a stem stands beside it, so that a misspelling in its first letters is found.
     """
 
     KEPT = 100_000
@@ -296,7 +297,6 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
     for r in sorted(stem.orderBy(F.desc("s1"), "stem").limit(4 * STEMS).collect(), key=lambda r: (len(r["stem"]), -r["s1"], r["stem"])):
         if len(stems) < STEMS and not any(r["stem"].startswith(s) for s in stems):
             stems.append(r["stem"])
-    terms = [t for t in terms if not any(t.startswith(s) for s in stems)]
     frequent = words.filter("n1 + n0 >= 20").orderBy(F.desc(F.col("n1") + F.col("n0")), "word").limit(CONTEXT_WORDS)
     context = {r["word"]: float(max(-3.0, min(3.0, r["odds"]))) for r in frequent.collect()}
     shared = spark.sparkContext.broadcast((terms, stems, context))

@@ -63,6 +63,26 @@ def test_held_out_texts_and_misspellings(spark):
     assert all(by[i].predicted == 0 for i in (1001, 1002, 1004, 1005)) and all(0 <= r.score <= 1 for r in found)
 
 
+def test_misspelled_first_part_of_a_family_with_a_stem(spark):
+    r, rows, labels = random.Random(8), [], []
+    family = ["scumbag", "scumbags", "scumbagger", "scumbaggery", "scumbagging"]
+    for i in range(600):
+        w = prose(i, 60, 3000).split()
+        if i % 5 == 0:
+            for _ in range(3):
+                w.insert(r.randrange(len(w)), r.choice(family))
+        rows.append((i, " ".join(w)))
+        labels.append((i, None, int(i % 5 == 0)))
+    rows += [(1000, prose(1000, 60, 3000) + " you zcumbags and scubagger, sxcumbaggery"), (1001, prose(1001, 60, 3000))]
+    marked = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    terms, stems, _ = toxicity.learn(documents(spark, rows), marked)[0].value
+    assert stems == ["scum"]
+    own = toxicity.Lexicon(terms, stems)
+    assert [own.distance(w) for w in ("zcumbags", "scubagger", "sxcumbaggery", "scumbaglike", "xcum")] == [1, 1, 1, 0, -1]
+    found = {x.doc_id: x.predicted for x in toxicity.toxicity(documents(spark, rows), marked).collect()}
+    assert found[1000] == 1 and found[1001] == 0
+
+
 def test_quotation_is_told_from_abuse():
     import pyarrow as pa
 
