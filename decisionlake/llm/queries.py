@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from decisionlake.llm import ann_scan, chain_dedup, fair_mix, lattice_lm, minhash_tensor, run_index, token_links, token_orc, toxicity, warc_index, winnowing
+from decisionlake.llm import ann_scan, chain_dedup, conversation_repair, fair_mix, lattice_lm, minhash_tensor, run_index, token_links, token_orc, toxicity, warc_index, winnowing
 from decisionlake.sources.storage import table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,8 @@ def op7_chain_dedup(spark, sf_dir):
 def op13_token_links(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return token_links.token_links(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+@query
+def op11_conversation_repair(spark, sf_dir):
+    return conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))

@@ -124,3 +124,89 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM r
 """
+
+_BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def _edit(cell: str, cost: str, letter: str) -> str:
+    """A cell, eight digits of cost and then the edits, after one more edit."""
+    return f"lpad(CAST(CAST(left({cell}, 8) AS INT) + {cost} AS VARCHAR), 8, '0') || substr({cell}, 9) || '{letter}'"
+
+
+def _kept(cell: str, initial: str) -> str:
+    return f"CASE WHEN initial = '{initial}' AND fault IN ('', 'truncated') THEN {_edit(cell, 'more', 'K')} END"
+
+
+def _reroled(cell: str) -> str:
+    return f"CASE WHEN fault IN ('', 'truncated') THEN {_edit(cell, 'more + 1', 'R')} END"
+
+
+SQL["op11_conversation_repair"] = f"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+    CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END)) AS t
+), keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key
+  FROM conversations
+), checked AS (
+  SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(range(1, length(key) + 1), lambda i: CAST(ascii(substr(key, i, 1)) AS BIGINT))),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8))) % 20 AS kind
+  FROM keyed, crc
+), damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 0 THEN [] WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM checked
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text), copy) AS n FROM damaged
+), marked AS (
+  SELECT *, left(role, 1) AS initial, rtrim(text, {_BLANKS}) AS bare,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY n) AS seen,
+         lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY n) || left(role, 1) AS step
+  FROM placed
+), faulty AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM marked
+), turns AS (
+  SELECT *, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more FROM faulty
+), counts AS (
+  SELECT conv_id, max(n) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (step NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM turns GROUP BY conv_id
+), walk AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS n, '00000000' AS c0, CAST(NULL AS VARCHAR) AS c1, '00000005I' AS c2, '00000010II' AS c3 FROM counts
+  UNION ALL
+  SELECT conv_id, n, c0, c1, c2, least(c3, {_edit("c2", "5", "I")}) FROM (
+    SELECT conv_id, n, c0, c1, least(c2, {_edit("c0", "5", "I")}, {_edit("c1", "5", "I")}, {_edit("c3", "5", "I")}) AS c2, c3 FROM (
+      SELECT w.conv_id, r.n, {_edit("c0", "2", "D")} AS c0, least({_edit("c1", "2", "D")}, {_kept("c0", "s")}) AS c1,
+             least({_edit("c2", "2", "D")}, {_kept("c0", "u")}, {_kept("c1", "u")}, {_kept("c3", "u")}, {_reroled("c0")}, {_reroled("c1")}, {_reroled("c3")}) AS c2,
+             least({_edit("c3", "2", "D")}, {_kept("c2", "a")}, {_reroled("c2")}) AS c3
+      FROM walk w JOIN turns r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.n = w.n + 1))
+), best AS (
+  SELECT w.conv_id, least(c0, c3) AS cell FROM walk w JOIN counts c ON w.conv_id IS NOT DISTINCT FROM c.conv_id AND w.n = c.rows
+), letters AS (
+  SELECT conv_id, substr(cell, 9) AS audit, unnest(range(1, length(cell) - 7)) AS i FROM best
+), edits AS (
+  SELECT conv_id, i, substr(audit, i, 1) AS edit, length(replace(left(audit, i), 'I', '')) AS n FROM letters
+), met AS (
+  SELECT e.conv_id, e.i, e.edit, r.role, coalesce(r.text, '') AS text, coalesce(e.edit = 'K' AND r.initial = 's', false) AS system
+  FROM edits e LEFT JOIN turns r ON e.conv_id IS NOT DISTINCT FROM r.conv_id AND e.n = r.n AND e.edit <> 'I'
+  WHERE e.edit <> 'D'
+), due AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY i) - max(CAST(system AS INT)) OVER (PARTITION BY conv_id) AS k FROM met
+), written AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN k % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY i) AS repaired
+  FROM due GROUP BY conv_id
+)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(coalesce(CAST(left(cell, 8) AS BIGINT), 0) AS BIGINT) AS cost, coalesce(substr(cell, 9), '') AS audit,
+       sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN counts c ON a.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN best b ON a.conv_id IS NOT DISTINCT FROM b.conv_id
+LEFT JOIN written w ON a.conv_id IS NOT DISTINCT FROM w.conv_id
+"""

@@ -42,7 +42,9 @@ LANE = 256
 BATCH_BYTES = 1 << 19
 
 #: White space that a pattern may take for such though ASCII does not, and the sign that stands for a space.
-_ODD = re.compile("[\x1c-\x1f\x85\xa0  -     　▁]")
+_ODD = re.compile("[%s]" % "".join(map(chr, [
+    *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000, 0x2581,
+])))
 #: Bytes with which their UTF-8 begins.
 _ODD_BYTES = np.zeros(256, bool)
 _ODD_BYTES[[*range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = True

@@ -22,7 +22,7 @@ def test_query_equals_sql(spark, name):
     found = QUERIES[name](spark, SMALL).toPandas()
     columns = sorted(expected.columns)
     assert sorted(found.columns) == columns
-    key = "doc_id" if "doc_id" in columns else "page_id"
+    key = next(c for c in ("doc_id", "page_id", "conv_id") if c in columns)
     a, b = (x[columns].sort_values(key).reset_index(drop=True) for x in (expected, found))
     pd.testing.assert_frame_equal(a, b, check_dtype=False)
 
