@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from decisionlake.llm import ann_scan, chain_dedup, conversation_repair, fair_mix, lattice_lm, minhash_tensor, run_index, token_links, token_orc, toxicity, warc_index, winnowing
+from decisionlake.llm import ann_scan, chain_dedup, conversation_repair, fair_mix, lattice_lm, minhash_tensor, robust_quality, run_index, token_links, token_orc, toxicity, warc_index, winnowing
 from decisionlake.sources.storage import table_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,8 @@ def op13_token_links(spark, sf_dir):
 @query
 def op11_conversation_repair(spark, sf_dir):
     return conversation_repair.repair(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+@query
+def op12_robust_quality(spark, sf_dir):
+    return robust_quality.robust_quality(table(spark, sf_dir, "documents")).drop("distance")

@@ -210,3 +210,124 @@ LEFT JOIN counts c ON a.conv_id IS NOT DISTINCT FROM c.conv_id
 LEFT JOIN best b ON a.conv_id IS NOT DISTINCT FROM b.conv_id
 LEFT JOIN written w ON a.conv_id IS NOT DISTINCT FROM w.conv_id
 """
+
+_P = 5
+_LOWER_PAIRS = [(i, j) for i in range(_P) for j in range(i + 1)]
+_X, _M = [f"x{i}" for i in range(_P)], [f"m{i}" for i in range(_P)]
+_L = [f"l{i}{j}" for i, j in _LOWER_PAIRS]
+#: Squared floors in units of 1/1024, quantiles of chi-square with five degrees, and consistency factors.
+_FLOOR = ["1048576e0", "10485.76e0", "262144e0", "262144e0", "671088.64e0"]
+_FLOOR_ROOT = ["1024e0", "102.4e0", "512e0", "512e0", "819.2e0"]
+_Q975, _Q9999, _C75, _C975 = "12.832501994030014e0", "25.74483195905633e0", "1.41207106018905e0", "1.0555331100406595e0"
+
+
+def _factored(source: str, keys: str) -> str:
+    """The triangular factor of s, column by column."""
+    for j in range(_P):
+        before = "".join(f" - l{j}{k} * l{j}{k}" for k in range(j))
+        source = f"(SELECT *, sqrt(s{j}{j}{before}) AS l{j}{j} FROM {source})"
+        below = [f"(s{i}{j}{''.join(f' - l{i}{k} * l{j}{k}' for k in range(j))}) / l{j}{j} AS l{i}{j}" for i in range(j + 1, _P)]
+        if below:
+            source = f"(SELECT *, {', '.join(below)} FROM {source})"
+    return f"SELECT {keys}, {', '.join(_M + _L)} FROM {source}"
+
+
+def _far(source: str) -> str:
+    """Rows with their squared distance."""
+    for i in range(_P):
+        before = "".join(f" - l{i}{k} * y{k}" for k in range(i))
+        source = f"(SELECT *, (x{i} - m{i}{before}) / l{i}{i} AS y{i} FROM {source})"
+    return f"(SELECT *, {' + '.join(f'y{i} * y{i}' for i in range(_P))} AS d2 FROM {source})"
+
+
+_SUMMED = ", ".join(["count(*) AS n", *(f"CAST(sum(x{i}) AS DOUBLE) AS t{i}" for i in range(_P)),
+                     *(f"CAST(sum(x{i} * x{j}) AS DOUBLE) AS t{i}{j}" for i, j in _LOWER_PAIRS)])
+
+
+def _estimated(source: str, keys: str, factor: str) -> str:
+    moments = [f"t{i} / n AS m{i}" for i in range(_P)] + [
+        f"{factor} * (t{i}{j} - t{i} * (t{j} / n)) / n + {_FLOOR[i] if i == j else '0e0'} AS s{i}{j}" for i, j in _LOWER_PAIRS
+    ]
+    return _factored(f"(SELECT {keys}, {', '.join(moments)} FROM (SELECT {keys}, {_SUMMED} FROM {source} GROUP BY {keys}))", keys)
+
+
+def _step(k: int) -> str:
+    """One concentration step: the rows of the nearest bins that reach three quarters."""
+    return f"""binned{k} AS MATERIALIZED (
+  SELECT *, least(CAST(floor(sqrt(d2) * 64) AS BIGINT), 4095) AS bin FROM {_far(f"(SELECT * FROM fit JOIN params{k} USING (cell))")}
+), edges{k} AS (
+  SELECT cell, start, max(bin) AS edge FROM (
+    SELECT cell, start, bin, sum(n) OVER (PARTITION BY cell, start ORDER BY bin) - n AS before, sum(n) OVER (PARTITION BY cell, start) AS total
+    FROM (SELECT cell, start, bin, count(*) AS n FROM binned{k} GROUP BY ALL))
+  WHERE before < ceil(total * 0.75e0) GROUP BY ALL
+), params{k + 1} AS MATERIALIZED (
+  {_estimated(f"binned{k} JOIN edges{k} USING (cell, start) WHERE bin <= edge", "cell, start", _C75)}
+)"""
+
+
+def _middle_of(source: str, value: str) -> str:
+    return f"""SELECT cell, i, min(v) AS middle FROM (
+    SELECT cell, i, {value} AS v, sum(n) OVER (PARTITION BY cell, i ORDER BY {value}) AS upto, sum(n) OVER (PARTITION BY cell, i) AS total
+    FROM {source}) WHERE 2 * upto >= total GROUP BY ALL"""
+
+
+SQL["op12_robust_quality"] = f"""
+WITH d AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text, row_number() OVER () AS r,
+         regexp_extract_all(coalesce(text, ''), '{_SPACED}') AS w FROM documents
+), grams AS (
+  SELECT r, i, w[i:i + 2] AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2)
+), twice AS (
+  SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS times FROM grams) WHERE times > 1
+), repeats AS (
+  SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place FROM twice) GROUP BY r
+), lines AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '{_SPACED}') GROUP BY r
+), found AS (
+  SELECT doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(lines.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words
+  FROM d LEFT JOIN lines USING (r) LEFT JOIN repeats USING (r)
+), judged AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM found
+), own AS (
+  SELECT lang, source, count(*) AS n FROM judged WHERE NOT base_failed GROUP BY ALL
+), small AS (
+  SELECT lang, sum(n) AS n_lang FROM own WHERE n < 50 GROUP BY lang
+), cells AS (
+  SELECT own.lang, own.source, CASE WHEN n >= 50 THEN CAST(to_json([own.lang, own.source]) AS VARCHAR) WHEN n_lang >= 50 THEN CAST(to_json([own.lang]) AS VARCHAR)
+    WHEN (SELECT sum(n_lang) FROM small WHERE n_lang < 50) >= 50 THEN '*' END AS cell
+  FROM own LEFT JOIN small ON own.lang IS NOT DISTINCT FROM small.lang
+), rows AS MATERIALIZED (
+  SELECT j.*, cell, CAST(round(ln(1e0 + n_words) * 1024) AS BIGINT) AS x0, CASE WHEN n_words > 0 THEN CAST(round(ln(word_chars * 1e0 / n_words) * 1024) AS BIGINT) END AS x1,
+         CASE WHEN n_words > 0 THEN CAST(round(ln(1e0 + 100e0 * n_symbols / n_words) * 1024) AS BIGINT) END AS x2,
+         CASE WHEN n_words > 0 THEN CAST(round(ln(1e0 + 100e0 * n_dup_lines / n_words) * 1024) AS BIGINT) END AS x3,
+         CASE WHEN n_words > 0 THEN CAST(round(ln(1e0 + 100e0 * n_repeat_words / n_words) * 1024) AS BIGINT) END AS x4
+  FROM judged j LEFT JOIN cells c ON j.lang IS NOT DISTINCT FROM c.lang AND j.source IS NOT DISTINCT FROM c.source AND NOT base_failed
+), fit AS (
+  SELECT cell, {', '.join(_X)} FROM rows WHERE cell IS NOT NULL
+), counted AS (
+  SELECT cell, i, v, count(*) AS n FROM (SELECT cell, unnest(range(5)) AS i, unnest([{', '.join(_X)}]) AS v FROM fit) GROUP BY ALL
+), medians AS (
+  {_middle_of("counted", "v")}
+), deviations AS (
+  {_middle_of("(SELECT cell, i, abs(v - middle) AS off, sum(n) AS n FROM counted JOIN medians USING (cell, i) GROUP BY ALL)", "off")}
+), places AS (
+  SELECT cell, {', '.join(f"CAST(max(m.middle) FILTER (i = {i}) AS DOUBLE) AS m{i}, greatest(1.4826e0 * max(o.middle) FILTER (i = {i}), {_FLOOR_ROOT[i]}) AS w{i}" for i in range(_P))}
+  FROM medians m JOIN deviations o USING (cell, i) GROUP BY cell
+), signs AS (
+  SELECT cell, count(*) AS n, {', '.join(f"CAST(sum(sign(x{i} - m{i}) * sign(x{j} - m{j})) AS DOUBLE) AS g{i}{j}" for i, j in _LOWER_PAIRS)}
+  FROM fit JOIN places USING (cell) GROUP BY cell
+), params0 AS MATERIALIZED (
+  {_factored(f'''(SELECT *, {', '.join(f"CASE WHEN start = 0 THEN w{i} * w{j} * {float(i == j)}e0 ELSE w{i} * w{j} * (g{i}{j} / n) END + {_FLOOR[i] if i == j else '0e0'} AS s{i}{j}" for i, j in _LOWER_PAIRS)}
+    FROM places JOIN signs USING (cell), (VALUES (0), (1)) AS starts(start))''', "cell, start")}
+), {", ".join(_step(k) for k in range(6))}, best AS (
+  SELECT * FROM params6 QUALIFY row_number() OVER (PARTITION BY cell ORDER BY {' * '.join(f"l{i}{i}" for i in range(_P))}, start) = 1
+), final AS MATERIALIZED (
+  {_estimated(f"{_far('(SELECT * FROM fit JOIN best USING (cell))')} WHERE d2 <= {_Q975}", "cell", _C975)}
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT coalesce(d2 > {_Q9999}, false) AS kept
+FROM {_far("(SELECT * FROM rows LEFT JOIN final USING (cell))")}
+"""
