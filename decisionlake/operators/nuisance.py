@@ -28,6 +28,7 @@ from decisionlake.operators.features import FeatureStats, fit_features_with, vec
 from decisionlake.operators.folds import with_folds
 from decisionlake.operators.metrics import behavior_report, model_deltas, reward_report, union_long
 from decisionlake.operators.scale import is_small
+from decisionlake.operators.shared_fits import SharedFits
 from decisionlake.operators.validate import assert_probabilities, assert_training, require_columns
 from decisionlake.sources.storage import table_path
 from decisionlake.spec import DEFAULT, TrajectorySpec
@@ -282,8 +283,9 @@ def cross_fit(
 ) -> DataFrame:
     """Training rows with ``fold`` and out-of-fold ``b_i`` / ``<model>_i`` columns.
 
-    The folded rows are written once, partitioned by fold and action: a fit then reads only
-    the files of its own folds and action, and a prediction those of its held-out fold. The result is written too, since
+    The folded rows are written once, partitioned by fold and action. Logistic and ridge models of all folds
+    come from shared passes and predict in one projection (``shared_fits``); boosted trees are fitted per fold and
+    action from the files of those alone. The result is written too, since
     every downstream operator reads it. Coverage is checked on the written rows.
     """
     assert_training(df, all_actions=True, spec=spec)
@@ -298,27 +300,39 @@ def cross_fit(
     if row_bound is None:
         row_bound = rows.count()
 
+    ridges = {name: c.alpha for name, c in config.rewards.items() if c.model_type == "ridge"}
+    folds = range(1, config.n_splits + 1)
+    shared = None
+    if ridges or config.behavior is not None:
+        shared = SharedFits.fit(
+            rows, folds, behavior=config.behavior, ridge=ridges, row_bound=row_bound, spec=spec)
+    scored = shared.predict(rows) if shared else rows
+    apart = {name: c for name, c in config.rewards.items() if not shared or name not in ridges}
+
     def held_out(fold: int) -> DataFrame:
-        train, out = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
+        train, out = rows.filter(F.col("fold") != fold), scored.filter(F.col("fold") == fold)
         tasks = []
-        if config.behavior is not None:
+        if config.behavior is not None and not shared:
             tasks.append(lambda: BehaviorPolicyModel(**config.behavior, spec=spec).fit(
                 train, row_bound=row_bound, checked=True))
         tasks += [
             lambda c=c: ActionRewardModel(c, spec=spec).fit(train, row_bound=row_bound, checked=True)
-            for c in config.rewards.values()
+            for c in apart.values()
         ]
         models = in_parallel(tasks, row_bound)
-        if config.behavior is not None:
+        if config.behavior is not None and not shared:
             out = models.pop(0).predict(out)
-        for name, model in zip(config.rewards, models):
+        for name, model in zip(apart, models):
             out = model.predict_values(out, name)
         return out
 
-    parts = in_parallel([lambda f=f: held_out(f) for f in range(1, config.n_splits + 1)], row_bound)
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
+    if apart or not shared:
+        parts = in_parallel([lambda f=f: held_out(f) for f in folds], row_bound)
+        scored = parts[0]
+        for part in parts[1:]:
+            scored = scored.unionByName(part)
+    estimated = [c for name in (["b"] if config.behavior is not None else []) + list(config.rewards) for c in spec.indexed(name)]
+    result = scored.select(*rows.columns, *estimated)
     target = table_path(spark, "estimates", uuid.uuid4())
     result.write.mode("overwrite").parquet(target)
     estimates = spark.read.schema(result.schema).parquet(target)

@@ -17,6 +17,7 @@ from decisionlake.functions.reward import SAFETY_FIRST, RewardSpec, with_reward
 from decisionlake.functions.vectors import action_index, action_name, argmax, pick, r6
 from decisionlake.operators import bias, contrastive, episodes, evaluate, explore, factual, features
 from decisionlake.operators import folds, metrics, nuisance, policy, retrieval, validate
+from decisionlake.operators.shared_fits import SharedFits
 from decisionlake.plans import data
 from decisionlake.plans.data import B, CLIENT, NONLINEAR, PI, RHO, RIDGE
 from decisionlake.sources import response_cache, sinks
@@ -286,6 +287,14 @@ def cross_fit_facts(spark, sf):
     ))
 
 
+@query
+def cross_fit_certificates(spark, sf):
+    """First-order conditions of the models on all rows (side 0) and of those without each fold."""
+    folded = data.folded(spark, sf, FIT_SPLITS)
+    fits = SharedFits.fit(folded, range(FIT_SPLITS + 1), behavior={}, ridge={"ridge": nuisance.RIDGE.alpha}, **bounded(spark, sf))
+    return tidy(fits.certificate(folded))
+
+
 @query
 def behavior_report(spark, sf):
     return tidy(nuisance.cross_validate_behavior(_train_rows(spark, sf), FIT_SPLITS, **bounded(spark, sf)))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from decisionlake.functions.prompts import ZERO_SHOT_VERSION, zero_shot_messages
 from decisionlake.functions.reward import with_reward
-from decisionlake.operators.folds import hash_fold
+from decisionlake.operators.folds import hash_fold, with_folds
 from decisionlake.sources.events_view import trajectories_from_events
 from decisionlake.sources.response_cache import CACHE_FORMAT_VERSION, RESPONSE_SCHEMA_VERSION, Client, with_cache_key
 from decisionlake.sources.storage import table_path
@@ -125,6 +125,15 @@ def estimates(spark: SparkSession, sf_dir: str, split: str | None = None) -> Dat
     return df.filter(F.col("split") == split) if split else df
 
 
+def folded(spark: SparkSession, sf_dir: str, n_splits: int) -> DataFrame:
+    """Training rows with reward and patient-disjoint fold, written once."""
+    def build() -> DataFrame:
+        rows = with_reward(trajectories(spark, sf_dir).filter(F.col("split") == "train"))
+        return with_folds(rows, n_splits)
+
+    return _once(spark, sf_dir, f"folded-{n_splits}", build, "fold")
+
+
 def train(spark: SparkSession, sf_dir: str) -> DataFrame:
     return estimates(spark, sf_dir, "train")
 

@@ -284,6 +284,40 @@ SQL["standardized_features"] = (
 
 # ----------------------------------------------------------------- estimates and models
 
+
+def side_stats(name: str, keys: str) -> str:
+    """Medians, moments and modes of the training rows of each held-out fold."""
+    med = ", ".join(f"quantile_cont({c}, 0.5) AS {c}_md" for c in NUMERIC)
+    moments = ", ".join(
+        f"any_value({c}_md) AS {c}_md, avg(coalesce({c}, {c}_md)) AS {c}_mn, stddev_pop(coalesce({c}, {c}_md)) AS {c}_s" for c in NUMERIC)
+    scales = ", ".join(f"CASE WHEN {c}_s <= 1e-12 * abs({c}_mn) THEN 1e0 ELSE {c}_s END AS {c}_sc" for c in NUMERIC)
+    modes = ", ".join(
+        f"{name}_{c} AS (SELECT {keys}, first({c} ORDER BY n DESC, {c}) AS {c}_mode FROM (SELECT {keys}, {c}, count(*) AS n "
+        f"FROM sided WHERE {c} IS NOT NULL GROUP BY ALL) GROUP BY ALL)" for c in CATEGORICAL)
+    joins = " ".join(f"JOIN {name}_{c} USING ({keys})" for c in CATEGORICAL)
+    return f"""{name}_md AS (SELECT {keys}, {med} FROM sided GROUP BY {keys}),
+    {name}_mm AS (SELECT {keys}, {moments} FROM sided JOIN {name}_md USING ({keys}) GROUP BY {keys}),
+    {modes}, {name} AS (SELECT *, {scales} FROM {name}_mm {joins})"""
+
+
+def side_moments(model: str, action: str, target: str, source: str) -> str:
+    features = [("1", "1e0"), *feature_exprs()]
+    names = ", ".join(quote(n) for n, _ in features)
+    means = ", ".join(f"avg({x} * {target})" for _, x in features)
+    return f"""SELECT '{model}' AS model, side, action, unnest([{names}]) AS feature, unnest(means) AS moment
+    FROM (SELECT side, {action} AS action, [{means}] AS means FROM {source} GROUP BY side, {action})"""
+
+
+_SIDED = f"""sided AS (
+  SELECT traj.*, {reward_sql()} AS reward, side FROM traj JOIN ({_FOLDS}) AS f USING (patient_id),
+  (VALUES (0), (1), (2), (3), (4), (5)) AS held(side) WHERE split = 'train' AND fold <> side)"""
+#: At a fit's optimum the model's means of feature times class, or times reward, are those in the data.
+SQL["cross_fit_certificates"] = final(union([
+    side_moments("behavior", "of_class", "CAST(observed_clinician_action = of_class AS INT)",
+                 f"sided AS q JOIN of_side USING (side), (VALUES {', '.join(f'({quote(a)})' for a in ACTIONS)}) AS classes(of_class)"),
+    side_moments("ridge", ACT, "reward", f"sided AS q JOIN of_action USING (side, {ACT})"),
+]), "moment", "side", (TRAJ, _STRATA, _SIDED, side_stats("of_side", "side"), side_stats("of_action", f"side, {ACT}")))
+
 SQL["support_mask"] = final(
     f"SELECT {KEY}, b_0 >= 0.02e0 AS supported_0, b_1 >= 0.02e0 AS supported_1, b_2 >= 0.02e0 AS supported_2 FROM est")
 SQL["supported_values"] = final(
