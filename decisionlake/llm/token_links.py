@@ -25,6 +25,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -76,8 +77,8 @@ class ByteLevel:
             # an added token may hold letters of its own; it is never emitted
             self.tokens[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
 
-    def encode(self, spaced: str) -> list[int]:
-        return self.tokenizer.encode(spaced, add_special_tokens=False).ids
+    def encode(self, spaced: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(spaced, add_special_tokens=False)]
 
 
 class Pieces:
@@ -94,20 +95,34 @@ class Pieces:
         ]
         self.space = self.model.piece_to_id("▁")
 
-    def encode(self, spaced: str) -> list[int]:
+    def encode(self, spaced: list[str]) -> list[list[int]]:
         # of an empty text no piece is made, not even the space before it
-        return self.model.encode(spaced[1:], num_threads=1) if len(spaced) > 1 else [self.space]
+        found = self.model.encode([text[1:] for text in spaced], num_threads=1)
+        return [ids or [self.space] for ids in found]
+
+
+class _Bytes:
+    """Byte strings in one array, looked up by their numbers."""
+
+    def __init__(self, strings: list[bytes]):
+        self.flat = np.frombuffer(b"".join(strings), np.uint8)
+        self.lengths = np.array([len(x) for x in strings], np.int64)
+        self.at = np.cumsum(self.lengths) - self.lengths
+
+    def joined(self, numbers: np.ndarray) -> np.ndarray:
+        return self.flat[ranges(self.at[numbers], self.lengths[numbers])]
 
 
 class PairEncoder:
     """Ids of stretches of text in both vocabularies, remembered under the stretch's hash."""
 
-    BITS = 21
+    BITS = 22
     KEPT = 1 << 20
 
     def __init__(self, first: str, second: str):
         self.sides = [ByteLevel(first), Pieces(second)]
-        self.lengths = [np.array([len(t) for t in side.tokens], np.int64) for side in self.sides]
+        self.bytes = [_Bytes(side.tokens) for side in self.sides]
+        self.lengths = [b.lengths for b in self.bytes]
         self._clear()
 
     def _clear(self) -> None:
@@ -118,26 +133,39 @@ class PairEncoder:
         self.exact = np.zeros(self.KEPT, bool)
         self.n = 0
 
-    def _add(self, stretch: bytes) -> int:
-        text, exact, n = stretch.decode("utf-8"), True, self.n
-        if n == len(self.exact):
-            self.exact = np.concatenate([self.exact, np.zeros(n, bool)])
-            self.at = [np.concatenate([at, np.zeros(n, np.int64)]) for at in self.at]
+    def _add(self, stretches: list[bytes]) -> None:
+        """Encode new stretches, at the next numbers; ``exact`` tells if both sides give back their bytes."""
+        n, m = self.n, self.n + len(stretches)
+        if m > len(self.exact):
+            more = max(m - len(self.exact), len(self.exact))
+            self.exact = np.concatenate([self.exact, np.zeros(more, bool)])
+            self.at = [np.concatenate([at, np.zeros(more, np.int64)]) for at in self.at]
+        sizes = np.array([len(x) for x in stretches], np.int64)
+        texts, source, begin = [x.decode("utf-8") for x in stretches], np.frombuffer(b"".join(stretches), np.uint8), np.cumsum(sizes) - sizes
+        exact = np.ones(len(stretches), bool)
         for k, side in enumerate(self.sides):
-            ids = side.encode(text)
-            exact &= b"".join(map(side.tokens.__getitem__, ids)) == stretch
-            start = self.at[k][n]
+            found = side.encode(texts)
+            counts = np.array([len(x) for x in found], np.int64)
+            ids = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))
+            first = np.cumsum(counts) - counts
+            same = np.add.reduceat(self.lengths[k][ids], first) == sizes
+            own = np.flatnonzero(same)
+            given = self.bytes[k].joined(ids[ranges(first[own], counts[own])])
+            differs = np.flatnonzero(given != source[ranges(begin[own], sizes[own])])
+            ends = np.cumsum(sizes[own])
+            same[own[np.searchsorted(ends, differs, side="right")]] = False
+            exact &= same
+            start = int(self.at[k][n])
             if start + len(ids) > len(self.flat[k]):
                 self.flat[k] = np.concatenate([self.flat[k], np.empty(max(len(self.flat[k]), len(ids)), np.int32)])
             self.flat[k][start : start + len(ids)] = ids
-            self.at[k][n + 1] = start + len(ids)
-        self.exact[n] = exact
-        self.n += 1
-        return n
+            self.at[k][n + 1 : m + 1] = start + np.cumsum(counts)
+        self.exact[n:m] = exact
+        self.n = m
 
     def lookup(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The number under which each stretch is remembered, until the next call."""
-        if self.n > self.KEPT // 2 or max(len(f) for f in self.flat) > 8 * self.KEPT:
+        if self.n > self.KEPT or max(len(f) for f in self.flat) > 8 * self.KEPT:
             self._clear()
         h = Prefix(data, fold=False).hash(start, end)
         at = (h >> np.uint64(64 - self.BITS)).astype(np.int64)
@@ -145,7 +173,9 @@ class PairEncoder:
         miss = np.flatnonzero((self.seen[at] != h) | (index < 0))
         if len(miss):
             new, which, back = np.unique(h[miss], return_index=True, return_inverse=True)
-            own = np.array([self._add(bytes(data[start[i] : end[i]])) for i in miss[which]], np.int32)
+            own = np.arange(self.n, self.n + len(new), dtype=np.int32)
+            whole = data.tobytes()
+            self._add([whole[a:b] for a, b in zip(start[miss[which]].tolist(), end[miss[which]].tolist())])
             index[miss] = own[back]
             at = (new >> np.uint64(64 - self.BITS)).astype(np.int64)
             self.seen[at], self.slot[at] = new, own

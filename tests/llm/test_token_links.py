@@ -71,7 +71,7 @@ def test_stretches_equal_whole_texts():
     encoder = token_links.PairEncoder(FIRST, SECOND)
     own = token_links.Aligned(encoder, pa.array(texts))
     for i, text in enumerate(texts):
-        a, b = encoder.sides[0].encode(" " + text), encoder.sides[1].model.encode(text)
+        a, b = encoder.sides[0].encode([" " + text])[0], encoder.sides[1].model.encode(text)
         assert own.ids[0][own.at[0][i] : own.at[0][i + 1]].tolist() == a, repr(text)
         assert own.ids[1][own.at[1][i] : own.at[1][i + 1]].tolist() == b, repr(text)
 
