@@ -13,7 +13,7 @@ marked. An anchor with more contexts than a shard holds has its windows compared
 
 Cases: a null text is empty; texts shorter than ``length`` keep every byte; null ids come before all
 others; rows alike in id and text are one document, which does not repeat itself by being listed twice,
-and each gets its result; rows that share only the id are ordered by the hash of their text; an empty
+and each gets its result; texts that share only the id (up to 2**26 of them) are ordered by their hash; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -29,23 +29,36 @@ from pyspark.sql import functions as F
 
 from decisionlake.llm.graph import bitmap, in_bitmap
 from decisionlake.llm.text import Prefix, column_bytes, minima, ranges, signed, slices
+from decisionlake.operators.scale import number_in_blocks
 from decisionlake.sources.storage import cut
 
 LENGTH, K = 100, 32
 SHARD_BYTES = 512 << 10
 #: Contexts of one anchor that still go into a shard.
 MOST_CONTEXTS = 5000
-#: A place in a document as one number: 26 bits of the text's hash, the offset, the number of windows.
+#: A place in a document as one number: 26 bits for the text's number among those of its id, the offset, the number of windows.
 _COUNT_BITS, _PLACE_BITS = 7, 38
 _KEY = "doc_id bigint, digest bigint"
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``doc_id, digest, text``: null ids as the least number, and the hash that tells rows of one id apart."""
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("doc_id"),
-        F.shiftrightunsigned(F.xxhash64(F.coalesce("text", F.lit(""))), _PLACE_BITS).alias("digest"), F.coalesce("text", F.lit("")).alias("text"),
-    )
+    """``doc_id, digest, text``: null ids as the least number, and a number that tells the texts of one id apart.
+
+    Texts that share an id are numbered in the order of their hash; an id of one text has number 0.
+    """
+    rows = docs.select(
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(2**63))).alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"),
+    ).withColumn("hash", F.xxhash64("text"))
+    many = rows.groupBy("doc_id").agg((F.min("hash") != F.max("hash")).alias("many")).filter("many").select("doc_id")
+    texts = cut(rows.select("doc_id", "hash").join(many, "doc_id", "left_semi").distinct(), "shared-ids")
+    if texts.isEmpty():
+        return rows.select("doc_id", F.lit(0).cast("bigint").alias("digest"), "text")
+    numbered = number_in_blocks(texts, ["doc_id"], F.shiftright("hash", 48), ["hash"], "digest")
+    numbered = cut(numbered.select(F.col("doc_id").alias("i"), F.col("hash").alias("g"), F.col("digest").cast("bigint").alias("digest")), "numbers")
+    if numbered.agg(F.max("digest")).first()[0] >= 1 << (64 - _PLACE_BITS):
+        raise ValueError(f"More than {1 << (64 - _PLACE_BITS)} different texts share one id.")
+    same = (F.col("doc_id") == F.col("i")) & (F.col("hash") == F.col("g"))
+    return rows.join(numbered, same, "left").select("doc_id", F.coalesce("digest", F.lit(0).cast("bigint")).alias("digest"), "text")
 
 
 def cut_contexts(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, k: int = K):
@@ -74,7 +87,7 @@ def _context_task(length: int, k: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in slices(batch):
+            for rows in slices(batch, limit=SHARD_BYTES):
                 data, offsets = column_bytes(rows.column("text"))
                 document, start, n, h, c = cut_contexts(data, offsets, length, k)
                 ids = rows.column("doc_id").to_numpy()[document]
@@ -320,6 +333,8 @@ def _marks_of(rows: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = K, most_contexts: int = MOST_CONTEXTS) -> DataFrame:
     """``doc_id, digest, start, stop``: byte spans to remove; they may overlap."""
+    if not k <= length <= k - 1 + (1 << _COUNT_BITS):
+        raise ValueError("length must be at least k and less than k + 128.")
     spark = docs.sparkSession
     rows = keyed(docs).filter(F.octet_length("text") >= length)
     contexts = rows.mapInArrow(_context_task(length, k), "h bigint, c bigint, doc_id bigint, place bigint, marked boolean")

@@ -86,3 +86,16 @@ def test_statistics_from_runs_equal_direct_ones():
         a, b = rest[before][0][:-1], rest[i][0][:-1]
         n = next((j for j, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
         assert shared[i] == n
+
+
+def test_texts_of_one_id_with_like_hashes_stay_apart(spark):
+    from pyspark.sql import functions as F
+
+    passage = prose(77, 60, 5000)
+    texts = spark.range(40_000).select(F.concat(F.lit(passage + " "), F.col("id").cast("string")).alias("text"))
+    alike = texts.groupBy(F.shiftrightunsigned(F.xxhash64("text"), 38)).agg(F.collect_list("text").alias("t")).filter("size(t) > 1").first()["t"]
+    for ids in ((None, None), (5, 5)):
+        got = found(documents(spark, list(zip(ids, alike))))
+        assert sorted(r[2] for r in got)[0] == 0 and sorted(r[2] for r in got)[1] > 100
+    with pytest.raises(ValueError):
+        run_index.repeated_spans(documents(spark, []), length=200, k=32)
