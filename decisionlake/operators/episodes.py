@@ -5,7 +5,7 @@ A logged outcome stays with the logged action; nothing here steps with another a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from decisionlake.functions.reward import RewardFunction, RewardSpec, with_reward
@@ -53,18 +53,36 @@ def sample_episodes(
     ).limit(n)
 
 
+def _sound_transition(spec: TrajectorySpec) -> Column:
+    """True, or an error: steps are unique, actions known, and the last row of an episode is its one terminal row."""
+    following, terminal = F.col("_next"), F.coalesce(F.col(spec.terminal), F.lit(-1))
+    patient = F.coalesce(F.col(spec.patient).cast("string"), F.lit("null"))
+    problem = (
+        F.when(following.isNotNull() & following[spec.step].eqNullSafe(F.col(spec.step)),
+               F.concat(F.lit("Duplicate transition of patient "), patient))
+        .when(F.col(spec.action).isNotNull() & ~F.col(spec.action).isin(*spec.actions),
+              F.concat(F.lit("Unknown logged action: "), F.col(spec.action)))
+        .when(~terminal.isin(0, 1) | ((terminal == 1) == following.isNotNull()),
+              F.concat(F.lit("Each patient must have exactly one terminal transition, at the end; invalid patient "), patient))
+    )
+    return F.when(problem.isNotNull(), F.raise_error(problem).cast("boolean")).otherwise(F.lit(True))
+
+
 def logged_transitions(
     df: DataFrame,
     reward: RewardSpec | RewardFunction | None = None,
     *,
     row_bound: int | None = None,
     task_rows: int = TASK_ROWS,
+    validated: bool = False,
     spec: TrajectorySpec = DEFAULT,
 ) -> DataFrame:
     """One row per logged transition: state, action, reward, next state, done.
 
     ``next_state`` is the next present row of the episode, whatever its step, and NULL
-    at a terminal row.
+    at a terminal row. Unless the rows are ``validated`` already, the replay checks itself: each row is
+    held against the next one of its episode, which its window brings along, and the query fails at the
+    first row that no episode may have. That takes no further scan.
     """
     scored = with_reward(
         df.filter(F.col(spec.patient).isNotNull()), reward, "_reward", spec
@@ -77,6 +95,8 @@ def logged_transitions(
         row_bound=row_bound,
         task_rows=task_rows,
     )
+    if not validated:
+        linked = linked.filter(_sound_transition(spec))
     going_on = F.col(spec.terminal) != 1
     return linked.select(
         *spec.key,

@@ -64,6 +64,29 @@ def test_transition_replay_orders_and_ends(spark):
     assert set(first.state.asDict()) == set(OBSERVATIONS) and first.logged_transition
 
 
+@pytest.mark.parametrize("change, said", [
+    ({"time_step": 1}, "Duplicate transition"),
+    ({"observed_clinician_action": "discharge"}, "Unknown logged action"),
+    ({"terminal": 0}, "exactly one terminal"),
+    ({"terminal": None}, "exactly one terminal"),
+    ({"time_step": 0}, "exactly one terminal"),
+])
+@pytest.mark.parametrize("options", [{"row_bound": 3}, {"task_rows": 1}])
+def test_replay_refuses_episodes_that_cannot_be(spark, change, said, options):
+    broken = {"patient_id": "a", "time_step": 3, "terminal": 1, "observed_clinician_action": "iv_fluids", **state(), **outcomes(), **change}
+    df = rows(spark).filter("NOT (patient_id = 'a' AND time_step = 3)").unionByName(frame(spark, [broken]).select(rows(spark).columns))
+    with pytest.raises(Exception, match=said):
+        episodes.logged_transitions(df, **options).collect()
+    with pytest.raises(Exception, match=said):  # whatever columns are asked for
+        episodes.logged_transitions(df, **options).groupBy("action").count().collect()
+    assert episodes.logged_transitions(df, validated=True, **options).count() == 3
+
+
+def test_replay_gate_takes_no_scan_of_its_own(spark, trajectories):
+    plan = episodes.logged_transitions(trajectories, row_bound=10**6)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "raise_error" in plan
+
+
 def test_replay_never_carries_outcomes(spark):
     names = set(episodes.logged_transitions(rows(spark), row_bound=3).columns)
     assert not names & set(OUTCOMES)

@@ -27,7 +27,8 @@ def test_one_user_with_most_rows_equals_plain_windows(spark):
 
 def test_split_transitions_equal_plain_ones_with_gaps(spark, trajectories):
     gappy = trajectories.filter(F.col("time_step") % 4 != 2)
-    same(logged_transitions(gappy, row_bound=10**6), logged_transitions(gappy, task_rows=10))
+    same(logged_transitions(gappy, row_bound=10**6, validated=True), logged_transitions(gappy, task_rows=10, validated=True))
+    same(logged_transitions(trajectories, row_bound=10**6), logged_transitions(trajectories, task_rows=10))
 
 
 def test_neighbours_keep_null_keys(spark):
