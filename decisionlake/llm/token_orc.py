@@ -25,6 +25,9 @@ from pyspark.sql import functions as F
 
 from decisionlake.llm.text import Words, ranges, slices
 
+#: Text encoded at once; its words and ids are held as arrays.
+ENCODE_BYTES = 512 << 10
+
 SCHEMA = "doc_id bigint, part int, local_start bigint, n_tokens int, tokens array<int>"
 #: Writer settings: indexes for every 2,000 rows, stripes of 16 MB, Bloom filters on the id.
 ORC_OPTIONS = {
@@ -152,7 +155,7 @@ def _encode_task(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, start, part = encoder(path), 0, TaskContext.get().partitionId()
         for batch in batches:
-            for rows in slices(batch):
+            for rows in slices(batch, limit=ENCODE_BYTES):
                 ids, counts = own.encode(rows.column("text"))
                 ends = np.cumsum(counts)
                 ids = np.insert(ids, ends, end_id).astype(np.int32)
