@@ -73,7 +73,7 @@ def observation_rows(spark, sf):
 
 @query
 def response_cache_scan(spark, sf):
-    return tidy(data.response_cache(spark, sf))
+    return tidy(response_cache.read_cache(spark, data.response_cache_path(spark, sf), format="parquet"))
 
 
 @query
@@ -558,7 +558,7 @@ def prompt_safe_records(spark, sf):
 
 @query
 def few_shot_messages(spark, sf):
-    asked = data.trajectories(spark, sf).filter(F.col("split") == "validation")
+    asked = data.trajectories(spark, sf)
     found = retrieval.retrieve_examples(asked, library_table(spark, sf), exclude="patient_id")
     from decisionlake.functions.prompts import few_shot_messages as build
 

@@ -205,3 +205,9 @@ def response_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).dropDuplicates(["cache_key"])
 
     return _once(spark, sf_dir, "response-cache", build)
+
+
+def response_cache_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the records are, for those who read the cache as a table of files."""
+    response_cache(spark, sf_dir)
+    return table_path(spark, "response-cache", sf_dir)

@@ -750,7 +750,7 @@ SQL["few_shot_messages"] = final(
     f"""SELECT {KEY}, {user_sql(state_sql(prefix='q.'), _NO_NOTE)} || {lines(prompts.EXAMPLES_OPENING)} || examples || {lines(prompts.EXAMPLES_CLOSING)} AS user_content
     FROM asked q JOIN (SELECT n.patient_id, n.time_step, '[' || string_agg({_EXAMPLE}, ',' || chr(10) ORDER BY library_rank) || ']' AS examples
       FROM near n JOIN library l USING (library_rank) GROUP BY n.patient_id, n.time_step) USING (patient_id, time_step)""",
-    ctes=(TRAJ, EST, LIBRARY, "asked AS (SELECT * FROM traj WHERE split = 'validation')", NEAREST))
+    ctes=(TRAJ, EST, LIBRARY, "asked AS (SELECT * FROM traj)", NEAREST))
 
 # ------------------------------------------------------------- backend and long reports
 
