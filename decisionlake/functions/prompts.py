@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from decisionlake.operators.scale import small_side
 from decisionlake.operators.validate import require_exactly
 from decisionlake.spec import DEFAULT, TrajectorySpec
 
@@ -178,27 +179,52 @@ def few_shot_messages(
         queries.select(*key, *spec.observations, *([note] if note else [])),
         keep=key, note=note, spec=spec,
     )
-    text = ", ".join([
-        sql_text('{\n  "state": '), state_sql(retrieved.schema, spec, "    ", "null"),
-        sql_text(',\n  "logged_action": '), json_sql("action"),
-        sql_text(',\n  "observed_outcome_label": '), json_sql("outcome_label"), sql_text("\n}"),
-    ])
     rendered = retrieved.select(
-        *key, F.expr(f"struct(library_rank AS place, concat({text}) AS text)").alias("record")
+        *key, F.struct(F.col("library_rank").alias("place"), example_json(retrieved.schema, spec).alias("text")).alias("record")
     )
     examples = rendered.groupBy(*key).agg(
-        F.concat(
-            F.lit("["),
-            F.array_join(F.transform(F.array_sort(F.collect_list("record")), lambda r: r["text"]), ",\n"),
-            F.lit("]"),
-        ).alias("examples_json")
+        F.transform(F.array_sort(F.collect_list("record")), lambda r: r["text"]).alias("_texts")
     )
     joined = base.join(examples, key, "left")
-    content = F.concat(
-        F.col("messages")[1]["content"], F.lit(EXAMPLES_OPENING),
-        F.coalesce("examples_json", F.lit("[]")), F.lit(EXAMPLES_CLOSING),
+    return _with_examples(joined, F.coalesce("_texts", F.array().cast("array<string>"))).drop("_texts")
+
+
+def few_shot_prompts(
+    ranked: DataFrame, library: DataFrame, *, key: Sequence[str] | None = None, examples: int,
+    note: str | None = None, spec: TrajectorySpec = DEFAULT,
+) -> DataFrame:
+    """``few_shot_messages`` of states that carry ``ranks`` of ``examples`` library rows, in rank order.
+
+    The library is rendered once per row and looked up place by place. Its texts are broadcast if their
+    number allows, so that states are not shuffled, nor their examples expanded and grouped again.
+    """
+    key = list(key or spec.key)
+    held = [*key, "ranks"]
+    built = zero_shot_messages(
+        ranked.select(*held, *spec.observations, *([note] if note else [])), keep=held, note=note, spec=spec
     )
-    return joined.withColumn(
+    texts = small_side(library.select(F.col("library_rank").alias("_rank"), example_json(library.schema, spec).alias("_text")))
+    for i in range(examples):
+        built = built.withColumn("_at", F.get("ranks", F.lit(i))).join(texts, F.col("_at") == F.col("_rank"), "left")
+        built = built.withColumnRenamed("_text", f"_text_{i}").drop("_at", "_rank")
+    names = [f"_text_{i}" for i in range(examples)]
+    return _with_examples(built, F.array_compact(F.array(*names))).drop("ranks", *names)
+
+
+def example_json(schema: T.StructType, spec: TrajectorySpec = DEFAULT) -> Column:
+    """A library row as state, action and label; nothing else of it is rendered."""
+    text = ", ".join([
+        sql_text('{\n  "state": '), state_sql(schema, spec, "    ", "null"),
+        sql_text(',\n  "logged_action": '), json_sql("action"),
+        sql_text(',\n  "observed_outcome_label": '), json_sql("outcome_label"), sql_text("\n}"),
+    ])
+    return F.expr(f"concat({text})")
+
+
+def _with_examples(built: DataFrame, texts: Column) -> DataFrame:
+    listed = F.concat(F.lit("["), F.array_join(texts, ",\n"), F.lit("]"))
+    content = F.concat(F.col("messages")[1]["content"], F.lit(EXAMPLES_OPENING), "examples_json", F.lit(EXAMPLES_CLOSING))
+    return built.withColumn("examples_json", listed).withColumn(
         "messages", F.array(F.col("messages")[0], message("user", content))
     )
 

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 from decisionlake.functions.vectors import (
     action_index, argmax, below, count_if, finite, pick, rate,
 )
-from decisionlake.operators.metrics import QUARTILE_NAMES, quantile_summary, reward_summary, side_by_side, to_long, union_long
+from decisionlake.operators.metrics import (
+    QUARTILE_NAMES, columns, entries, in_one_pass, quantile_summary, reward_quantiles, reward_summary,
+    side_by_side, to_long, union_long, unpivoted,
+)
 from decisionlake.operators.validate import assert_selection_source
 from decisionlake.spec import DEFAULT, TrajectorySpec
 
@@ -120,35 +123,44 @@ def bias_maintain(
         *[rate(F.col("top") == i).alias(f"top_rate_{i}") for i in range(len(spec.actions))],
         rate(F.col("top_propensity") < SUPPORT).alias("below_support_rate"),
     )
+    return side_by_side(["model"], means, _maintain_quantiles(rows, row_bound))
+
+
+def _maintain_quantiles(rows: DataFrame, row_bound: int | None) -> DataFrame:
     q = quantile_summary(rows, ["margin", "top_propensity"], ["model"], row_bound)
-    named = q.groupBy("model").agg(*[
+    return q.groupBy("model").agg(*[
         F.max(F.when(F.col("variable") == v, F.col(n))).alias(f"{short}_{n}")
         for v, short in (("margin", "margin"), ("top_propensity", "propensity"))
         for n in QUARTILE_NAMES
     ])
-    return side_by_side(["model"], means, named)
 
 
-def state_slices(spec: TrajectorySpec = DEFAULT) -> dict[str, Column]:
-    """Overlapping slices: a row is in one of each family."""
+def slice_families(spec: TrajectorySpec = DEFAULT) -> dict[str, dict[str, Column]]:
+    """State slices by family; those of one family exclude each other."""
     pressure, lactate, drug = F.col(spec.pressure), F.col(spec.lactate), F.col(spec.vasopressor)
     measured = F.coalesce(finite(lactate), F.lit(False))
     return {
-        "map_below_65": below(spec.pressure, 65.0),
-        "map_65_to_75": (pressure >= 65.0) & (pressure < 75.0),
-        "map_at_least_75": pressure >= 75.0,
-        "lactate_at_most_2": measured & (lactate <= 2.0),
-        "lactate_above_2": measured & (lactate > 2.0),
-        "lactate_missing": ~measured,
-        "vasopressor_inactive": drug == 0,
-        "vasopressor_active": drug == 1,
+        "pressure": {
+            "map_below_65": below(spec.pressure, 65.0),
+            "map_65_to_75": (pressure >= 65.0) & (pressure < 75.0),
+            "map_at_least_75": pressure >= 75.0,
+        },
+        "lactate": {
+            "lactate_at_most_2": measured & (lactate <= 2.0),
+            "lactate_above_2": measured & (lactate > 2.0),
+            "lactate_missing": ~measured,
+        },
+        "vasopressor": {"vasopressor_inactive": drug == 0, "vasopressor_active": drug == 1},
     }
 
 
-def bias_slices(
-    ranked: DataFrame, row_bound: int | None = None, spec: TrajectorySpec = DEFAULT
-) -> DataFrame:
-    """Per state slice and model, over rows logged with the first action."""
+def state_slices(spec: TrajectorySpec = DEFAULT) -> dict[str, Column]:
+    """Overlapping slices: a row is in one of each family."""
+    return {label: cond for family in slice_families(spec).values() for label, cond in family.items()}
+
+
+def _sliced(ranked: DataFrame, spec: TrajectorySpec) -> DataFrame:
+    """Rows logged with the first action, once per slice that they are in."""
     slices = F.filter(
         F.array(*[
             F.when(F.coalesce(cond, F.lit(False)), F.lit(label))
@@ -156,52 +168,119 @@ def bias_slices(
         ]),
         lambda s: s.isNotNull(),
     )
-    rows = (
+    return (
         ranked.filter(F.col(spec.action) == spec.actions[0])
         .select("model", "top", "margin", spec.reward, F.explode(slices).alias("slice"))
     )
+
+
+def _slice_quantiles(rows: DataFrame, row_bound: int | None, spec: TrajectorySpec) -> list[DataFrame]:
     keys = ["slice", "model"]
     # A row falls in one slice of each of the three families.
     bound = None if row_bound is None else 3 * row_bound
+    margins = quantile_summary(rows, ["margin"], keys, bound).drop("variable")
+    rewards = reward_quantiles(rows, spec.reward, keys, bound)
+    return [
+        margins.select(*keys, *[F.col(n).alias(f"margin_{n}") for n in QUARTILE_NAMES]),
+        rewards.select(*keys, "p10", F.col("median").alias("reward_median"), "p90"),
+    ]
+
+
+def bias_slices(
+    ranked: DataFrame, row_bound: int | None = None, spec: TrajectorySpec = DEFAULT
+) -> DataFrame:
+    """Per state slice and model, over rows logged with the first action."""
+    rows = _sliced(ranked, spec)
+    keys = ["slice", "model"]
     means = rows.groupBy(*keys).agg(
         F.count("*").alias("rows"),
         F.avg(spec.reward).alias("reward_mean"),
         rate(F.col(spec.reward) >= 0).alias("favorable_rate"),
         *[rate(F.col("top") == i).alias(f"top_rate_{i}") for i in range(len(spec.actions))],
     )
-    margins = quantile_summary(rows, ["margin"], keys, bound).drop("variable")
-    rewards = reward_summary(rows, spec.reward, keys, bound).select(*keys, "p10", F.col("median").alias("reward_median"), "p90")
-    margins = margins.select(*keys, *[F.col(n).alias(f"margin_{n}") for n in QUARTILE_NAMES])
-    return side_by_side(keys, means, margins, rewards)
+    return side_by_side(keys, means, *_slice_quantiles(rows, row_bound, spec))
+
+
+def _bias_means(df: DataFrame, models: Sequence[str], spec: TrajectorySpec) -> DataFrame:
+    """Every count, rate and mean of the report from one scan, in the long layout."""
+    first, indexes = spec.actions[0], range(len(spec.actions))
+    families = list(slice_families(spec).values())
+    bands = [f"_band_{n}" for n in range(len(families))]
+    keyed = {"_action": F.col(spec.action)}
+    for band, family in zip(bands, families):
+        keyed[band] = F.coalesce(*[F.when(cond, F.lit(label)) for label, cond in family.items()])
+    tops = {f"_top_{m}": argmax(spec.indexed(m)) for m in models}
+    rows = df.withColumns(keyed | tops).withColumns({
+        f"_support_{m}": pick(spec.indexed("b"), F.col(f"_top_{m}")) for m in models
+    })
+    agreed = F.col(f"_top_{models[0]}") == F.col(f"_top_{models[1]}")
+    sets = [[], ["_action"], *[["_action", band] for band in bands]]
+    wide = in_one_pass(rows, sets, [
+        F.count("*").alias("rows"), F.avg(spec.reward).alias("mean"),
+        rate(F.col(spec.reward) >= 0).alias("favorable_rate"),
+        rate(agreed).alias("top_action_agreement_rate"), count_if(agreed).alias("_agreed"),
+        *[count_if(agreed & (F.col(f"_top_{models[0]}") == i)).alias(f"_agreed_{i}") for i in indexes],
+        *[rate(F.col(f"_top_{m}") == i).alias(f"{m}_rate_{i}") for m in models for i in indexes],
+        *[F.avg(v).alias(f"{m}_value_{i}") for m in models for i, v in enumerate(spec.indexed(m))],
+        *[rate(F.col(f"_support_{m}") < SUPPORT).alias(f"{m}_low") for m in models],
+    ])
+    overall, logged = F.col("_set") == 0, F.col("_set") == 1
+    action, band = F.col("_action"), F.coalesce(*bands)
+    agreement = {
+        f"agreed_top_rate_{i}": F.when(F.col("_agreed") == 0, 0.0)
+        .otherwise(F.col(f"_agreed_{i}") / F.when(F.col("_agreed") != 0, F.col("_agreed")))
+        for i in indexes
+    }
+    parts = [
+        (logged, entries(columns("rows", "mean", "favorable_rate"), section="observed_reward", action=action)),
+        (overall, entries(columns("rows", "top_action_agreement_rate") | agreement, section="model_agreement")),
+    ]
+    for m in models:
+        rates = {f"top_rate_{i}": F.col(f"{m}_rate_{i}") for i in indexes}
+        low = {"below_support_rate": F.col(f"{m}_low")}
+        parts += [
+            (overall, entries({"top_action_rate": F.col(f"{m}_rate_{i}"), "mean_modeled_value": F.col(f"{m}_value_{i}")},
+                              section="global_rankings", model=m, action=a))
+            for i, a in enumerate(spec.actions)
+        ]
+        parts += [
+            (overall, entries(low, section="top_action_propensity", model=m)),
+            (logged, entries(columns("rows") | rates, section="logged_by_top", model=m, action=action)),
+            (logged & (action == first),
+             entries(columns("rows") | rates | low, section="logged_first_action", model=m)),
+            ((F.col("_set") > 1) & (action == first) & band.isNotNull(),
+             entries({"rows": F.col("rows"), "reward_mean": F.col("mean"), "favorable_rate": F.col("favorable_rate")} | rates,
+                     section="state_slices", model=m, slice=band)),
+        ]
+    return unpivoted(wide, parts)
 
 
 def bias_report(
     df: DataFrame, models: Sequence[str] = MODELS, row_bound: int | None = None,
     spec: TrajectorySpec = DEFAULT,
 ) -> DataFrame:
-    """Every bias diagnostic in the long metric layout."""
+    """Every bias diagnostic in the long metric layout: one scan for the means, one per quantile frame.
+
+    An empty table has no rows.
+    """
     values = [v for m in models for v in spec.indexed(m)]
     assert_selection_source(df, spec.indexed("b"), values, "fold" if "fold" in df.columns else None, spec)
     ranked = ranked_rows(df, models, spec=spec)
     bound = None if row_bound is None else len(models) * row_bound
-    rates = [f"top_rate_{i}" for i in range(len(spec.actions))]
-    maintain = bias_maintain(ranked, bound, spec)
-    sliced = bias_slices(ranked, bound, spec)
-    model, action = F.col("model"), F.col("action")
+    observed = df.select(F.col(spec.action).alias("action"), spec.reward)
+    kept = _maintain_quantiles(ranked.filter(F.col(spec.action) == spec.actions[0]), bound)
+    sliced = _slice_quantiles(_sliced(ranked, spec), bound, spec)
+    model = F.col("model")
     return union_long([
-        to_long(bias_observed(df, row_bound, spec), ["rows", "mean", "favorable_rate", "p10", "median", "p90"],
-                section="observed_reward", action=action),
-        to_long(bias_global(ranked, spec), ["top_action_rate", "mean_modeled_value"],
-                section="global_rankings", model=model, action=action),
-        to_long(bias_propensity(ranked, bound), [*QUARTILE_NAMES, "below_support_rate"],
+        _bias_means(df, models, spec),
+        to_long(reward_quantiles(observed, spec.reward, ["action"], row_bound), ["p10", "median", "p90"],
+                section="observed_reward", action=F.col("action")),
+        to_long(quantile_summary(ranked, ["top_propensity"], ["model"], bound), QUARTILE_NAMES,
                 section="top_action_propensity", model=model),
-        to_long(bias_agreement(df, models, spec),
-                ["rows", "top_action_agreement_rate"] + [f"agreed_{r}" for r in rates],
-                section="model_agreement"),
-        to_long(bias_matrix(ranked, spec), ["rows", *rates], section="logged_by_top",
-                model=model, action=F.col("logged_action")),
-        to_long(maintain, [c for c in maintain.columns if c != "model"],
-                section="logged_first_action", model=model),
-        to_long(sliced, [c for c in sliced.columns if c not in ("slice", "model")],
-                section="state_slices", model=model, slice=F.col("slice")),
+        to_long(kept, [c for c in kept.columns if c != "model"], section="logged_first_action", model=model),
+        *[
+            to_long(q, [c for c in q.columns if c not in ("slice", "model")],
+                    section="state_slices", model=model, slice=F.col("slice"))
+            for q in sliced
+        ],
     ])

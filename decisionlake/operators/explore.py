@@ -20,41 +20,44 @@ LABS = ("lactate_mmol_l", "urine_output_6h_ml", "creatinine_mg_dl")
 def diverse_rows(df: DataFrame, limit: int = 12, spec: TrajectorySpec = DEFAULT) -> DataFrame:
     """A fixed priority of interesting states, two each, then rows in key order.
 
-    A row keeps the first reason it qualifies for; ties follow the key order. Every branch
-    is a top-k, so at most a few rows per task leave the scan.
+    A row keeps the first reason it qualifies for; ties follow the key order. One scan flags the reasons
+    of each row, and a rank limit per reason runs in the map tasks, so that only a few rows of each leave them.
     """
     if limit <= 0:
         raise ValueError("limit must be positive")
     pressure, lactate = F.col(spec.pressure), F.col(spec.lactate)
     fluids = F.col(spec.fluids)
+    fill = "deterministic_fill"
+    nothing = F.lit(0.0)
+    # reason, condition, what to sort by first (descending where negated)
     branches = [
-        ("lowest_map", pressure.isNotNull(), pressure.asc()),
-        ("map_near_65", pressure.isNotNull(), F.abs(pressure - spec.low_pressure).asc()),
-        ("highest_lactate", lactate.isNotNull(), lactate.desc()),
-        ("missing_lactate", lactate.isNull(), None),
-        ("vasopressor_active", F.col(spec.vasopressor) == 1, None),
-        ("recent_iv_fluids", fluids > 0, fluids.desc()),
-        ("deterministic_fill", F.lit(True), None),
+        ("lowest_map", pressure.isNotNull(), pressure),
+        ("map_near_65", pressure.isNotNull(), F.abs(pressure - spec.low_pressure)),
+        ("highest_lactate", lactate.isNotNull(), -lactate),
+        ("missing_lactate", lactate.isNull(), nothing),
+        ("vasopressor_active", F.col(spec.vasopressor) == 1, nothing),
+        ("recent_iv_fluids", fluids > 0, -fluids),
+        (fill, F.lit(True), nothing),
     ]
-    picked = None
-    for priority, (reason, condition, order) in enumerate(branches):
-        n = limit + 2 * (len(branches) - 1) if reason == "deterministic_fill" else 2
-        keys = ([] if order is None else [order]) + [F.col(c) for c in spec.key]
-        best = df.filter(condition).orderBy(*keys).limit(n)
-        # At most a few dozen rows from here on.
-        best = best.select(
-            *spec.key, *spec.observations,
-            F.lit(reason).alias("selection_reason"), F.lit(priority).alias("_priority"),
-            F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*keys)).alias("_rank"),
+    most = limit + 2 * (len(branches) - 1)
+    flagged = df.select(*spec.key, *spec.observations, F.explode(F.filter(F.array(*[
+        F.struct(
+            F.lit(priority).alias("_priority"), F.lit(reason).alias("selection_reason"),
+            F.coalesce(condition, F.lit(False)).alias("fits"), order.cast("double").alias("_order"),
         )
-        picked = best if picked is None else picked.unionByName(best)
+        for priority, (reason, condition, order) in enumerate(branches)
+    ]), lambda e: e["fits"])).alias("_e")).select(*spec.key, *spec.observations, "_e._priority", "_e.selection_reason", "_e._order")
+    best = Window.partitionBy("_priority").orderBy("_order", *spec.key)
+    picked = flagged.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= most)
+    picked = picked.filter((F.col("selection_reason") == fill) | (F.col("_rank") <= 2))
+    # At most a few dozen rows from here on.
     first = Window.partitionBy(*spec.key).orderBy("_priority", "_rank")
     unique = picked.withColumn("_seen", F.row_number().over(first)).filter("_seen = 1")
     place = Window.partitionBy(F.lit(0)).orderBy("_priority", "_rank")
     return (
         unique.withColumn("selection_order", F.row_number().over(place).cast("bigint"))
         .filter(F.col("selection_order") <= limit)
-        .drop("_priority", "_rank", "_seen")
+        .drop("_priority", "_order", "_rank", "_seen")
     )
 
 

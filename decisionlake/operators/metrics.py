@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from decisionlake.functions.vectors import (
-    action_index, argmax, as_columns, below, count_if, pick, rate,
+    action_index, action_name, argmax, as_columns, below, count_if, pick, rate,
 )
 from decisionlake.operators.scale import group_quantiles
 from decisionlake.spec import DEFAULT, TrajectorySpec
@@ -147,15 +147,24 @@ def logged_propensity(
     row_bound: int | None = None, spec: TrajectorySpec = DEFAULT,
 ) -> DataFrame:
     """Summary of the probability of the logged action, overall or per action."""
-    rows = _indexed(df, probabilities, spec).select(F.col(spec.action).alias("action"), "_p")
+    rows = _indexed(df, probabilities, spec)
+    keys = ["action"] if by_action else []
+    means = rows.groupBy(*[F.col(spec.action).alias(k) for k in keys]).agg(
+        F.count("*").alias("logged_count"), F.avg("_p").alias("mean")
+    )
+    return side_by_side(keys, means, _propensity_quantiles(rows, by_action, row_bound, spec))
+
+
+def _propensity_quantiles(
+    rows: DataFrame, by_action: bool, row_bound: int | None, spec: TrajectorySpec
+) -> DataFrame:
     probs = (0.05, 0.5) if by_action else (0.0, 0.01, 0.05, 0.5)
     names = ("p05", "median") if by_action else ("min", "p01", "p05", "median")
     keys = ["action"] if by_action else []
-    q = group_quantiles(rows, keys, ["_p"], probs, row_bound=row_bound).select(
-        *keys, *[F.col("_p_q")[i].alias(n) for i, n in enumerate(names)]
+    rows = rows.select(F.col(spec.action).alias("action"), "_p")
+    return group_quantiles(rows, keys, ["_p"], probs, row_bound=row_bound).select(
+        *keys, *[F.try_element_at("_p_q", F.lit(i + 1)).alias(n) for i, n in enumerate(names)]
     )
-    means = rows.groupBy(*keys).agg(F.count("*").alias("logged_count"), F.avg("_p").alias("mean"))
-    return side_by_side(keys, means, q)
 
 
 def action_rates(
@@ -250,17 +259,22 @@ def reward_summary(
     df: DataFrame, reward: str = "reward", by: Sequence[str] = (), row_bound: int | None = None
 ) -> DataFrame:
     """Rows, mean, share at or above zero, p10, median and p90 of a reward."""
-    q = group_quantiles(df, list(by), [reward], (0.1, 0.5, 0.9), row_bound=row_bound)
-    q = q.select(*by, *[
-        F.try_element_at(f"{reward}_q", F.lit(i + 1)).alias(n)
-        for i, n in enumerate(("p10", "median", "p90"))
-    ])
     means = df.groupBy(*by).agg(
         F.count("*").alias("rows"),
         F.avg(reward).alias("mean"),
         rate(F.col(reward) >= 0).alias("favorable_rate"),
     )
-    return side_by_side(list(by), means, q)
+    return side_by_side(list(by), means, reward_quantiles(df, reward, by, row_bound))
+
+
+def reward_quantiles(
+    df: DataFrame, reward: str = "reward", by: Sequence[str] = (), row_bound: int | None = None
+) -> DataFrame:
+    q = group_quantiles(df, list(by), [reward], (0.1, 0.5, 0.9), row_bound=row_bound)
+    return q.select(*by, *[
+        F.try_element_at(f"{reward}_q", F.lit(i + 1)).alias(n)
+        for i, n in enumerate(("p10", "median", "p90"))
+    ])
 
 
 # --------------------------------------------------------------------- long reports
@@ -291,38 +305,156 @@ def union_long(frames: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+_ENTRIES = "array<struct<section string, model string, slice string, action string, fold string, metric string, value double>>"
+
+
+def entries(metrics: dict[str, Column], **dims: Column | str | None) -> Column:
+    """The metrics of one section as an array of long rows."""
+    named = [
+        (F.lit(None) if dims.get(d) is None else dims[d] if isinstance(dims[d], Column) else F.lit(dims[d]))
+        .cast("string").alias(d)
+        for d in LONG[:5]
+    ]
+    return F.array(*[
+        F.struct(*named, F.lit(m).alias("metric"), v.cast("double").alias("value")) for m, v in metrics.items()
+    ])
+
+
+def columns(*names: str) -> dict[str, Column]:
+    return {n: F.col(n) for n in names}
+
+
+def unpivoted(df: DataFrame, parts: Sequence[tuple[Column, Column]]) -> DataFrame:
+    """Long rows of a wide frame: of each ``(condition, entries)`` the entries where it holds."""
+    none = F.array().cast(_ENTRIES)
+    return df.select(F.inline(F.concat(*[
+        F.when(condition, rows.cast(_ENTRIES)).otherwise(none) for condition, rows in parts
+    ])))
+
+
+def in_one_pass(df: DataFrame, sets: Sequence[Sequence[str]], aggregates: Sequence[Column]) -> DataFrame:
+    """The aggregates of several groupings from one scan; ``_set`` is the grouping's number in ``sets``.
+
+    Keys outside a row's grouping are NULL. An empty table has no rows, also where a grouping has no keys.
+    """
+    keys = list(dict.fromkeys(k for s in sets for k in s))
+    absent = [sum(1 << i for i, k in enumerate(reversed(keys)) if k not in s) for s in sets]
+    number = F.lit(None)
+    for n, bits in enumerate(absent):
+        number = F.when(F.col("_bits") == bits, n).otherwise(number)
+    grouped = df.groupingSets([[F.col(k) for k in s] for s in sets], *keys)
+    return grouped.agg(F.grouping_id().alias("_bits"), *aggregates).withColumn("_set", number).drop("_bits")
+
+
+def _calibration_and_folds(
+    rows: DataFrame, probabilities: Sequence[str], model: str, fold: str, spec: TrajectorySpec
+) -> DataFrame:
+    """Calibration errors and fold sizes from one scan of ``_indexed`` rows.
+
+    A row becomes an entry per bin that it falls in and one for its patient; entries are counted in the
+    map tasks before they are shuffled.
+    """
+    top, patient = -1, -2
+    held = F.col(fold).cast("string")
+    nothing = F.lit(None).cast("string")
+
+    def entry(kind: int, of_fold: Column, p: Column | None, hit: Column, who: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), of_fold.alias("fold"),
+            (F.lit(None).cast("int") if p is None else bin_of(p)).alias("bin"), who.alias("patient"),
+            hit.cast("double").alias("hit"), (F.lit(0.0) if p is None else p).alias("p"),
+        )
+
+    right = F.coalesce(F.col("_top") == F.col("_a"), F.lit(False))
+    logged = [F.coalesce(F.col("_a") == i, F.lit(False)) for i in range(len(spec.actions))]
+    exploded = rows.select(F.inline(F.array(
+        entry(top, held, F.greatest(*probabilities), right, nothing),
+        entry(patient, held, None, F.lit(False), F.col(spec.patient).cast("string")),
+        *[entry(i, nothing, F.col(p), logged[i], nothing) for i, p in enumerate(probabilities)],
+    )))
+    cells = exploded.groupBy("kind", "fold", "bin", "patient").agg(
+        F.count("*").alias("n"), F.sum("hit").alias("hits"), F.sum("p").alias("confidence")
+    )
+    bins = in_one_pass(cells, [["kind", "fold", "bin"], ["kind", "bin"]], [
+        F.count("patient").alias("patients"), *[F.sum(c).alias(c) for c in ("n", "hits", "confidence")]
+    ])
+    rates = bins.groupBy("kind", "fold", "_set").agg(
+        F.sum("n").alias("validation_rows"), F.sum("patients").alias("validation_patients"),
+        (F.sum(F.abs(F.col("hits") - F.col("confidence"))) / F.sum("n")).alias("ece"),
+    )
+    # a few rows per kind; folds are patient-disjoint, so the patients outside are total minus held out
+    everyone = F.max(F.when(F.col("_set") == 1, F.col("validation_patients"))).over(Window.partitionBy("kind"))
+    rates = rates.withColumn("train_patients", everyone - F.col("validation_patients"))
+    kind, whole = F.col("kind"), F.col("_set") == 1
+    return unpivoted(rates, [
+        (kind == top, entries({"top_label_ece": F.col("ece")}, section="overall", model=model,
+                              fold=F.coalesce("fold", F.lit("all")))),
+        ((kind == patient) & ~whole,
+         entries(columns("validation_rows", "validation_patients", "train_patients"),
+                 section="folds", model=model, fold=F.col("fold"))),
+        ((kind >= 0) & whole, entries({"one_vs_rest_ece": F.col("ece")}, section="per_action", model=model,
+                                      action=action_name(kind, spec.actions))),
+    ])
+
+
 def behavior_report(
     df: DataFrame, probabilities: Sequence[str], *, model: str = "behavior",
     fold: str = "fold", row_bound: int | None = None, spec: TrajectorySpec = DEFAULT,
 ) -> DataFrame:
-    """Out-of-fold propensity diagnostics as one long frame."""
-    fold_col = F.coalesce(F.col(fold).cast("string"), F.lit("all"))
-    sliced = state_slice_behavior(df, probabilities, spec=spec)
+    """Out-of-fold propensity diagnostics as one long frame.
+
+    One scan gives every mean (overall, per fold, logged action and half of the states), one more the bins
+    and the patients; quantiles have their own. An empty table has no means.
+    """
+    low = below(spec.pressure, spec.low_pressure)
+    rows = _indexed(df, probabilities, spec)
     indexes = range(len(spec.actions))
+    capped = F.greatest(F.least("_p", F.lit(1.0)), F.lit(sys.float_info.epsilon))
+    keyed = rows.withColumns({
+        "_fold": F.col(fold).cast("string"), "_action": F.col(spec.action), "_slice": F.coalesce(low, F.lit(False)),
+    })
+    gaps = [F.col(p) - F.coalesce(F.col("_a") == i, F.lit(False)).cast("double") for i, p in enumerate(probabilities)]
+    wide = in_one_pass(keyed, [[], ["_fold"], ["_action"], ["_slice"]], [
+        F.count("*").alias("rows"),
+        F.avg(-F.log(capped)).alias("log_loss"),
+        F.avg(_squared_error(probabilities, F.col("_a"))).alias("multiclass_brier"),
+        rate(F.col("_top") == F.col("_a")).alias("accuracy"),
+        _macro_f1(len(spec.actions)).alias("macro_f1"),
+        F.avg("_p").alias("mean"),
+        *[rate(F.col("_a") == i).alias(f"observed_{i}") for i in indexes],
+        *[F.avg(p).alias(f"predicted_{i}") for i, p in enumerate(probabilities)],
+        *[rate(F.col("_top") == i).alias(f"argmax_{i}") for i in indexes],
+        *[F.avg(gap * gap).alias(f"brier_{i}") for i, gap in enumerate(gaps)],
+    ])
+    overall, per_fold, per_action, sliced = [F.col("_set") == n for n in range(4)]
+    per_name = []
+    for i, a in enumerate(spec.actions):
+        per_name += [
+            (overall, entries({
+                "observed_rate": F.coalesce(F.col(f"observed_{i}"), F.lit(0.0)),
+                "mean_probability": F.col(f"predicted_{i}"),
+                "argmax_rate": F.coalesce(F.col(f"argmax_{i}"), F.lit(0.0)),
+            }, section="action_rates", model=model, action=a)),
+            (overall, entries({"binary_brier": F.col(f"brier_{i}")}, section="per_action", model=model, action=a)),
+        ]
+    means = unpivoted(wide, [
+        (overall | per_fold,
+         entries(columns("rows", "log_loss", "multiclass_brier", "accuracy", "macro_f1"),
+                 section="overall", model=model, fold=F.coalesce("_fold", F.lit("all")))),
+        *per_name,
+        (per_action, entries({"logged_count": F.col("rows"), "mean": F.col("mean")},
+                             section="logged_propensity", model=model, action=F.col("_action"))),
+        (overall, entries(columns("mean"), section="logged_propensity", model=model)),
+        (sliced, entries(columns("rows", *[f"observed_{i}" for i in indexes], *[f"predicted_{i}" for i in indexes]),
+                         section="low_pressure", model=model, slice=F.col("_slice"))),
+    ])
     return union_long([
-        to_long(behavior_metrics(df, probabilities, folds=fold, spec=spec),
-                ["rows", "log_loss", "multiclass_brier", "accuracy", "macro_f1"],
-                section="overall", model=model, fold=fold_col),
-        to_long(top_label_ece(df, probabilities, folds=fold, spec=spec), ["top_label_ece"],
-                section="overall", model=model, fold=fold_col),
-        to_long(fold_sizes(df, fold, spec),
-                ["validation_rows", "validation_patients", "train_patients"],
-                section="folds", model=model, fold=F.col(fold)),
-        to_long(action_rates(df, probabilities, spec),
-                ["observed_rate", "mean_probability", "argmax_rate"],
-                section="action_rates", model=model, action=F.col("action")),
-        to_long(one_vs_rest_ece(df, probabilities, spec), ["one_vs_rest_ece"],
-                section="per_action", model=model, action=F.col("action")),
-        to_long(binary_brier(df, probabilities, spec), ["binary_brier"],
-                section="per_action", model=model, action=F.col("action")),
-        to_long(logged_propensity(df, probabilities, by_action=True, row_bound=row_bound, spec=spec),
-                ["logged_count", "mean", "p05", "median"],
+        means,
+        _calibration_and_folds(rows, probabilities, model, fold, spec),
+        to_long(_propensity_quantiles(rows, True, row_bound, spec), ["p05", "median"],
                 section="logged_propensity", model=model, action=F.col("action")),
-        to_long(logged_propensity(df, probabilities, row_bound=row_bound, spec=spec),
-                ["min", "p01", "p05", "median", "mean"],
+        to_long(_propensity_quantiles(rows, False, row_bound, spec), ["min", "p01", "p05", "median"],
                 section="logged_propensity", model=model),
-        to_long(sliced, ["rows"] + [f"observed_{i}" for i in indexes] + [f"predicted_{i}" for i in indexes],
-                section="low_pressure", model=model, slice=F.col("in_slice")),
     ])
 
 
@@ -330,20 +462,26 @@ def reward_report(
     df: DataFrame, predicted: str, *, model: str, reward: str = "reward", fold: str = "fold",
     spec: TrajectorySpec = DEFAULT,
 ) -> DataFrame:
-    """Factual out-of-fold reward fit: overall, per fold, per action and by low pressure.
+    """Factual out-of-fold reward fit: overall, per fold, per action and by low pressure, in one scan.
 
     Only predictions of the logged action are scored; values of other actions are
-    estimates that no logged outcome can validate.
+    estimates that no logged outcome can validate. Fold sizes take a scan of their own, as patients are
+    counted apart. An empty table has no rows.
     """
-    names = ["rows", "rmse", "mae", "r2", "actual_mean", "predicted_mean"]
-    low = below(spec.pressure, spec.low_pressure).alias("in_slice")
+    names = ("rows", "rmse", "mae", "r2", "actual_mean", "predicted_mean")
+    keyed = df.select(
+        reward, predicted, F.col(fold).cast("string").alias("_fold"), F.col(spec.action).alias("_action"),
+        below(spec.pressure, spec.low_pressure).alias("_slice"),
+    )
+    fit = in_one_pass(keyed, [[], ["_fold"], ["_action"], ["_slice"]], _regression(F.col(reward), F.col(predicted)))
+    overall, per_fold, per_action, sliced = [F.col("_set") == n for n in range(4)]
     return union_long([
-        to_long(regression_metrics(df, reward, predicted, folds=fold), names, section="overall",
-                model=model, fold=F.coalesce(F.col(fold).cast("string"), F.lit("all"))),
-        to_long(regression_metrics(df, reward, predicted, [F.col(spec.action).alias("action")]), names,
-                section="per_action", model=model, action=F.col("action")),
-        to_long(regression_metrics(df, reward, predicted, [low]), names,
-                section="low_pressure", model=model, slice=F.col("in_slice")),
+        unpivoted(fit, [
+            (overall | per_fold, entries(columns(*names), section="overall", model=model,
+                                         fold=F.coalesce("_fold", F.lit("all")))),
+            (per_action, entries(columns(*names), section="per_action", model=model, action=F.col("_action"))),
+            (sliced, entries(columns(*names), section="low_pressure", model=model, slice=F.col("_slice"))),
+        ]),
         to_long(fold_sizes(df, fold, spec), ["validation_patients", "train_patients"],
                 section="folds", model=model, fold=F.col(fold)),
     ])

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from decisionlake.functions.decisions import FAILURES, probability_names
-from decisionlake.functions.prompts import ZERO_SHOT_VERSION, few_shot_messages, zero_shot_messages
+from decisionlake.functions.prompts import ZERO_SHOT_VERSION, few_shot_messages, few_shot_prompts, zero_shot_messages
 from decisionlake.functions.vectors import action_name, argmax, count_if, valid_probabilities
-from decisionlake.operators.retrieval import retrieve_examples
+from decisionlake.operators.factual import LABELS
+from decisionlake.operators.retrieval import BLOCK_ROWS, ranked_examples, retrieve_examples
 from decisionlake.operators.validate import require_columns
 from decisionlake.sources.response_cache import Client, Completion, cached_decisions, decisions_with_backend
 from decisionlake.spec import DEFAULT, TrajectorySpec
@@ -111,11 +112,29 @@ class FewShotPolicy(PromptedPolicy):
 
     def messages(self, observations: DataFrame) -> DataFrame:
         note = policy_input(observations, self.key, self.spec)
-        found = retrieve_examples(
-            observations, self.library, key=self.key, examples_per_cell=self.examples_per_cell,
+        return few_shot_requests(
+            observations, self.library, key=self.key, note=note, examples_per_cell=self.examples_per_cell,
             exclude=self.spec.patient if self.spec.patient in self.key else None, spec=self.spec,
         )
-        return few_shot_messages(observations, found, key=self.key, note=note, spec=self.spec)
+
+
+def few_shot_requests(
+    observations: DataFrame, library: DataFrame, *, key: Sequence[str] | None = None, note: str | None = None,
+    examples_per_cell: int = 1, exclude: str | None = None, spec: TrajectorySpec = DEFAULT,
+) -> DataFrame:
+    """Prompts with the nearest examples of the library for every state.
+
+    States pass the search once and look texts up in place; a library too large to ship whole is walked in
+    blocks, whose winners are joined back by key.
+    """
+    key = list(key or spec.key)
+    chosen = dict(examples_per_cell=examples_per_cell, exclude=exclude, spec=spec)
+    if library.limit(BLOCK_ROWS + 1).count() <= BLOCK_ROWS:
+        ranked = ranked_examples(observations, library, **chosen)
+        n = examples_per_cell * len(spec.actions) * len(LABELS)
+        return few_shot_prompts(ranked, library, key=key, examples=n, note=note, spec=spec)
+    found = retrieve_examples(observations, library, key=key, **chosen)
+    return few_shot_messages(observations, found, key=key, note=note, spec=spec)
 
 
 def chosen_action(probabilities: Sequence[str], spec: TrajectorySpec = DEFAULT):

@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -103,17 +104,39 @@ def _cell_sizes(library: DataFrame, spec: TrajectorySpec) -> list[tuple[int, int
     return [found.get((a, label), (0, 0)) for a in spec.actions for label in LABELS]
 
 
+class _Cells:
+    """The library's matrix and the rows of each cell, in library order; shipped to the tasks."""
+
+    def __init__(self, known: DataFrame, spec: TrajectorySpec):
+        table = known.orderBy("library_rank").toPandas()
+        self.matrix = np.array(table["_x"].tolist(), dtype=float).reshape(len(table), -1)
+        self.ranks = table["library_rank"].to_numpy()
+        self.owners = table["source_patient_id"].to_numpy(dtype=object)
+        cells = [(a, label) for a in spec.actions for label in LABELS]
+        rows = [
+            np.flatnonzero(((table["action"] == a) & (table["outcome_label"] == label)).to_numpy()) for a, label in cells
+        ]
+        self.cells = [(*cell, r) for cell, r in zip(cells, rows) if len(r)]
+
+    def nearest(self, x: np.ndarray, excluded: np.ndarray, n: int):
+        """Per cell and place ``action, label, place, rows found, library rank, distance``."""
+        x = x.reshape(len(excluded), -1)
+        squares = np.zeros((len(x), len(self.matrix)))
+        for j in range(x.shape[1]):
+            gap = x[:, j, None] - self.matrix[None, :, j]
+            squares += gap * gap
+        distance = np.sqrt(squares)
+        distance[excluded[:, None] == self.owners[None, :]] = np.inf
+        for a, label, rows in self.cells:
+            part = distance[:, rows]
+            order = np.argsort(part, axis=1, kind="stable")[:, :n]
+            near = np.take_along_axis(part, order, axis=1)
+            for place in range(order.shape[1]):
+                yield a, label, place, np.isfinite(near[:, place]), self.ranks[rows[order[:, place]]], near[:, place]
+
+
 def _search(asked, known, key, examples_per_cell, spec):
-    table = known.orderBy("library_rank").toPandas()
-    matrix = np.array(table["_x"].tolist(), dtype=float).reshape(len(table), -1)
-    ranks = table["library_rank"].to_numpy()
-    owners = table["source_patient_id"].to_numpy(dtype=object)
-    cells = []
-    for a in spec.actions:
-        for label in LABELS:
-            rows = np.flatnonzero(((table["action"] == a) & (table["outcome_label"] == label)).to_numpy())
-            if len(rows):
-                cells.append((a, label, rows))
+    cells = _Cells(known, spec)
     schema = T.StructType(
         [asked.schema[c] for c in key]
         + [
@@ -131,28 +154,16 @@ def _search(asked, known, key, examples_per_cell, spec):
                 yield best(whole.iloc[start:start + 2_000])
 
     def best(batch: pd.DataFrame) -> pd.DataFrame:
-        x = np.array(batch["_x"].tolist(), dtype=float).reshape(len(batch), -1)
-        squares = np.zeros((len(batch), len(matrix)))
-        for j in range(x.shape[1]):
-            gap = x[:, j, None] - matrix[None, :, j]
-            squares += gap * gap
-        distance = np.sqrt(squares)
-        own = batch["_exclude"].to_numpy(dtype=object)[:, None] == owners[None, :]
-        distance[own] = np.inf
+        x = np.array(batch["_x"].tolist(), dtype=float)
         out = []
-        for a, label, rows in cells:
-            part = distance[:, rows]
-            order = np.argsort(part, axis=1, kind="stable")[:, :examples_per_cell]
-            near = np.take_along_axis(part, order, axis=1)
-            for place in range(order.shape[1]):
-                keep = np.isfinite(near[:, place])
-                frame = batch.loc[keep, key].copy()
-                frame["action"] = a
-                frame["outcome_label"] = label
-                frame["place"] = np.int32(place + 1)
-                frame["library_rank"] = ranks[rows[order[keep, place]]]
-                frame["retrieval_distance"] = near[keep, place]
-                out.append(frame)
+        for a, label, place, keep, rank, distance in cells.nearest(x, batch["_exclude"].to_numpy(dtype=object), examples_per_cell):
+            frame = batch.loc[keep, key].copy()
+            frame["action"] = a
+            frame["outcome_label"] = label
+            frame["place"] = np.int32(place + 1)
+            frame["library_rank"] = rank[keep]
+            frame["retrieval_distance"] = distance[keep]
+            out.append(frame)
         if not out:
             return pd.DataFrame({f.name: [] for f in schema.fields})
         return pd.concat(out, ignore_index=True)
@@ -160,6 +171,52 @@ def _search(asked, known, key, examples_per_cell, spec):
     return asked.mapInPandas(search, schema)
 
 
+def ranked_examples(
+    queries: DataFrame, library: DataFrame, *, examples_per_cell: int = 1,
+    exclude: str | Column | None = None, spec: TrajectorySpec = DEFAULT,
+) -> DataFrame:
+    """Every query as it is, with ``ranks``: the library ranks of its nearest examples, ascending.
+
+    One row in, one row out, so queries are neither shuffled nor joined back, and rows of one key stay
+    apart. The library is shipped whole: it may have ``BLOCK_ROWS`` rows at most. A query left short of
+    examples by its exclusion fails in the plan itself.
+    """
+    if examples_per_cell <= 0:
+        raise ValueError("Ask for at least one example per cell.")
+    require_columns(queries, spec.observations)
+    assert_library(library, spec)
+    sizes = _cell_sizes(library, spec)
+    if min(n for n, _ in sizes) < examples_per_cell:
+        raise ValueError(f"A cell of the library has fewer than {examples_per_cell} examples.")
+    if sum(n for n, _ in sizes) > BLOCK_ROWS:
+        raise ValueError(f"A library of more than {BLOCK_ROWS} rows is searched by nearest_examples.")
+    stats = library_features(library, spec)
+    cells = _Cells(library.select(
+        "source_patient_id", "action", "outcome_label", "library_rank", F.array(*stats.columns()).alias("_x"),
+    ), spec)
+    excluded = F.lit(None) if exclude is None else F.col(exclude) if isinstance(exclude, str) else exclude
+    asked = queries.withColumns({"_exclude": excluded.cast("string"), "_x": F.array(*stats.columns())})
+    kept, wanted = queries.columns, examples_per_cell * len(sizes)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, 2_000):
+                batch = whole.slice(start, 2_000)
+                x = batch.column("_x").flatten().to_numpy(zero_copy_only=False)
+                found = list(cells.nearest(x, batch.column("_exclude").to_numpy(zero_copy_only=False), examples_per_cell))
+                hits = np.stack([keep for _, _, _, keep, _, _ in found], axis=1)
+                far = np.iinfo(np.int64).max
+                ranks = np.sort(np.where(hits, np.stack([rank for *_, rank, _ in found], axis=1), far), axis=1)
+                ends = np.concatenate([[0], np.cumsum(hits.sum(axis=1))]).astype(np.int32)
+                column = pa.ListArray.from_arrays(pa.array(ends), pa.array(ranks[ranks < far]))
+                yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], column], [*kept, "ranks"])
+
+    schema = T.StructType([*queries.schema.fields, T.StructField("ranks", T.ArrayType(T.LongType()))])
+    found = asked.mapInArrow(search, schema)
+    short = F.raise_error(F.lit("Not enough examples in a cell after exclusions."))
+    return found.withColumn("ranks", F.when(F.size("ranks") == wanted, F.col("ranks")).otherwise(short))
+
+
 def retrieve_examples(
     queries: DataFrame, library: DataFrame, *, key: Sequence[str] | None = None,
     examples_per_cell: int = 1, exclude: str | Column | None = None,

@@ -558,11 +558,8 @@ def prompt_safe_records(spark, sf):
 
 @query
 def few_shot_messages(spark, sf):
-    asked = data.trajectories(spark, sf)
-    found = retrieval.retrieve_examples(asked, library_table(spark, sf), exclude="patient_id")
-    from decisionlake.functions.prompts import few_shot_messages as build
-
-    built = build(observations(asked, key=True), found)
+    asked = observations(data.trajectories(spark, sf), key=True)
+    built = policy.few_shot_requests(asked, library_table(spark, sf), exclude="patient_id")
     return built.select(*KEY, F.col("messages")[1]["content"].alias("user_content"))
 
 
