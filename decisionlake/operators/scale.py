@@ -26,6 +26,8 @@ TASK_ROWS = 5_000_000
 #: Rows of a side that may be broadcast.
 BROADCAST_ROWS = 200_000
 SALTS = 256
+#: Groups times values whose quantile brackets the driver may hold.
+FEW_CELLS = 1_000
 
 
 def is_small(row_bound: int | None, limit: int = TASK_ROWS) -> bool:
@@ -199,13 +201,16 @@ def group_quantiles(
     *,
     row_bound: int | None = None,
     task_rows: int = TASK_ROWS,
+    few_cells: int | None = None,
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles: one array column ``<value>_q`` per value.
 
-    ``groups`` are few (actions, slices, models). Up to ``task_rows`` rows, Spark's exact
-    ``percentile`` is used; it holds a group's distinct values in one task, so beyond that
-    the wanted ranks are bracketed by mergeable sketches, the brackets are counted
-    exactly and narrowed, and only the values inside a narrow bracket are ever sorted.
+    Up to ``task_rows`` rows, Spark's exact ``percentile`` is used; it holds a group's distinct
+    values in one task. Beyond that, where groups are few (actions, slices, models), the wanted
+    ranks are bracketed by mergeable sketches, the brackets are counted exactly and narrowed, and
+    only the values inside a narrow bracket are ever sorted: scans, but no shuffle of the data.
+    With more than ``FEW_CELLS`` groups times values nothing of a group reaches the driver: values
+    are counted and range-sorted once, and the wanted ranks are read from the ranges they fall in.
     """
     if row_bound is None:
         row_bound = df.count()
@@ -214,9 +219,73 @@ def group_quantiles(
         return df.groupBy(*groups).agg(
             *[F.percentile(v, wanted).alias(f"{v}_q") for v in values]
         )
+    long = _long_values(df, groups, values)
+    few_cells = FEW_CELLS if few_cells is None else few_cells
+    if groups and long.select(*groups, "v").distinct().limit(few_cells + 1).count() > few_cells:
+        return _ranged_quantiles(long, list(groups), list(values), list(probabilities))
     return _bracketed_quantiles(df, list(groups), list(values), list(probabilities), task_rows)
 
 
+def _long_values(df: DataFrame, groups: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """``groups``, the number ``v`` of a value column and the value ``x``."""
+    return df.select(
+        *groups,
+        F.explode(F.array(*[
+            F.struct(F.lit(i).alias("v"), F.col(v).cast("double").alias("x"))
+            for i, v in enumerate(values)
+        ])).alias("_e"),
+    ).select(*groups, "_e.v", "_e.x")
+
+
+def _ranged_quantiles(long, groups, values, probabilities):
+    """Quantiles of any number of groups from one global sort; no task holds more than a range of it.
+
+    Equal values are one row with a count, so that a value of any frequency is no hot key. The ranges
+    before a range add up to the rank at which it begins; ranges without a wanted rank are not read again.
+    """
+    cell = [*groups, "v"]
+    keys = [F.col(c).asc_nulls_first() for c in cell]
+    counted = long.filter(F.col("x").isNotNull()).groupBy(*cell, (F.col("x") + F.lit(0.0)).alias("x")).agg(F.count("*").alias("n"))
+    ranged = counted.repartitionByRange(*keys, F.col("x").asc()).withColumn("_range", F.spark_partition_id())
+    ranged = cut(ranged, "ranged")
+    # a row per cell and range
+    before = Window.partitionBy(*cell).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    seams = ranged.groupBy(*cell, "_range").agg(F.sum("n").alias("inside")).withColumns({
+        "start": F.coalesce(F.sum("inside").over(before), F.lit(0)),
+        "total": F.sum("inside").over(Window.partitionBy(*cell)),
+    })
+    at = [F.lit(float(p)) * (F.col("total") - 1) for p in probabilities]
+    ends = [f(a).cast("bigint") for a in at for f in (F.floor, F.ceil)]
+    asked = seams.select(*cell, "_range", "start", "total", F.array_distinct(F.filter(
+        F.array(*ends), lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("inside"))
+    )).alias("ranks")).filter(F.size("ranks") > 0)
+    same = F.col("r._range") == F.col("a._range")
+    for c in cell:
+        same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"a.{c}"))
+    read = ranged.alias("r").join(asked.alias("a"), same).select(
+        *[f"r.{c}" for c in cell], "r._range", "r.x", "r.n", "a.start", "a.total", "a.ranks"
+    )
+    running = Window.partitionBy(*cell, "_range").orderBy("x")
+    read = read.withColumn("upto", F.col("start") + F.sum("n").over(running))
+    hits = read.select(*cell, "total", "x", F.explode(F.filter(
+        "ranks", lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n"))
+    )).alias("rank"))
+    # at most two ranks per probability and cell
+    found = hits.groupBy(*cell).agg(F.max("total").alias("total"), F.map_from_entries(F.collect_list(F.struct("rank", "x"))).alias("of"))
+
+    def interpolated(a: Column) -> Column:
+        low, high = F.floor(a).cast("bigint"), F.ceil(a).cast("bigint")
+        x, y, share = F.col("of")[low], F.col("of")[high], a - low
+        return F.when(x == y, x).otherwise((1 - share) * x + share * y)
+
+    each = found.select(*cell, F.array(*[interpolated(a) for a in at]).alias("q"))
+    # a group whose values are all missing has NULL in place of an array
+    present = long.select(*groups).distinct().withColumns({"v": F.lit(None).cast("int"), "q": F.lit(None).cast("array<double>")})
+    return each.unionByName(present).groupBy(*groups).agg(*[
+        F.max(F.when(F.col("v") == i, F.col("q"))).alias(f"{v}_q") for i, v in enumerate(values)
+    ])
+
+
 _GRID = 1000
 
 
@@ -246,13 +315,7 @@ def _interpolated(a: float, b: float, share: float) -> float:
 
 def _bracketed_quantiles(df, groups, values, probabilities, task_rows):
     spark = df.sparkSession
-    long = df.select(
-        *groups,
-        F.explode(F.array(*[
-            F.struct(F.lit(i).alias("v"), F.col(v).cast("double").alias("x"))
-            for i, v in enumerate(values)
-        ])).alias("_e"),
-    ).select(*groups, "_e.v", "_e.x")
+    long = _long_values(df, groups, values)
     cells = [
         row.asDict()
         for row in long.groupBy(*groups, "v")

@@ -53,6 +53,45 @@ def test_bracketed_quantiles_equal_numpy(spark, limit):
     assert got["c"] is None and got[None] == [1.5] * len(probs)
 
 
+def test_quantiles_of_many_groups_reach_no_driver(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(g, k, float(x), float(-x)) for g in range(60) for k in ("a", None) for x in np.round(rng.normal(size=25), 1)]
+    rows += [(0, "a", 0.5, None)] * 700 + [(61, "b", None, None), (62, None, float("inf"), 1.0), (62, None, float("nan"), 2.0)]
+    df = spark.createDataFrame(rows, "g int, k string, x double, y double").repartition(7)
+    probs = (0.0, 0.1, 0.5, 0.77, 1.0)
+    plain = scale.group_quantiles(df, ["g", "k"], ["x", "y"], probs, row_bound=1)
+    want = {(r["g"], r["k"]): (r["x_q"], r["y_q"]) for r in plain.collect()}
+
+    def refused(self):
+        raise AssertionError("collected")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(type(df), "collect", refused)
+        split = scale.group_quantiles(df, ["g", "k"], ["x", "y"], probs, task_rows=50, few_cells=10)
+    got = {(r["g"], r["k"]): (r["x_q"], r["y_q"]) for r in split.collect()}
+    assert got.keys() == want.keys() and split.columns == plain.columns
+    for group, pair in want.items():
+        for a, b in zip(got[group], pair):
+            assert (a is None) == (b is None) and (a is None or np.allclose(a, b, atol=1e-12, equal_nan=True)), group
+    none = scale.group_quantiles(df.limit(0), ["g"], ["x"], probs, row_bound=10**9, few_cells=0)
+    assert none.count() == 0
+
+
+@pytest.mark.parametrize("values", [
+    [0.3] * 10 + [0.1 + 0.2] * 10,
+    [float("inf")] * 9 + [1.0] * 3 + [float("-inf")] * 9,
+    [float("nan")] * 9 + [2.0, 3.0, 4.0],
+    [0.0, -0.0] * 6 + [5e-324] * 7,
+    [float(i) for i in range(500)],
+])
+def test_ranged_quantiles_agree_on_awkward_values(spark, values):
+    df = spark.createDataFrame([(1, v) for v in values], "g int, x double")
+    probs = (0.0, 0.25, 0.5, 0.75, 1.0)
+    plain = scale.group_quantiles(df, ["g"], ["x"], probs, row_bound=1).first()["x_q"]
+    split = scale.group_quantiles(df, ["g"], ["x"], probs, row_bound=10**9, task_rows=4, few_cells=0).first()["x_q"]
+    assert [str(a + 0.0) for a in split] == [str(a + 0.0) for a in plain]
+
+
 def test_number_in_blocks_is_a_row_number(spark):
     df = spark.range(500).select((F.col("id") % 2).alias("g"), F.md5(F.col("id").cast("string")).alias("h"))
     out = scale.number_in_blocks(df, ["g"], F.substring("h", 1, 1), ["h"], "n").toPandas()
