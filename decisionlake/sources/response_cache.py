@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 import math
+import re
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from decisionlake.functions.decisions import parse_decisions, with_fallback
 from decisionlake.functions.prompts import json_sql, number_sql, sql_text, valid_messages
+from decisionlake.sources.storage import cut
 from decisionlake.spec import DEFAULT, TrajectorySpec
 
 # Versions and field order of a cache record.
@@ -56,6 +60,9 @@ def read_cache(spark: SparkSession, path: str, *, format: str = "json") -> DataF
     another key, it is a record without a response: an error for its own key and nothing for the
     other. A response that is not a text is missing.
     """
+    if format in ("parquet", "orc"):
+        # batches lie in folders of their own
+        return spark.read.schema(RECORD_SCHEMA).format(format).option("recursiveFileLookup", "true").load(path)
     if format != "json":
         return spark.read.schema(RECORD_SCHEMA).format(format).load(path)
     files = spark.read.text(path, wholetext=True).select(
@@ -194,8 +201,8 @@ def complete_misses(
         F.lit(RESPONSE_SCHEMA_VERSION).alias("response_schema_version"),
         F.lit(float(temperature)).alias("temperature"),
     )
-    called.filter(F.col("raw_response").isNotNull()).write.mode("append").parquet(path)
-    return spark.read.schema(RECORD_SCHEMA).parquet(path)
+    called.filter(F.col("raw_response").isNotNull()).write.parquet(_batch(path, uuid.uuid4().hex))
+    return read_cache(spark, path, format="parquet")
 
 
 def decisions_with_backend(
@@ -233,6 +240,55 @@ def new_records(requests: DataFrame, existing: DataFrame) -> DataFrame:
     return requests.join(existing.select("cache_key"), "cache_key", "left_anti").dropDuplicates(["cache_key"])
 
 
-def append_cache(records: DataFrame, existing: DataFrame, path: str) -> None:
-    """Append unseen records; Spark's committer makes the append atomic per task."""
-    new_records(records, existing).select(*RECORD_SCHEMA.fieldNames()).write.mode("append").parquet(path)
+def _batch(path: str, name: str) -> str:
+    if not re.fullmatch(r"[0-9A-Za-z-]+", name):
+        raise ValueError("A batch is named by letters, digits and hyphens.")
+    return f"{path.rstrip('/')}/batch-{name}"
+
+
+def _records_at(spark: SparkSession, path: str) -> DataFrame:
+    """What a cache folder holds; nothing where there is none yet."""
+    try:
+        return read_cache(spark, path, format="parquet")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], RECORD_SCHEMA)
+
+
+def append_cache(records: DataFrame, existing: DataFrame, path: str, *, batch: str | None = None) -> None:
+    """Add the records whose key neither ``existing`` nor the cache at ``path`` holds, one per key.
+
+    Every append has a folder of its own, so that writers at work together never commit into one another's
+    output. Records are staged in the shared folder first. A writer that may be started again names its
+    ``batch``: what an attempt left behind is taken over and written anew, whole, so any number of attempts
+    ends with the same records. Two writers that race may both add a key; ``one_per_key`` settles it.
+    Rows without a key are left out.
+    """
+    spark = records.sparkSession
+    target = _batch(path, batch or uuid.uuid4().hex)
+    names = RECORD_SCHEMA.fieldNames()
+    unseen = new_records(new_records(records.filter("cache_key IS NOT NULL"), existing), _records_at(spark, path))
+    left = _records_at(spark, target) if batch else spark.createDataFrame([], RECORD_SCHEMA)
+    staged = cut(one_per_key(unseen.select(*names).unionByName(left)), "cache-batch")
+    staged.write.mode("overwrite").parquet(target)
+
+
+def one_per_key(cache: DataFrame) -> DataFrame:
+    """One record per key, whatever wrote them: one with a response if there is any, else the least."""
+    names = RECORD_SCHEMA.fieldNames()
+    best = F.min(F.struct(F.col("raw_response").isNull().alias("empty"), *names)).alias("r")
+    return cache.filter("cache_key IS NOT NULL").groupBy(F.col("cache_key").alias("_k")).agg(best).select("r.*").select(*names)
+
+
+def compact_cache(spark: SparkSession, path: str, into: str, *, files: int = 1) -> None:
+    """The cache at ``path`` as one batch of ``files`` files at another path, one record per key.
+
+    The old folder stays as it is for those who read it; whoever wants it gone removes it afterwards.
+    """
+    if files <= 0:
+        raise ValueError("files must be positive")
+    if into.rstrip("/") == path.rstrip("/"):
+        raise ValueError("A cache is compacted into another folder.")
+    kept = one_per_key(read_cache(spark, path, format="parquet"))
+    kept.repartition(files, "cache_key").write.mode("overwrite").parquet(_batch(into, "compacted"))

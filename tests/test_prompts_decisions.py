@@ -8,7 +8,7 @@ from decisionlake.functions import prompts
 from decisionlake.functions.decisions import parse_decisions
 from decisionlake.operators.policy import AlwaysFirst, PromptedPolicy, assert_blinded, blinded_predictions, policy_diagnostics
 from decisionlake.sources.response_cache import (
-    RECORD_SCHEMA, Client, append_cache, cached_decisions, read_cache, with_cache_key,
+    RECORD_SCHEMA, Client, append_cache, cached_decisions, compact_cache, one_per_key, read_cache, with_cache_key,
 )
 from decisionlake.spec import ACTIONS, OBSERVATIONS, OUTCOMES
 from tests.fixtures import frame, state
@@ -205,6 +205,46 @@ def test_append_skips_known_keys(spark, tmp_path):
     assert read_cache(spark, path, format="parquet").count() == 6
 
 
+def cached(spark, texts):
+    return spark.createDataFrame([(1, k, "m", "v", t, 1, 0.0) for k, t in texts], RECORD_SCHEMA)
+
+
+def test_writers_at_once_and_retries_leave_one_record_per_key(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path, none = str(tmp_path / "c"), spark.createDataFrame([], RECORD_SCHEMA)
+    one = cached(spark, [(f"k{i}", f"one {i}") for i in range(40)])
+    two = cached(spark, [(f"k{i}", f"two {i}") for i in range(20, 60)])
+    with ThreadPoolExecutor(2) as pool:
+        for done in [pool.submit(append_cache, df, none, path, batch=b) for df, b in ((one, "a"), (two, "b"))]:
+            done.result()
+    held = {r["cache_key"]: r["raw_response"] for r in one_per_key(read_cache(spark, path, format="parquet")).collect()}
+    assert len(held) == 60 and held["k0"] == "one 0" and held["k59"] == "two 59"
+
+    # an attempt that got half of its files through, then the retry, then a needless one
+    cached(spark, [(f"n{i}", "new") for i in range(5)]).write.parquet(f"{path}/batch-c")
+    for _ in range(2):
+        append_cache(cached(spark, [(f"n{i}", "new") for i in range(10)]), read_cache(spark, path, format="parquet"), path, batch="c")
+        new = read_cache(spark, path, format="parquet").filter("cache_key LIKE 'n%'")
+        assert sorted(r["cache_key"] for r in new.collect()) == [f"n{i}" for i in range(10)]
+
+    into = str(tmp_path / "d")
+    compact_cache(spark, path, into, files=2)
+    whole = read_cache(spark, into, format="parquet")
+    assert whole.count() == 70 and len(whole.inputFiles()) <= 2
+    assert whole.exceptAll(one_per_key(read_cache(spark, path, format="parquet"))).isEmpty()
+    with pytest.raises(ValueError):
+        compact_cache(spark, path, path + "/")
+    with pytest.raises(ValueError):
+        append_cache(one, none, path, batch="../x")
+
+
+def test_one_per_key_prefers_a_response(spark):
+    df = cached(spark, [("a", None), ("a", "z"), ("a", "y"), ("b", None), (None, "x")])
+    assert sorted((r["cache_key"], r["raw_response"]) for r in one_per_key(df).collect()) == [("a", "y"), ("b", None)]
+    assert one_per_key(df.limit(0)).count() == 0
+
+
 def test_policies_refuse_leaks_and_wrong_versions(spark):
     obs = observed(spark)
     with pytest.raises(ValueError, match="unexpected"):
