@@ -201,7 +201,7 @@ def feature_stats(spark, sf):
 @query
 def standardized_features(spark, sf):
     stats = features.fit_features(data.train(spark, sf), **bounded(spark, sf))
-    return tidy(features.transform(data.validation(spark, sf), stats, KEY))
+    return tidy(features.transform(data.trajectories(spark, sf), stats, KEY))
 
 
 # ----------------------------------------------------------------- estimates and models
@@ -682,7 +682,7 @@ def policy_with_backend(spark, sf):
         CLIENT, data.response_cache(spark, sf), backend=rule_backend(),
         cache_path=table_path(spark, "backend-cache", uuid.uuid4()),
     )
-    asked = observations(data.trajectories(spark, sf).filter(F.col("split") == "validation"), key=True)
+    asked = observations(data.trajectories(spark, sf), key=True)
     return tidy(pi.predict(asked).drop("raw_response"))
 
 

@@ -280,7 +280,7 @@ SQL["feature_stats"] = final(
 SQL["standardized_features"] = (
     f"WITH {TRAJ}, {EST}, {feature_ctes('train')} SELECT {KEY}, "
     + ", ".join(f'round({x}, 6) + 0e0 AS "{n}"' for n, x in feature_exprs())
-    + " FROM valid AS q, stats")
+    + " FROM traj AS q, stats")
 
 # ----------------------------------------------------------------- estimates and models
 
@@ -766,7 +766,7 @@ SQL["policy_with_backend"] = final(
     CASE WHEN ok OR answered THEN NULL WHEN raw_response IS NOT NULL THEN 'structured_output_error' ELSE 'backend_error' END AS failure_reason
     FROM (SELECT *, NOT cache_hit AND spo2 <> 95 AS answered,
       row_number() OVER (PARTITION BY cache_key ORDER BY patient_id, time_step) = 1 AS first
-      FROM ({decided('looked', 'raw_response')}) WHERE split = 'validation')""", _PROBS, ctes=K)
+      FROM ({decided('looked', 'raw_response')}))""", _PROBS, ctes=K)
 
 
 def long_part(sql: str, section: str, names: str, **dims: str) -> str:
