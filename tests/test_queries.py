@@ -17,7 +17,8 @@ FITTED = {"behavior_propensity", "reward_model_ridge", "reward_model_gbt", "cros
 
 
 # The smallest train split has fewer patients than folds.
-LARGER = {"cross_fit_facts": "/root/testdata/sf0.01", "cross_fit_certificates": "/root/testdata/sf0.01"}
+LARGER = {"cross_fit_facts": "/root/testdata/sf0.01", "cross_fit_certificates": "/root/testdata/sf0.01",
+          "end_to_end_facts": "/root/testdata/sf0.01"}
 
 
 def connected(folder):
