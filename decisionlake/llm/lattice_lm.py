@@ -14,7 +14,9 @@ is the sum over the languages: the language of a scored text is not read.
 The vocabulary's own ranks give the first scores; expectation maximisation over the distinct training
 words gives those used. The driver holds one number per piece and language; word counts, which grow
 with the corpus, stay in tables. They are joined to texts by blocks: a block is a few MB of
-consecutive texts, of which every distinct word is sent once. No word or text is dropped.
+consecutive texts, of which every distinct word is sent once. No word, text or piece is dropped. Languages
+past the ``LANGUAGES`` most frequent ones share one set of scores: each more costs a number per piece on the
+driver and per word in a shuffle; their texts count and are scored as all others.
 
 Cases: null text is empty: only its end is a token; a null id is training text; a null language is a
 language of its own; repeated rows each count and are each scored; without training text every count
@@ -30,11 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from decisionlake.llm.text import Prefix, Words, mix, ranges, slices
+from decisionlake.llm.text import Prefix, Words, column_bytes, mix, ranges, slices
 from decisionlake.sources.storage import cut
 
 BLOCK_BYTES = 12 << 20
-LONGEST = 16
 ITERATIONS = 1
 #: Languages with scores of their own, the most frequent ones; all others share one set of scores.
 LANGUAGES = 7
@@ -54,7 +55,7 @@ def pieces(path: str) -> list[bytes]:
     special = {i for i in ranked if model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i)}
     texts = [model.id_to_piece(i).replace("▁", " ") for i in ranked if i not in special]
     texts = [t for t in texts if t and " " not in t[1:] and not any("A" <= c <= "Z" for c in t)]
-    known = dict.fromkeys(t.encode() for t in texts if len(t.encode()) <= LONGEST)
+    known = dict.fromkeys(t.encode() for t in texts)
     return list(dict.fromkeys([*known, *(bytes([b]) for b in range(256))]))
 
 
@@ -276,8 +277,20 @@ def _expect_task(vocabulary, scores, languages: int | None):
     return run
 
 
+def _packed(value: np.ndarray) -> pa.Array:
+    """Each row as the bytes of its four-byte floats: a column for each number would take twice the room in a shuffle."""
+    data = np.ascontiguousarray(value, "<f4")
+    at = np.arange(len(data) + 1, dtype=np.int32) * (4 * data.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(at), pa.py_buffer(data)])
+
+
+def _unpacked(column: pa.ChunkedArray, width: int) -> np.ndarray:
+    parts = [np.frombuffer(column_bytes(chunk)[0].tobytes(), "<f4") for chunk in column.chunks]
+    return np.concatenate([np.empty(0, np.float32), *parts]).reshape(-1, width)
+
+
 def _word_task(vocabulary, shared, languages: int):
-    """Natural-log probability of each word in each language."""
+    """Natural-log probability of each word in each language, in one packed column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, (scores, tokens, kinds) = _lattice(vocabulary.value), shared.value
@@ -291,10 +304,7 @@ def _word_task(vocabulary, shared, languages: int):
                 whole = whole + free * (1 - share) * c.sum(axis=1, keepdims=True) / max(tokens.sum(), 1)
                 value = np.logaddexp(np.log(whole), np.log(free * share) + inner)
             total = c.sum(axis=1).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("word"), pa.array(total), *(pa.array(v.astype(np.float32)) for v in value.T)],
-                ["word", "c", *(f"v{k}" for k in range(languages))],
-            )
+            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(total), _packed(value)], ["word", "c", "value"])
 
     return run
 
@@ -308,8 +318,7 @@ def _score_block(total: int, kinds: int, ends: int, prior: np.ndarray, end: np.n
         number = words.column("number").to_numpy()
         c, value = np.zeros(len(number)), np.zeros((len(number), languages))
         c[number] = words.column("c").to_numpy()
-        for k in range(languages):
-            value[number, k] = words.column(f"v{k}").to_numpy()
+        value[number] = _unpacked(words.column("value"), languages)
         known, base = (c > 0).astype(np.int64), np.log10((c + 1.0) / divisor)
         out = []
         for row in range(blocks.num_rows):
@@ -391,11 +400,8 @@ def score(docs: DataFrame, held_out, vocabulary_path: str, iterations: int = ITE
     else:
         scores = np.repeat(scores, languages, axis=1)
 
-    values = [f"v{k}" for k in range(languages)]
-    valued = counted.mapInArrow(
-        _word_task(shared, broadcast((scores, tokens, kinds)), languages), "word binary, c bigint, " + ", ".join(f"{v} float" for v in values)
-    )
-    sent = held.select("block", "number", "word").join(valued, "word").select("block", "number", "c", *values)
+    valued = counted.mapInArrow(_word_task(shared, broadcast((scores, tokens, kinds)), languages), "word binary, c bigint, value binary")
+    sent = held.select("block", "number", "word").join(valued, "word").select("block", "number", "c", "value")
     end = (texts + 1.0) / (tokens + texts + 2.0)
     finish = _score_block(
         int(tokens.sum()) + ends, int(found[-1]) + (ends > 0), ends,

@@ -61,3 +61,74 @@ def test_nothing_to_learn_from_and_empty_table(spark):
     one = lattice_lm.score(documents(spark, [(1, "a b")]), F.lit(True), PATH).first()
     assert (one.n_known, one.train_tokens, one.n_tokens) == (0, 0, 3) and math.isfinite(one.score)
     assert lattice_lm.score(documents(spark, []), held_out(), PATH).count() == 0
+
+
+def listed(word, vocabulary, scores):
+    """Probability of a word and, of each piece, its expected count, from a list of all segmentations."""
+
+    def all_of(rest):
+        if not rest:
+            yield []
+        for i, p in enumerate(vocabulary):
+            if rest.startswith(p):
+                for more in all_of(rest[len(p) :]):
+                    yield [i, *more]
+
+    total, counts = 0.0, np.zeros(len(vocabulary))
+    for pieces in all_of(b" " + word.encode()):
+        chance = math.exp(sum(scores[i] for i in pieces))
+        total += chance
+        for i in pieces:
+            counts[i] += chance
+    return total, counts / total
+
+
+def plain_scores(rows, vocabulary):
+    """log10 probability of each (doc_id, text, lang) by the model as the docstring has it, without lattices."""
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _, _ in rows}
+    train = [(words(t), lang) for i, t, lang in rows if not held[i]]
+    names = sorted({lang for _, lang in train}, key=lambda x: (-sum(y == x for _, y in train), x))
+    c = {k: Counter(w for t, lang in train if lang == k for w in t) for k in names}
+    texts = np.array([sum(lang == k for _, lang in train) for k in names], float)
+    tokens = np.array([sum(c[k].values()) for k in names], float)
+    every = sum(c.values(), Counter())
+
+    scores = lattice_lm.rank_scores(len(vocabulary))[:, 0]
+    for _ in range(lattice_lm.ITERATIONS):
+        counts = sum(listed(w, vocabulary, scores)[1] for w in every) + lattice_lm.SMOOTHING
+        scores = np.log(counts / counts.sum())
+    own = {}
+    for k in names:
+        counts = sum(listed(w, vocabulary, scores)[1] for w in c[k])
+        counts = counts + (lattice_lm.COMMON * counts.sum() + 1e-9) * np.exp(scores)
+        own[k] = np.log(counts / counts.sum())
+
+    def word(w, k):
+        n, free = sum(c[k].values()), lattice_lm.DISCOUNT * len(c[k]) / sum(c[k].values())
+        whole = max(c[k][w] - lattice_lm.DISCOUNT, 0) / n + free * (1 - lattice_lm.LATTICE_SHARE) * every[w] / tokens.sum()
+        return math.log(whole + free * lattice_lm.LATTICE_SHARE * listed(w, vocabulary, own[k])[0])
+
+    end = (texts + 1) / (tokens + texts + 2)
+    prior = (texts + 1) / (texts + 1).sum()
+    out = {}
+    for i, t, _ in rows:
+        each = [math.log(prior[j] * end[j]) + sum(word(w, k) + math.log(1 - end[j]) for w in words(t)) for j, k in enumerate(names)]
+        out[i] = math.log10(sum(math.exp(x) for x in each))
+    return out
+
+
+def test_scores_equal_a_model_of_listed_segmentations(spark, monkeypatch):
+    long = "abcabcabcabcabcabcab"
+    vocabulary = [b" ", b"a", b"b", b"c", b" a", b"ab", b"bc", b" ab", b"cab", long.encode(), *(bytes([x]) for x in range(256) if bytes([x]) not in b" abc")]
+    monkeypatch.setattr(lattice_lm, "pieces", lambda path: vocabulary)
+    texts = ["ab abc", "cab ab", "A bca bb", "", "ab ab abc cc", "bcab", long, "cc ccb ab", "aab", "bb bca", None, "abc a", "ab zz", "c"]
+    rows = [(i, t, "xy"[i % 3 == 0]) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = {r.doc_id: r.score for r in lattice_lm.score(df, held_out(), PATH).collect()}
+    expected = plain_scores(rows, vocabulary)
+    assert {i for i in expected if zlib.crc32(str(i).encode()) % 7 == 2} and found.keys() == expected.keys()
+    assert all(found[i] == pytest.approx(expected[i], rel=1e-5) for i in expected)
+
+
+def test_long_pieces_of_the_vocabulary_are_kept():
+    assert max(len(p) for p in lattice_lm.pieces(PATH)) > 16
