@@ -249,6 +249,8 @@ def search(index: Index | None, queries: DataFrame, k: int = 20) -> DataFrame:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     asked, dimension = usable(queries)
     asked = asked.filter(F.size("vector") == index.dimension).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    # few bytes become many here, which partitions merged by their size do not foresee
+    asked = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "vec_id")
     shared = spark.sparkContext.broadcast((index.centroids, index.rotation, index.longest, index.sizes, index.probes))
     schema = "query_id bigint, turn int, list int, vector array<double>, " + ", ".join(f"{b} array<float>" for b in index.blocks)
     probes = cut(asked.mapInArrow(_probe_task(shared, index.dimension, index.blocks), schema), "probes")
