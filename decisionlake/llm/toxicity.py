@@ -8,7 +8,8 @@ quotation marks, and a window of words around it tells by their own log-odds whe
 logistic regression turns the counts of a document into its score.
 
 Learning uses at most about ``SAMPLE`` labelled documents of each label, chosen by the hash of their
-id; scoring is one pass over all documents, each by itself.
+id, which bounds the words past the thresholds: all of these are learned. Scoring is one pass over all
+documents, each by itself.
 
 Cases: null and empty texts have no hits and get the score of a document without any; null ids are
 never learned from and not held out; of labels that contradict each other for an id the larger counts;
@@ -33,7 +34,6 @@ from decisionlake.llm.text import LETTERS, WordMemory, Words, slices
 from decisionlake.sources.storage import cut
 
 SAMPLE = 20_000
-TERMS, STEMS, CONTEXT_WORDS = 500, 200, 20_000
 #: Least log-odds of a term and a stem, and least evidence (see ``_evidence``).
 MIN_ODDS, STEM_ODDS = 2.0, 3.0
 MIN_EVIDENCE, STEM_EVIDENCE = 8.0, 13.0
@@ -287,17 +287,18 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE):
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("n1"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("n0")
     )
     words = cut(words.withColumn("odds", _odds(F.col("n1"), F.col("n0"), n1, n0)), "toxic-words")
+    # what passes the thresholds is bounded by the sample, so every such term, stem and context word is taken
     least = words.filter((_evidence(F.col("n1"), F.col("n0"), n1, n0) >= MIN_EVIDENCE) & (F.col("odds") >= MIN_ODDS) & (F.length("word").between(3, 40)))
-    terms = [r["word"] for r in least.orderBy(F.desc(F.col("odds") * F.log1p("n1")), "word").limit(TERMS).collect()]
+    terms = [r["word"] for r in least.orderBy(F.desc(F.col("odds") * F.log1p("n1")), "word").collect()]
     stem = words.filter(F.length("word").between(STEM_LENGTHS[0], 40)).select(
         F.explode(F.array(*[F.when(F.length("word") >= k, F.substring("word", 1, k)) for k in STEM_LENGTHS])).alias("stem"), "word", "n1", "n0"
     ).filter("stem IS NOT NULL").groupBy("stem").agg(F.sum("n1").alias("s1"), F.sum("n0").alias("s0"), F.sum(F.expr("if(n1 > 0, 1, 0)")).alias("kinds"))
     stem = stem.filter((_evidence(F.col("s1"), F.col("s0"), n1, n0) >= STEM_EVIDENCE) & (F.col("kinds") >= 4) & (_odds(F.col("s1"), F.col("s0"), n1, n0) >= STEM_ODDS))
     stems: list[str] = []
-    for r in sorted(stem.orderBy(F.desc("s1"), "stem").limit(4 * STEMS).collect(), key=lambda r: (len(r["stem"]), -r["s1"], r["stem"])):
-        if len(stems) < STEMS and not any(r["stem"].startswith(s) for s in stems):
+    for r in sorted(stem.collect(), key=lambda r: (len(r["stem"]), -r["s1"], r["stem"])):
+        if not any(r["stem"].startswith(s) for s in stems):
             stems.append(r["stem"])
-    frequent = words.filter("n1 + n0 >= 20").orderBy(F.desc(F.col("n1") + F.col("n0")), "word").limit(CONTEXT_WORDS)
+    frequent = words.filter("n1 + n0 >= 20")
     context = {r["word"]: float(max(-3.0, min(3.0, r["odds"]))) for r in frequent.collect()}
     shared = spark.sparkContext.broadcast((terms, stems, context))
     features = cut(rows.mapInArrow(_feature_task(shared), "toxic int, features array<double>"), "toxic-features")
