@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from decisionlake.llm.graph import bitmap, components, in_bitmap
-from decisionlake.llm.text import Words, gram_hashes, mix, signed, slices
+from decisionlake.llm.text import Words, giving_back, gram_hashes, mix, signed, slices
 from decisionlake.sources.storage import cut
 
 SHINGLE, SIDE, PER_KEY = 5, 12, 2
@@ -74,6 +74,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 _SIGNED = "doc_id bigint, digest bigint, n bigint, c1 bigint, c2 bigint, sig array<int>"
 
 
+@giving_back
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for rows in slices(batch):
@@ -105,7 +106,7 @@ def _sets_task(shared):
                     ["doc_id", "digest", "set"],
                 )
 
-    return run
+    return giving_back(run)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -159,6 +160,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return dealt.groupBy("x", "y").cogroup(held.groupBy("x2", "y2")).applyInArrow(_compare(similarity), "a bigint, b bigint")
 
 
+@giving_back
 def _sketch_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A bit of each of ``SKETCH`` further minimum hashes, packed into 64-bit numbers."""
     random = np.random.default_rng(17)

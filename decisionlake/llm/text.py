@@ -7,6 +7,8 @@ hash of any substring follows from two prefix sums; a final mix spreads the bits
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -167,6 +169,26 @@ def minima(values: np.ndarray, width: int) -> np.ndarray:
     return values
 
 
+def give_back() -> None:
+    """Returns the memory that this process has freed to the system; allocators keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def giving_back(task):
+    """The task of ``mapInArrow``, after which its worker, which later stages use again, holds no more than it needs."""
+
+    @functools.wraps(task)
+    def run(batches):
+        yield from task(batches)
+        _powers.clear()
+        give_back()
+
+    return run
+
+
 class WordMemory:
     """Remembers a small row of numbers for each distinct word, under its hash, in bounded memory.
 

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from decisionlake.llm.text import Words, ranges, slices
+from decisionlake.llm.text import Words, give_back, giving_back, ranges, slices
 
 #: Text encoded at once; its words and ids are held as arrays.
 ENCODE_BYTES = 512 << 10
@@ -173,7 +173,7 @@ def _encode_task(path: str, end_id: int):
                 )
                 start += int(offsets[-1])
 
-    return run
+    return giving_back(run)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2) -> None:
@@ -197,7 +197,11 @@ def with_start(rows: DataFrame, path: str) -> DataFrame:
     return rows.join(offsets, "part").withColumn("start", F.col("_before") + F.col("local_start")).drop("_before")
 
 
+@giving_back
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # a worker that has encoded before needs its vocabulary no more
+    _encoders.clear()
+    give_back()
     for batch in batches:
         tokens = batch.column("tokens")
         at = tokens.offsets.to_numpy()

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from decisionlake.llm.text import LETTERS, WordMemory, Words, slices
+from decisionlake.llm.text import LETTERS, WordMemory, Words, giving_back, slices
 from decisionlake.sources.storage import cut
 
 SAMPLE = 20_000
@@ -247,7 +247,7 @@ def _score_task(shared, weights: list[float], bias: float, column: str):
                 score = 1 / (1 + np.exp(-(scorer.features(rows.column("text")) @ w + bias)))
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(score)], [*rows.schema.names, column])
 
-    return run
+    return giving_back(run)
 
 
 def remainder(column="doc_id"):
