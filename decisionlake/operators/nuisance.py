@@ -26,6 +26,7 @@ from decisionlake.functions.reward import require_finite_reward, with_reward
 from decisionlake.functions.vectors import action_index, as_columns, pick, valid_probabilities
 from decisionlake.operators.features import FeatureStats, fit_features_with, vectorize
 from decisionlake.operators.folds import with_folds
+from decisionlake.operators.leaf_values import PenalisedTrees, penalised
 from decisionlake.operators.metrics import behavior_report, model_deltas, reward_report, union_long
 from decisionlake.operators.scale import is_small
 from decisionlake.operators.shared_fits import SharedFits
@@ -119,6 +120,7 @@ class RewardModelConfig:
     max_iter: int = 200
     max_leaf_nodes: int = 15
     min_samples_leaf: int = 20
+    l2_regularization: float = 1.0
     random_seed: int = 42
 
     def __post_init__(self):
@@ -128,6 +130,8 @@ class RewardModelConfig:
             raise ValueError("alpha must be non-negative; learning_rate and max_iter positive.")
         if self.max_leaf_nodes < 2 or self.min_samples_leaf < 1:
             raise ValueError("max_leaf_nodes must be at least two and min_samples_leaf positive.")
+        if self.l2_regularization < 0:
+            raise ValueError("l2_regularization must be non-negative.")
 
     @property
     def scaled(self) -> bool:
@@ -171,7 +175,7 @@ class ActionRewardModel:
             return stats, estimator.fit(rows)
         rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            return stats, estimator.fit(rows)
+            return stats, penalised(estimator.fit(rows), rows, self.config.l2_regularization)
         finally:
             rows.unpersist()
 
@@ -183,8 +187,9 @@ class ActionRewardModel:
                 elasticNetParam=0.0, standardization=False, solver="normal",
                 regParam=c.alpha / n * deviation,
             )
+        # the gradient that trees are grown on is twice the residual
         return GBTRegressor(
-            stepSize=c.learning_rate, maxIter=c.max_iter, seed=c.random_seed,
+            stepSize=c.learning_rate / 2, maxIter=c.max_iter, seed=c.random_seed,
             maxDepth=math.ceil(math.log2(c.max_leaf_nodes)), minInstancesPerNode=c.min_samples_leaf,
         )
 
@@ -217,30 +222,42 @@ class ActionRewardModel:
 
     def save(self, spark: SparkSession, path: str) -> None:
         for i, (stats, model) in enumerate(self.parts):
+            if isinstance(model, PenalisedTrees):
+                _save_json(spark, f"{path}/action={i}/leaves", {"base": model.base, "values": model.values})
+                model = model.model
             model.write().overwrite().save(f"{path}/action={i}/model")
             _save_stats(spark, f"{path}/action={i}", stats)
-        spark.createDataFrame([(json.dumps(asdict(self.config)),)], "value string").coalesce(1).write.mode(
-            "overwrite").text(f"{path}/config")
+        _save_json(spark, f"{path}/config", asdict(self.config))
 
     @classmethod
     def load(cls, spark: SparkSession, path: str, spec: TrajectorySpec = DEFAULT) -> ActionRewardModel:
-        config = RewardModelConfig(**json.loads(spark.read.text(f"{path}/config").first()["value"]))
-        reader = LinearRegressionModel if config.model_type == "ridge" else GBTRegressionModel
-        out = cls(config, spec=spec)
-        out.parts = [
-            (_load_stats(spark, f"{path}/action={i}"), reader.load(f"{path}/action={i}/model"))
-            for i in range(len(spec.actions))
-        ]
+        out = cls(RewardModelConfig(**_load_json(spark, f"{path}/config")), spec=spec)
+
+        def part(folder: str) -> tuple[FeatureStats, object]:
+            if out.config.model_type == "ridge":
+                return _load_stats(spark, folder), LinearRegressionModel.load(f"{folder}/model")
+            leaves = _load_json(spark, f"{folder}/leaves")
+            model = GBTRegressionModel.load(f"{folder}/model")
+            return _load_stats(spark, folder), PenalisedTrees(model, leaves["base"], tuple(map(tuple, leaves["values"])))
+
+        out.parts = [part(f"{path}/action={i}") for i in range(len(spec.actions))]
         return out
 
 
+def _save_json(spark: SparkSession, path: str, value: object) -> None:
+    spark.createDataFrame([(json.dumps(value),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def _load_json(spark: SparkSession, path: str):
+    return json.loads(spark.read.text(path).first()["value"])
+
+
 def _save_stats(spark: SparkSession, path: str, stats: FeatureStats) -> None:
-    spark.createDataFrame([(json.dumps(asdict(stats)),)], "value string").coalesce(1).write.mode(
-        "overwrite").text(f"{path}/features")
+    _save_json(spark, f"{path}/features", asdict(stats))
 
 
 def _load_stats(spark: SparkSession, path: str) -> FeatureStats:
-    raw = json.loads(spark.read.text(f"{path}/features").first()["value"])
+    raw = _load_json(spark, f"{path}/features")
     return FeatureStats(
         tuple(tuple(x) for x in raw["numeric"]),
         tuple((n, mode, tuple(levels)) for n, mode, levels in raw["categorical"]),
