@@ -14,7 +14,9 @@ from decisionlake.functions.vectors import action_name, argmax, count_if, valid_
 from decisionlake.operators.factual import LABELS
 from decisionlake.operators.retrieval import BLOCK_ROWS, ranked_examples, retrieve_examples
 from decisionlake.operators.validate import require_columns
-from decisionlake.sources.response_cache import Client, Completion, cached_decisions, decisions_with_backend
+from decisionlake.sources.response_cache import (
+    Client, Completion, Render, cached_decisions, decisions_with_backend, keyed_rows,
+)
 from decisionlake.spec import DEFAULT, TrajectorySpec
 
 
@@ -89,15 +91,34 @@ class PromptedPolicy(Policy):
         note = policy_input(observations, self.key, self.spec)
         return zero_shot_messages(observations, keep=self.key, note=note, spec=self.spec)
 
+    def render(self, observations: DataFrame) -> Render | None:
+        """Messages made from a row alone, so that rows can be moved in their place."""
+        note = policy_input(observations, self.key, self.spec)
+        names = observations.columns
+
+        def rendered(rows: DataFrame) -> DataFrame:
+            extra = [c for c in rows.columns if c not in names]
+            built = zero_shot_messages(
+                rows, keep=[*dict.fromkeys([*names, *extra])], note=note, spec=self.spec)
+            return built.drop("state_json", "note_json")
+
+        return rendered
+
     def predict(self, observations: DataFrame) -> DataFrame:
-        requests = self.messages(observations).select(*self.key, "messages")
+        render = self.render(observations) if self.backend is not None else None
+        if render is not None:
+            requests = keyed_rows(observations, render, self.client)
+        else:
+            requests = self.messages(observations).select(*self.key, "messages")
         if self.backend is None:
             decided = cached_decisions(requests, self.cache, self.client, self.spec)
         else:
             decided = decisions_with_backend(
                 requests, self.cache, self.client, self.backend, self.cache_path,
-                order=self.key, spec=self.spec,
+                order=self.key, render=render, spec=self.spec,
             )
+        if render is not None:
+            decided = decided.drop(*[c for c in observations.columns if c not in self.key])
         return decided.drop("messages")
 
 
@@ -110,6 +131,9 @@ class FewShotPolicy(PromptedPolicy):
         super().__init__(client, cache, **options)
         self.library, self.examples_per_cell = library, examples_per_cell
 
+    def render(self, observations: DataFrame) -> Render | None:
+        return None  # a search per row
+
     def messages(self, observations: DataFrame) -> DataFrame:
         note = policy_input(observations, self.key, self.spec)
         return few_shot_requests(

@@ -8,14 +8,14 @@ import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from decisionlake.functions.decisions import parse_decisions, with_fallback
-from decisionlake.functions.prompts import json_sql, number_sql, sql_text, valid_messages
+from decisionlake.functions.prompts import json_sql, lowered_escapes, number_sql, sql_text, valid_messages
 from decisionlake.sources.storage import cut
 from decisionlake.spec import DEFAULT, TrajectorySpec
 
@@ -34,6 +34,8 @@ RECORD_SCHEMA = T.StructType([
 
 #: ``complete(messages, model_id, temperature) -> text``; messages are role/content dicts.
 Completion = Callable[[list[dict[str, str]], str, float], str]
+#: Rows with ``messages`` added; every column of the rows is kept.
+Render = Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -89,14 +91,14 @@ def read_cache(spark: SparkSession, path: str, *, format: str = "json") -> DataF
 
 def cache_key(messages: str, client: Client) -> Column:
     """SHA-256 over the compact JSON of the request, its keys in sorted order."""
-    # The sorted order of the keys is the order written here.
-    one = ", ".join([
-        sql_text('{"content":'), json_sql("m.content"), sql_text(',"role":'), json_sql("m.role"), sql_text("}"),
-    ])
+    # The sorted order of the keys is the order written here. One call renders all messages of a row.
+    listed = (
+        f"to_json(transform(filter({messages}, m -> m.content IS NOT NULL AND m.role IS NOT NULL), "
+        "m -> named_struct('content', m.content, 'role', m.role)))"
+    )
     payload = ", ".join([
-        sql_text(f'{{"cache_format_version":{CACHE_FORMAT_VERSION},"messages":['),
-        f"array_join(transform({messages}, m -> concat({one})), ',')",
-        sql_text('],"model_id":'), json_sql(sql_text(client.model_id)),
+        sql_text(f'{{"cache_format_version":{CACHE_FORMAT_VERSION},"messages":'), lowered_escapes(listed),
+        sql_text(',"model_id":'), json_sql(sql_text(client.model_id)),
         sql_text(',"prompt_version":'), json_sql(sql_text(client.prompt_version)),
         sql_text(f',"response_schema_version":{RESPONSE_SCHEMA_VERSION},"temperature":'),
         number_sql(f"{float(client.temperature)!r}D"), sql_text("}"),
@@ -161,38 +163,52 @@ def cached_decisions(requests: DataFrame, cache: DataFrame, client: Client,
     return decide(lookup(with_cache_key(requests, client), cache, client), spec)
 
 
+def keyed_rows(rows: DataFrame, render: Render, client: Client) -> DataFrame:
+    """Rows with the key of their request but without its messages, written once.
+
+    What follows moves these rows, which are a small part of a prompt's size, and renders again only what it sends.
+    """
+    # the output of a generator is not inlined, so that messages are made once for the key and the check
+    once = render(rows).select(*rows.columns, F.inline(F.array(F.struct("messages"))))
+    written = cut(with_cache_key(once, client).select(*rows.columns, "cache_key", valid_messages(F.col("messages")).alias("_valid")), "keyed-rows")
+    if not written.filter(~F.col("_valid")).isEmpty():
+        raise ValueError("Messages need a known role and non-empty content.")
+    return written.drop("_valid")
+
+
 def complete_misses(
-    requests: DataFrame, cache: DataFrame, client: Client, complete: Completion, path: str
+    requests: DataFrame, cache: DataFrame, client: Client, complete: Completion, path: str,
+    *, render: Render | None = None,
 ) -> DataFrame:
     """Call the backend once per distinct missing request and append to the cache at ``path``.
 
     Results are written before they are used, so a lost executor repeats at most its own
     unfinished calls. Malformed responses are kept, so that such a failure
-    reproduces; failed calls are not. Returns the cache table at ``path``.
+    reproduces; failed calls are not. Returns the cache table at ``path``. With ``render`` the requests
+    are ``keyed_rows``, whose messages it makes after the duplicates are gone.
     """
     spark = requests.sparkSession
-    assert_messages(requests)
-    missing = (
-        lookup(with_cache_key(requests, client), cache, client)
-        .filter(~F.col("cache_hit"))
-        .select("cache_key", "messages")
-        .dropDuplicates(["cache_key"])
-    )
+    if render is None:
+        requests = with_cache_key(assert_messages(requests), client).select("cache_key", "messages")
+    missing = lookup(requests, cache, client).filter(~F.col("cache_hit")).dropDuplicates(["cache_key"])
+    missing = missing.drop("raw_response", "cache_hit", "cache_error")
+    if render is not None:
+        missing = render(missing)
     model_id, temperature = client.model_id, client.temperature
 
-    def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for messages in batch["messages"]:
+            for messages in batch.column("messages").to_pylist():
                 listed = [{"role": m["role"], "content": m["content"]} for m in messages]
                 try:
                     text = complete(listed, model_id, temperature)
                     texts.append(text if isinstance(text, str) else None)
                 except Exception:  # noqa: BLE001  providers raise their own classes
                     texts.append(None)
-            yield pd.DataFrame({"cache_key": batch["cache_key"], "raw_response": texts})
+            yield pa.RecordBatch.from_arrays([batch.column("cache_key"), pa.array(texts, pa.string())], ["cache_key", "raw_response"])
 
-    called = missing.mapInPandas(call, "cache_key string, raw_response string").select(
+    called = missing.select("cache_key", "messages").mapInArrow(call, "cache_key string, raw_response string").select(
         F.lit(CACHE_FORMAT_VERSION).alias("cache_format_version"),
         "cache_key",
         F.lit(model_id).alias("model_id"),
@@ -207,21 +223,23 @@ def complete_misses(
 
 def decisions_with_backend(
     requests: DataFrame, cache: DataFrame, client: Client, complete: Completion, path: str,
-    *, order: list[str] | None = None, spec: TrajectorySpec = DEFAULT,
+    *, order: list[str] | None = None, render: Render | None = None, spec: TrajectorySpec = DEFAULT,
 ) -> DataFrame:
     """Cache first, then the backend, then the fallback.
 
     Of several identical requests of one run only the first in ``order`` counts as a
-    call; the others are cache hits, as they would be one after another.
+    call; the others are cache hits, as they would be one after another. With ``render`` the requests are
+    ``keyed_rows``.
     """
     order = order or list(spec.key)
-    fresh = complete_misses(requests, cache, client, complete, path).groupBy("cache_key").agg(
+    fresh = complete_misses(requests, cache, client, complete, path, render=render).groupBy("cache_key").agg(
         F.max("raw_response").alias("_fresh")
     )
-    looked = lookup(with_cache_key(requests, client), cache, client).join(fresh, "cache_key", "left")
+    keyed = requests if render is not None else with_cache_key(requests, client)
+    looked = lookup(keyed, cache, client).join(fresh, "cache_key", "left")
     # The first request of a key: an aggregate, so that a key asked billions of times
     # is reduced before the shuffle.
-    firsts = looked.groupBy("cache_key").agg(F.min(F.struct(*order)).alias("_first"))
+    firsts = keyed.groupBy("cache_key").agg(F.min(F.struct(*order)).alias("_first"))
     looked = looked.join(firsts, "cache_key")
     first = F.col("_first") == F.struct(*order)
     hit = F.col("cache_hit")
