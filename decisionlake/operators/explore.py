@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,8 +21,8 @@ LABS = ("lactate_mmol_l", "urine_output_6h_ml", "creatinine_mg_dl")
 def diverse_rows(df: DataFrame, limit: int = 12, spec: TrajectorySpec = DEFAULT) -> DataFrame:
     """A fixed priority of interesting states, two each, then rows in key order.
 
-    A row keeps the first reason it qualifies for; ties follow the key order. One scan flags the reasons
-    of each row, and a rank limit per reason runs in the map tasks, so that only a few rows of each leave them.
+    A row keeps the first reason it qualifies for; ties follow the key order. Every reason takes a scan in which
+    tasks keep their best few rows; no task sorts its input.
     """
     if limit <= 0:
         raise ValueError("limit must be positive")
@@ -40,16 +41,16 @@ def diverse_rows(df: DataFrame, limit: int = 12, spec: TrajectorySpec = DEFAULT)
         (fill, F.lit(True), nothing),
     ]
     most = limit + 2 * (len(branches) - 1)
-    flagged = df.select(*spec.key, *spec.observations, F.explode(F.filter(F.array(*[
-        F.struct(
-            F.lit(priority).alias("_priority"), F.lit(reason).alias("selection_reason"),
-            F.coalesce(condition, F.lit(False)).alias("fits"), order.cast("double").alias("_order"),
+    kept = []
+    for priority, (reason, condition, order) in enumerate(branches):
+        fits = df.filter(condition).select(
+            *spec.key, *spec.observations, F.lit(priority).alias("_priority"), F.lit(reason).alias("selection_reason"),
+            order.cast("double").alias("_order"),
         )
-        for priority, (reason, condition, order) in enumerate(branches)
-    ]), lambda e: e["fits"])).alias("_e")).select(*spec.key, *spec.observations, "_e._priority", "_e.selection_reason", "_e._order")
+        kept.append(fits.orderBy("_order", *spec.key).limit(most if reason == fill else 2))
+    flagged = reduce(DataFrame.unionByName, kept)
     best = Window.partitionBy("_priority").orderBy("_order", *spec.key)
-    picked = flagged.withColumn("_rank", F.row_number().over(best)).filter(F.col("_rank") <= most)
-    picked = picked.filter((F.col("selection_reason") == fill) | (F.col("_rank") <= 2))
+    picked = flagged.withColumn("_rank", F.row_number().over(best))
     # At most a few dozen rows from here on.
     first = Window.partitionBy(*spec.key).orderBy("_priority", "_rank")
     unique = picked.withColumn("_seen", F.row_number().over(first)).filter("_seen = 1")
