@@ -179,3 +179,33 @@ def test_long_user_ids_stay_apart(spark):
     out = trajectories_from_events(events, 10**6)
     assert out.select("patient_id").distinct().count() == events.select("user_id").distinct().count()
     assert out.groupBy("patient_id", "time_step").count().filter("count > 1").isEmpty()
+
+
+def test_left_out_quantiles_equal_a_quantile_per_side(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(rng.integers(1, 4)), ["a", "b", None][int(rng.integers(3))],
+             None if i % 7 == 0 else float(rng.integers(9)) if i % 2 else float(rng.normal()), None) for i in range(900)]
+    df = spark.createDataFrame(rows, "fold int, g string, x double, nothing double")
+    for groups in (["g"], []):
+        args = (df, "fold", [0, 1, 2, 3], groups, ["x", "nothing"], (0.25, 0.5))
+        plain = scale.left_out_quantiles(*args, row_bound=900).collect()
+        split = scale.left_out_quantiles(*args, row_bound=900, task_rows=10).collect()
+
+        def cells(found):
+            return {(r["side"], r["g"] if groups else None): r["x_q"] for r in found}
+
+        assert cells(plain).keys() == cells(split).keys() and len(plain) == len(split)
+        for cell, q in cells(plain).items():
+            assert cells(split)[cell] == pytest.approx(q)
+        assert all(r["nothing_q"] is None or r["nothing_q"][0] is None for r in split)
+
+
+def test_brackets_of_a_cell_share_a_sketch_and_are_narrowed(spark, monkeypatch):
+    """Brackets past ``BRACKET_ROWS`` are narrowed, whatever the rows that a percentile may hold."""
+    monkeypatch.setattr(scale, "BRACKET_ROWS", 20)
+    asked = []
+    monkeypatch.setattr(scale.F, "percentile_approx", lambda *a, f=scale.F.percentile_approx: asked.append(a) or f(*a))
+    df = spark.range(600).select((F.col("id") % 2).alias("g"), (F.col("id") * 7 % 301).cast("double").alias("x"))
+    found = scale.group_quantiles(df, ["g"], ["x"], (0.1, 0.5, 0.9), task_rows=500).orderBy("g").collect()
+    plain = scale.group_quantiles(df, ["g"], ["x"], (0.1, 0.5, 0.9), row_bound=600).orderBy("g").collect()
+    assert asked and [r["x_q"] for r in found] == [pytest.approx(r["x_q"]) for r in plain]
