@@ -4,6 +4,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from decisionlake.operators import explore
+from decisionlake.sources import response_cache
 from decisionlake.functions import prompts
 from decisionlake.functions.decisions import parse_decisions
 from decisionlake.operators.policy import AlwaysFirst, PromptedPolicy, assert_blinded, blinded_predictions, policy_diagnostics
@@ -284,3 +286,21 @@ def test_a_file_is_the_record_of_its_name(spark, tmp_path):
     (tmp_path / f"{c}.json").write_text(json.dumps({**record, "cache_key": c}))
     found = {r.cache_key: r.raw_response for r in read_cache(spark, str(tmp_path)).collect()}
     assert found == {a: None, c: "r"}
+
+
+def test_rows_are_moved_without_their_messages(spark):
+    """Rows of a backend run hold the key of their request, made once, and no prompt."""
+    obs = observed(spark)
+    policy = PromptedPolicy(CLIENT, None, backend=lambda *a: "", cache_path="unused")
+    keyed = response_cache.keyed_rows(obs, policy.render(obs), CLIENT)
+    assert keyed.columns == [*obs.columns, "cache_key"]
+    wanted = with_cache_key(policy.messages(obs), CLIENT)
+    key = ["patient_id", "time_step", "cache_key"]
+    assert sorted(map(tuple, keyed.select(*key).collect())) == sorted(map(tuple, wanted.select(*key).collect()))
+    again = policy.render(obs)(keyed.filter("time_step = 1"))
+    assert set(again.columns) == {*keyed.columns, "messages"}
+
+
+def test_selected_cases_need_no_sort_of_the_table(spark):
+    plan = explore.diverse_rows(observed(spark), 12)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("TakeOrderedAndProject") >= 7

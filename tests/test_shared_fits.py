@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from decisionlake.operators import nuisance, shared_fits
+from decisionlake.operators import features, nuisance, shared_fits
 from decisionlake.operators.shared_fits import WHOLE, SharedFits
 from decisionlake.spec import ACTIONS, DEFAULT
 from tests.fixtures import frame, state
@@ -92,3 +92,11 @@ def test_rows_that_cannot_be_fitted_are_refused(folded):
         SharedFits.fit(folded.filter("observed_clinician_action <> 'iv_fluids'"), [1], ridge={"ridge": 1.0})
     with pytest.raises(ValueError, match="finite"):
         SharedFits.fit(folded.withColumn("map_mm_hg", F.lit(float("nan"))), [1], ridge={"ridge": 1.0})
+
+
+def test_features_of_a_side_equal_a_fit_of_its_rows(folded):
+    fits = SharedFits.fit(folded, [1, 2], ridge={"ridge": 1.0}, row_bound=240)
+    train = folded.filter((F.col("fold") != 2) & (F.col("observed_clinician_action") == ACTIONS[1]))
+    own, alone = fits.stats[2, 1].features(fits.basis), features.fit_features(train, row_bound=240)
+    assert own.categorical == alone.categorical and [n for n, *_ in own.numeric] == [n for n, *_ in alone.numeric]
+    assert [m for _, *m in own.numeric] == [pytest.approx(m, rel=1e-9) for _, *m in alone.numeric]
