@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from decisionlake.llm.graph import bitmap, in_bitmap
-from decisionlake.llm.text import Prefix, column_bytes, minima, ranges, signed, slices
+from decisionlake.llm.text import Prefix, column_bytes, giving_back, minima, ranges, signed, slices
 from decisionlake.operators.scale import number_in_blocks
 from decisionlake.sources.storage import cut
 
@@ -105,9 +105,10 @@ def _context_task(length: int, k: int):
                     [pa.array(x[keep]) for x in (h, c, ids, place)] + [pa.array(same[keep])], ["h", "c", "doc_id", "place", "marked"]
                 )
 
-    return run
+    return giving_back(run)
 
 
+@giving_back
 def _meet_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by anchor, context and place: all but the first of a context are marked, and the
     first ones pass if their anchor has another context."""
@@ -249,7 +250,7 @@ def _fetch_task(length: int):
                 [pa.array(h), batch.column("doc_id").take(pa.array(row)), pa.array(place), pa.array(pieces, pa.binary())], ["h", "doc_id", "place", "piece"]
             )
 
-    return run
+    return giving_back(run)
 
 
 def _start_count(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -304,7 +305,7 @@ def _shard_task(length: int):
         if kept:
             yield flush(pa.Table.from_batches(kept))
 
-    return run
+    return giving_back(run)
 
 
 def _window_task(length: int):
@@ -321,7 +322,7 @@ def _window_task(length: int):
             own = (place.view(np.uint64)[row] & ~np.uint64((1 << _PLACE_BITS) - 1)) | ((start[row] + at - offsets[row]).astype(np.uint64) << np.uint64(_COUNT_BITS)) | np.uint64(1)
             yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(ids[row]), pa.array(signed(own))], ["w", "doc_id", "place"])
 
-    return run
+    return giving_back(run)
 
 
 def _marks_of(rows: DataFrame, length: int) -> DataFrame:
@@ -346,7 +347,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = K, most_conte
     wanted = left.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("h", "place")).alias("wanted"))
     wanted = wanted.withColumnsRenamed({"doc_id": "i", "digest": "g"})
     held = spark.sparkContext.broadcast(bitmap(left.select(F.xxhash64("doc_id", "digest").alias("b")), "b"))
-    texts = rows.withColumn("b", F.xxhash64("doc_id", "digest")).mapInArrow(_only_held(held, True), _KEY + ", text string")
+    texts = rows.withColumn("b", F.xxhash64("doc_id", "digest")).mapInArrow(_only_held(held), _KEY + ", text string")
     texts = texts.join(wanted, (F.col("doc_id") == F.col("i")) & (F.col("digest") == F.col("g")))
     pieces = texts.select("doc_id", "text", "wanted").mapInArrow(_fetch_task(length), "h bigint, doc_id bigint, place bigint, piece binary")
     pieces = cut(pieces.dropDuplicates(["h", "doc_id", "place"]), "pieces")
@@ -361,21 +362,29 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, k: int = K, most_conte
     return marks
 
 
-def _only_held(held, inside: bool):
+def _held_rows(batch: pa.RecordBatch, held, inside: bool) -> pa.RecordBatch:
+    """The rows whose hash ``b`` may be in the bitmap, or the others, without ``b``."""
+    keep = in_bitmap(held.value, batch.column("b").to_numpy().view(np.uint64)) == inside
+    return batch.filter(pa.array(keep)).select([c for c in batch.schema.names if c != "b"])
+
+
+def _only_held(held):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = in_bitmap(held.value, batch.column("b").to_numpy().view(np.uint64)) == inside
-            names = [c for c in batch.schema.names if c != "b"]
-            yield batch.filter(pa.array(keep)).select(names)
+            yield _held_rows(batch, held, True)
 
-    return run
+    return giving_back(run)
 
 
 _RESULT = "doc_id bigint, digest bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
-def _result_task(with_text: bool):
+def _result_task(with_text: bool, held=None):
+    """Results of texts with their spans, or without any; given a bitmap, of those outside it."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if held is not None:  # here, as a task of two Python passes has two workers
+            batches = (_held_rows(batch, held, False) for batch in batches)
         for batch in (rows for whole in batches for rows in slices(whole)):
             data, offsets = column_bytes(batch.column("text"))
             data = data.tobytes()
@@ -406,7 +415,7 @@ def _result_task(with_text: bool):
                 columns, names = [*columns, pa.array(texts, pa.binary())], [*names, "kept"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return run
+    return giving_back(run)
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, k: int = K, most_contexts: int = MOST_CONTEXTS, with_text: bool = False) -> DataFrame:
@@ -422,8 +431,7 @@ def remove_spans(docs: DataFrame, marks: DataFrame, with_text: bool = False) ->
     spans = spans.withColumnsRenamed({"doc_id": "i", "digest": "g"})
     held = docs.sparkSession.sparkContext.broadcast(bitmap(marks.select(F.xxhash64("doc_id", "digest").alias("b")), "b"))
     rows = keyed(docs).withColumn("b", F.xxhash64("doc_id", "digest"))
-    clean = rows.mapInArrow(_only_held(held, False), _KEY + ", text string")
-    touched = rows.mapInArrow(_only_held(held, True), _KEY + ", text string")
+    touched = rows.mapInArrow(_only_held(held), _KEY + ", text string")
     touched = touched.join(spans, (F.col("doc_id") == F.col("i")) & (F.col("digest") == F.col("g")), "left").select("doc_id", "digest", "text", "spans")
-    out = clean.mapInArrow(_result_task(with_text), schema).unionByName(touched.mapInArrow(_result_task(with_text), schema))
+    out = rows.mapInArrow(_result_task(with_text, held), schema).unionByName(touched.mapInArrow(_result_task(with_text), schema))
     return out.withColumn("doc_id", F.when(F.col("doc_id") != -(2**63), F.col("doc_id"))).drop("digest")

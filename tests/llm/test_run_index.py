@@ -99,3 +99,19 @@ def test_texts_of_one_id_with_like_hashes_stay_apart(spark):
         assert sorted(r[2] for r in got)[0] == 0 and sorted(r[2] for r in got)[1] > 100
     with pytest.raises(ValueError):
         run_index.repeated_spans(documents(spark, []), length=200, k=32)
+
+
+def test_workers_keep_no_tables_of_powers():
+    import pyarrow as pa
+
+    from decisionlake.llm import text
+
+    rows = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "digest": [0, 0], "text": [prose(1, 200), prose(1, 200)]})
+    assert sum(b.num_rows for b in run_index._context_task(100, 32)(iter([rows]))) > 0
+    assert text._powers == []
+
+
+def test_results_of_texts_without_repeats_take_one_python_pass(spark):
+    rows = documents(spark, [(1, prose(1, 60, 5000)), (2, prose(2, 60, 5000))])
+    shown = run_index.remove_repeats(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert shown.count("MapInArrow") == 3  # two for texts with repeats, whose spans are joined between
