@@ -1,12 +1,15 @@
 """Reports, case selection and prompts from one scan: equal to their sections, and planned as meant."""
 
+import tracemalloc
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from decisionlake.functions.prompts import few_shot_messages
 from decisionlake.operators import bias, explore, factual, metrics, policy, retrieval
 from decisionlake.operators.factual import FactualRules
-from decisionlake.spec import ACTIONS, OBSERVATIONS
+from decisionlake.spec import ACTIONS, DEFAULT, OBSERVATIONS
 from tests.fixtures import frame, injected, state, training
 
 B = ["b_0", "b_1", "b_2"]
@@ -184,3 +187,38 @@ def test_exclusion_that_empties_a_cell_fails_in_the_plan(spark, library):
         retrieval.ranked_examples(states, library, examples_per_cell=0)
     with pytest.raises(ValueError):
         retrieval.ranked_examples(states, library, examples_per_cell=6)
+
+
+def plain_nearest(table, x, excluded, n):
+    """Per cell the library ranks by distance, ties in library order, and those distances."""
+    out = []
+    for cell in dict.fromkeys(zip(table["action"], table["outcome_label"])):
+        rows = [i for i in range(len(table["x"])) if (table["action"][i], table["outcome_label"][i]) == cell]
+        for q, own in zip(x, excluded):
+            far = [(float("inf") if table["patient"][i] == own else np.sqrt(sum((a - b) ** 2 for a, b in zip(q, table["x"][i]))), i) for i in rows]
+            out += [(*cell, table["rank"][i], d) for d, i in sorted(far)[:n] if np.isfinite(d)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_nearest_rows_are_taken_in_bounded_blocks(spark, n):
+    r = np.random.default_rng(3)
+    cells = [(a, label) for a in ACTIONS for label in factual.LABELS]
+    size = 600
+    table = {
+        "action": [cells[i % 6][0] for i in range(size)], "outcome_label": [cells[i % 6][1] for i in range(size)],
+        "rank": list(range(size)), "patient": [None if i % 50 == 0 else f"p{i % 40}" for i in range(size)],
+        "x": r.integers(0, 3, (size, 4)).astype(float).tolist(),  # ties
+    }
+    known = spark.createDataFrame(
+        list(zip(*table.values())), "action string, outcome_label string, library_rank bigint, source_patient_id string, _x array<double>")
+    found = retrieval._Cells(known, DEFAULT)
+    x, excluded = r.integers(0, 3, (2_000, 4)).astype(float), np.array([None if i % 30 == 0 else f"p{i % 60}" for i in range(2_000)], object)
+    tracemalloc.start()
+    got = list(found.nearest(x.reshape(-1), excluded, n))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4 << 20  # all distances at once are 9.6 MB
+    some = [i for i in range(2_000) if i % 20 == 0]
+    rows = [(a, label, rank[i], d[i]) for a, label, _, keep, rank, d in got for i in some if keep[i]]
+    assert sorted(rows) == plain_nearest(table, x[some], excluded[some], n)
