@@ -119,7 +119,8 @@ def sub_keys(nodes: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.lit(2 * SIDE - 1)),
         lambda i: F.struct(i.alias("i"), F.xxhash64(*[F.element_at("sig", i * PER_KEY + j + 1) for j in range(PER_KEY)]).alias("h")),
     )
-    rows = nodes.select("node", F.explode(sub).alias("s")).select("node", "s.i", "s.h")
+    # dealt once, for the counts and for the rows that they admit
+    rows = nodes.select("node", F.explode(sub).alias("s")).select("node", "s.i", "s.h").repartition("i", "h")
     shared = rows.groupBy("i", "h").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
     sides = rows.join(shared, ["i", "h"]).groupBy("node").agg(
         F.collect_list(F.when(F.col("i") < SIDE, F.col("h"))).alias("us"), F.collect_list(F.when(F.col("i") >= SIDE, F.col("h"))).alias("vs")
@@ -148,13 +149,21 @@ def _compare(similarity: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int, stars: bool = False) -> DataFrame:
     """The ``pairs`` (a, b) that are similar enough, by their full sets.
 
-    Nodes are dealt into blocks; a set goes once to each pair of blocks in which it is compared.
+    Nodes are dealt into blocks; a set goes once to each pair of blocks in which it is compared. ``stars``
+    are pairs of few ``a`` with a ``b`` each that seldom has another: those of one ``a`` stay together.
     """
-    blocks = max(1, sets.count() // BLOCK_NODES)
-    dealt = cut(pairs.withColumn("x", F.pmod(F.xxhash64("a"), F.lit(blocks))).withColumn("y", F.pmod(F.xxhash64("b"), F.lit(blocks))), "pairs")
+    if stars:
+        pairs = cut(pairs, "stars")
+        blocks = max(1, pairs.count() // BLOCK_NODES)
+        most = pairs.groupBy(F.col("a").alias("m")).agg(F.ceil(F.count("*") / BLOCK_NODES).alias("parts"))
+        dealt = pairs.join(most, F.col("a") == F.col("m")).drop("m").withColumn("y", F.pmod(F.xxhash64("b"), "parts"))
+        dealt = cut(dealt.withColumn("x", F.pmod(F.xxhash64("a"), F.lit(blocks))).drop("parts"), "pairs")
+    else:
+        blocks = max(1, sets.count() // BLOCK_NODES)
+        dealt = cut(pairs.withColumn("x", F.pmod(F.xxhash64("a"), F.lit(blocks))).withColumn("y", F.pmod(F.xxhash64("b"), F.lit(blocks))), "pairs")
     needed = dealt.select("x", "y", F.explode(F.array("a", "b")).alias("node")).distinct()
     held = needed.join(sets, "node").select(F.col("x").alias("x2"), F.col("y").alias("y2"), "node", "set")
     return dealt.groupBy("x", "y").cogroup(held.groupBy("x2", "y2")).applyInArrow(_compare(similarity), "a bigint, b bigint")
@@ -211,7 +220,7 @@ def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
     pairs = keys.join(reps, "key").filter("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
     pairs = pairs.join(size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
     pairs = pairs.join(size.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b").filter(close).select("a", "b")
-    links = cut(_confirmed(pairs, sets, similarity), "links")
+    links = cut(_confirmed(pairs, sets, similarity, stars=True), "links")
     roots = cut(components(links), "roots")
 
     about = size.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

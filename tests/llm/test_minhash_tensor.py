@@ -86,3 +86,14 @@ def test_pairs_at_the_threshold_are_met():
         same = (sig[0] == sig[1]).reshape(-1, 2).all(axis=1)
         met += same[:12].any() and same[12:].any()
     assert met >= n - 2
+
+
+def test_pairs_of_one_hub_are_confirmed_as_in_blocks(spark):
+    sets = [(i, list(range(i % 9, 40))) for i in range(700)]
+    table = spark.createDataFrame(sets, "node bigint, set array<bigint>")
+    pairs = [(0, i) for i in range(1, 650)] + [(650 + i, 660 + i) for i in range(10)]
+    frame = spark.createDataFrame(pairs, "a bigint, b bigint")
+    got = [sorted(map(tuple, minhash_tensor._confirmed(frame, table, 85, stars=stars).collect())) for stars in (True, False)]
+    of = dict(sets)
+    close = lambda a, b: 100 * len(set(of[a]) & set(of[b])) >= 85 * len(set(of[a]) | set(of[b]))
+    assert got[0] == got[1] == sorted(p for p in pairs if close(*p)) != sorted(pairs)
