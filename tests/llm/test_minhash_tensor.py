@@ -1,7 +1,7 @@
 import random
 from collections import defaultdict
 
-from decisionlake.llm import minhash_tensor
+from decisionlake.llm import graph, minhash_tensor
 from decisionlake.llm.graph import components
 from tests.llm.helpers import documents, prose, with_clashes, words
 
@@ -97,3 +97,32 @@ def test_pairs_of_one_hub_are_confirmed_as_in_blocks(spark):
     of = dict(sets)
     close = lambda a, b: 100 * len(set(of[a]) & set(of[b])) >= 85 * len(set(of[a]) | set(of[b]))
     assert got[0] == got[1] == sorted(p for p in pairs if close(*p)) != sorted(pairs)
+
+
+def _reached(edges):
+    least = {x: x for e in edges for x in e}
+    while any(least[a] != least[b] for a, b in edges):
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    return least
+
+
+def test_components_over_several_tasks(spark, monkeypatch):
+    r = random.Random(5)
+    edges = [(r.randrange(90), r.randrange(90)) for _ in range(60)] + [(100 + i, 101 + i) for i in range(30)]
+    edges = [(a, b) for a, b in edges if a != b]
+    monkeypatch.setattr(graph, "TASK_EDGES", 16)
+    got = components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    assert sorted(map(tuple, got)) == sorted(_reached(edges).items())
+
+
+def test_components_of_few_edges_take_few_jobs(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101 + i) for i in range(40)]
+    spark.sparkContext.setJobGroup("few-edges", "components")
+    try:
+        got = dict(map(tuple, components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("few-edges")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got == _reached(edges)
+    assert 0 < len(jobs) <= 12
