@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from decisionlake.llm.graph import bitmap, components, in_bitmap
@@ -39,6 +39,8 @@ BLOCK_NODES = 256
 #: Bits of the finer sketch, and how many of them must agree before a pair across components is
 #: fetched: with similarity 0.75 seven eighths agree, and fewer than this with a probability near 0.00001.
 SKETCH, SKETCH_AGREE = 1024, 850
+#: Shingles of a set that are sketched at once.
+SKETCH_SHINGLES = 1 << 14
 _WORDS = [f"w{i}" for i in range(SKETCH // 64)]
 _random = np.random.default_rng(7)
 _FACTOR = _random.integers(1, 2**63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -92,18 +94,33 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def sketches(sets: list[np.ndarray]) -> list[pa.Array]:
+    """A bit of each of ``SKETCH`` further minimum hashes of each set, packed into 64-bit numbers."""
+    random = np.random.default_rng(17)
+    factor = random.integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    shift = random.integers(1, 2**63, SKETCH, dtype=np.uint64)
+    out = np.zeros((len(sets), SKETCH), bool)
+    for i, values in enumerate(sets):
+        for j in range(0, SKETCH, 64) if len(values) else ():
+            parts = (values[k : k + SKETCH_SHINGLES, None] for k in range(0, len(values), SKETCH_SHINGLES))
+            low = np.min([(x * factor[j : j + 64] + shift[j : j + 64]).min(axis=0) for x in parts], axis=0)
+            out[i, j : j + 64] = (mix(low) & np.uint64(1)).astype(bool)
+    words = np.packbits(out, axis=1, bitorder="little").view(np.int64)
+    return [pa.array(np.ascontiguousarray(w)) for w in words.T]
+
+
 def _sets_task(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digest = batch.column("digest").to_numpy(zero_copy_only=False).view(np.uint64)
-            batch = batch.filter(pa.array(in_bitmap(shared.value, digest)))
+            seek = batch.column("seek").to_numpy(zero_copy_only=False).view(np.uint64)
+            batch = batch.filter(pa.array(in_bitmap(shared.value, seek)))
             for rows in slices(batch):
                 sets = shingle_sets(rows.column("text"))
                 at = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
                 flat = np.concatenate([*sets, np.empty(0, np.uint64)])
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("doc_id"), rows.column("digest"), pa.ListArray.from_arrays(pa.array(at), pa.array(signed(flat)))],
-                    ["doc_id", "digest", "set"],
+                    [rows.column("doc_id"), rows.column("digest"), pa.ListArray.from_arrays(pa.array(at), pa.array(signed(flat))), *sketches(sets)],
+                    ["doc_id", "digest", "set", *_WORDS],
                 )
 
     return giving_back(run)
@@ -119,10 +136,10 @@ def sub_keys(nodes: DataFrame) -> DataFrame:
         F.sequence(F.lit(0), F.lit(2 * SIDE - 1)),
         lambda i: F.struct(i.alias("i"), F.xxhash64(*[F.element_at("sig", i * PER_KEY + j + 1) for j in range(PER_KEY)]).alias("h")),
     )
-    # dealt once, for the counts and for the rows that they admit
-    rows = nodes.select("node", F.explode(sub).alias("s")).select("node", "s.i", "s.h").repartition("i", "h")
-    shared = rows.groupBy("i", "h").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
-    sides = rows.join(shared, ["i", "h"]).groupBy("node").agg(
+    rows = nodes.select("node", F.explode(sub).alias("s")).select("node", "s.i", "s.h")
+    # a window deals them once, for the counts and for the rows that they admit; a join would deal them twice
+    shared = rows.withColumn("c", F.count("*").over(Window.partitionBy("i", "h"))).filter("c > 1")
+    sides = shared.groupBy("node").agg(
         F.collect_list(F.when(F.col("i") < SIDE, F.col("h"))).alias("us"), F.collect_list(F.when(F.col("i") >= SIDE, F.col("h"))).alias("vs")
     )
     return sides.filter("size(us) > 0 AND size(vs) > 0")
@@ -149,48 +166,45 @@ def _compare(similarity: int):
     return run
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int, stars: bool = False) -> DataFrame:
-    """The ``pairs`` (a, b) that are similar enough, by their full sets.
-
-    Nodes are dealt into blocks; a set goes once to each pair of blocks in which it is compared. ``stars``
-    are pairs of few ``a`` with a ``b`` each that seldom has another: those of one ``a`` stay together.
-    """
-    if stars:
-        pairs = cut(pairs, "stars")
-        blocks = max(1, pairs.count() // BLOCK_NODES)
-        most = pairs.groupBy(F.col("a").alias("m")).agg(F.ceil(F.count("*") / BLOCK_NODES).alias("parts"))
-        dealt = pairs.join(most, F.col("a") == F.col("m")).drop("m").withColumn("y", F.pmod(F.xxhash64("b"), "parts"))
-        dealt = cut(dealt.withColumn("x", F.pmod(F.xxhash64("a"), F.lit(blocks))).drop("parts"), "pairs")
-    else:
-        blocks = max(1, sets.count() // BLOCK_NODES)
-        dealt = cut(pairs.withColumn("x", F.pmod(F.xxhash64("a"), F.lit(blocks))).withColumn("y", F.pmod(F.xxhash64("b"), F.lit(blocks))), "pairs")
-    needed = dealt.select("x", "y", F.explode(F.array("a", "b")).alias("node")).distinct()
-    held = needed.join(sets, "node").select(F.col("x").alias("x2"), F.col("y").alias("y2"), "node", "set")
+def _dealt_stars(pairs: DataFrame) -> DataFrame:
+    """``a, b, x, y``: pairs of few ``a`` with a ``b`` each that seldom has another, in blocks; those of one ``a`` stay together."""
+    pairs = cut(pairs, "stars")
+    blocks = max(1, pairs.count() // BLOCK_NODES)
+    most = pairs.groupBy(F.col("a").alias("m")).agg(F.ceil(F.count("*") / BLOCK_NODES).alias("parts"))
+    dealt = pairs.join(most, F.col("a") == F.col("m")).drop("m").withColumn("y", F.pmod(F.xxhash64("b"), "parts"))
+    return cut(dealt.withColumn("x", F.pmod(F.xxhash64("a"), F.lit(blocks))).drop("parts"), "pairs")
+
+
+def _dealt(pairs: DataFrame, nodes: int) -> DataFrame:
+    """``a, b, x, y``: pairs of so many nodes, in pairs of blocks of nodes."""
+    blocks = max(1, nodes // BLOCK_NODES)
+    return cut(pairs.withColumn("x", F.pmod(F.xxhash64("a"), F.lit(blocks))).withColumn("y", F.pmod(F.xxhash64("b"), F.lit(blocks))), "pairs")
+
+
+def _needed(dealt: DataFrame) -> DataFrame:
+    """``x, y, node``: a set goes once to each pair of blocks in which it is compared."""
+    sides = [dealt.select("x", "y", F.col(c).alias("node")).distinct() for c in ("a", "b")]
+    return sides[0].union(sides[1]).distinct()
+
+
+def _similar(dealt: DataFrame, held: DataFrame, similarity: int) -> DataFrame:
+    """``a, b`` of the dealt pairs that are similar enough, by their full sets ``held`` (x, y, node, set)."""
+    held = held.select(F.col("x").alias("x2"), F.col("y").alias("y2"), "node", "set")
     return dealt.groupBy("x", "y").cogroup(held.groupBy("x2", "y2")).applyInArrow(_compare(similarity), "a bigint, b bigint")
 
 
-@giving_back
-def _sketch_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A bit of each of ``SKETCH`` further minimum hashes, packed into 64-bit numbers."""
-    random = np.random.default_rng(17)
-    factor = random.integers(1, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    shift = random.integers(1, 2**63, SKETCH, dtype=np.uint64)
-    for batch in batches:
-        out = np.zeros((batch.num_rows, SKETCH), bool)
-        for i, own in enumerate(batch.column("set")):
-            values = own.values.to_numpy().view(np.uint64)
-            for j in range(0, SKETCH, 64):
-                low = (values[:, None] * factor[j : j + 64] + shift[j : j + 64]).min(axis=0)
-                out[i, j : j + 64] = (mix(low) & np.uint64(1)).astype(bool)
-        words = np.packbits(out, axis=1, bitorder="little").view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("node"), *(pa.array(np.ascontiguousarray(w)) for w in words.T)], ["node", *_WORDS])
+def _confirmed(pairs: DataFrame, sets: DataFrame, similarity: int, stars: bool = False) -> DataFrame:
+    """The ``pairs`` (a, b) that are similar enough, by the full ``sets`` (node, set); ``stars`` are pairs as of ``_dealt_stars``."""
+    dealt = _dealt_stars(pairs) if stars else _dealt(pairs, sets.count())
+    return _similar(dealt, _needed(dealt).join(sets.select("node", "set"), "node"), similarity)
 
 
 def _shared_elsewhere(placed: DataFrame, sets: DataFrame) -> DataFrame:
     """``node, shared``: how many shingles some node of another component has; no partner shares more."""
-    shingles = sets.join(placed.select("node", "root").distinct(), "node").select("node", "root", F.explode("set").alias("s")).repartition("s")
-    elsewhere = shingles.groupBy("s").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("s")
-    return shingles.join(elsewhere, "s").groupBy("node").agg(F.count("*").alias("shared"))
+    shingles = sets.join(placed.select("node", "root").distinct(), "node").select("node", "root", F.explode("set").alias("s"))
+    same = Window.partitionBy("s")
+    elsewhere = shingles.withColumns({"r1": F.min("root").over(same), "r2": F.max("root").over(same)}).filter("r1 <> r2")
+    return elsewhere.groupBy("node").agg(F.count("*").alias("shared"))
 
 
 def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
@@ -202,43 +216,49 @@ def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
     )
     nodes = cut(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     sides = cut(sub_keys(nodes.select("node", "sig")), "sides")
-    keys = tensor_keys(sides).repartition("key")
-    counts = keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1")
-    keys = cut(keys.join(counts, "key"), "buckets")
+    bucket = Window.partitionBy("key")
+    keys = cut(tensor_keys(sides).withColumn("c", F.count("*").over(bucket)).filter("c > 1"), "buckets")
     meets = keys.groupBy("node").agg(F.sum("c").alias("meets"))
     reps = keys.join(meets, "node").groupBy("key").agg(F.max(F.struct("meets", "node"))["node"].alias("rep"))
 
-    met = nodes.join(keys.select("node").distinct(), "node").select("node", "of.doc_id", "of.digest")
-    met = cut(met, "met")
-    held = shared(bitmap(met, "digest"))
-    texts = _keyed(docs).mapInArrow(_sets_task(held), "doc_id bigint, digest bigint, set array<bigint>")
-    same = met["doc_id"].eqNullSafe(texts["doc_id"]) & (met["digest"] == texts["digest"])
-    sets = cut(texts.join(met, same).select("node", "set").dropDuplicates(["node"]), "sets")
-
     size = nodes.select("node", "n")
     close = F.least("na", "nb") * 100 >= F.greatest("na", "nb") * similarity
     pairs = keys.join(reps, "key").filter("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
     pairs = pairs.join(size.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
     pairs = pairs.join(size.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b").filter(close).select("a", "b")
-    links = cut(_confirmed(pairs, sets, similarity, stars=True), "links")
+    dealt = _dealt_stars(pairs)
+
+    met = nodes.join(keys.select("node").distinct(), "node").select("node", "of.doc_id", "of.digest")
+    met = cut(met.withColumn("seek", F.xxhash64("digest", "doc_id")), "met")
+    held = shared(bitmap(met, "seek"))
+    texts = _keyed(docs).withColumn("seek", F.xxhash64("digest", "doc_id"))
+    texts = texts.mapInArrow(_sets_task(held), "doc_id bigint, digest bigint, set array<bigint>, " + ", ".join(f"{w} bigint" for w in _WORDS))
+    # a text is known by its id, which may be null, and its digest; repeats are dropped where the join has dealt them
+    row = {"id": F.coalesce("doc_id", F.lit(0)), "none": F.isnull("doc_id")}
+    blocks = _needed(dealt).groupBy(F.col("node").alias("of")).agg(F.collect_list(F.struct("x", "y")).alias("blocks"))
+    met = met.join(blocks, F.col("node") == F.col("of"), "left").withColumns(row).select(*row, "digest", "node", "blocks")
+    sets = texts.withColumns(row).join(met, [*row, "digest"]).dropDuplicates([*row, "digest"])
+    sets = cut(sets.select("node", "set", "blocks", *_WORDS), "sets")
+    links = cut(_similar(dealt, sets.select("node", "set", F.explode("blocks").alias("in")).select("in.x", "in.y", "node", "set"), similarity), "links")
     roots = cut(components(links), "roots")
 
     about = size.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     placed = keys.select("key", "u", "v", "node").join(about, "node")
-    mixed = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.min("n").alias("least"))
-    placed = cut(placed.join(mixed.filter("r1 <> r2").select("key", "least"), "key"), "mixed")
-    more_about = _shared_elsewhere(placed, sets).join(sides, "node").join(sets, "node")
-    more_about = cut(more_about.select("node", "shared", "us", "vs").join(more_about.select("node", "set").mapInArrow(_sketch_task, "node bigint, " + ", ".join(f"{w} bigint" for w in _WORDS)), "node"), "about")
+    placed = placed.withColumns({"r1": F.min("root").over(bucket), "r2": F.max("root").over(bucket), "least": F.min("n").over(bucket)})
+    placed = cut(placed.filter("r1 <> r2").drop("r1", "r2"), "mixed")
+    more_about = _shared_elsewhere(placed, sets).join(sides, "node").join(sets.select("node", *_WORDS), "node")
+    more_about = cut(more_about.select("node", "shared", "us", "vs", *_WORDS), "about")
     smallest = F.greatest("least", F.ceil(F.col("n") * similarity / 100))
     enough = F.col("shared") * (100 + similarity) >= (F.col("n") + smallest) * similarity
     placed = placed.join(more_about, "node").filter(enough).drop("least").repartition("key")
-    left = placed.select("key", "u", "v", *[F.col(c).alias("a_" + c) for c in placed.columns if c not in ("key", "u", "v")])
-    right = placed.select("key", *[F.col(c).alias("b_" + c) for c in placed.columns if c not in ("key", "u", "v")])
+    # both sides have the same columns, and so are dealt once
+    left, right = (placed.select("key", *[F.col(c).alias(side + c) for c in placed.columns if c != "key"]) for side in ("a_", "b_"))
     similar_size = F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * similarity
     possible = F.least("a_shared", "b_shared") * (100 + similarity) >= (F.col("a_n") + F.col("b_n")) * similarity
     differ = sum((F.bit_count(F.col("a_" + w).bitwiseXOR(F.col("b_" + w))) for w in _WORDS), F.lit(0))
     # a pair may share many keys: it is taken at that of its least common sub-keys
-    once = (F.array_min(F.array_intersect("a_us", "b_us")) == F.col("u")) & (F.array_min(F.array_intersect("a_vs", "b_vs")) == F.col("v"))
+    earliest = lambda c: F.array_min(F.array_intersect(f"a_{c}s", f"b_{c}s")) == F.least("a_" + c, "b_" + c)
+    once = earliest("u") & earliest("v")
     met_across = (left["key"] == right["key"]) & (F.col("a_root") < F.col("b_root")) & similar_size & possible
     across = left.join(right, met_across & (differ <= SKETCH - SKETCH_AGREE) & once)
     across = across.select(F.col("a_node").alias("a"), F.col("b_node").alias("b"))

@@ -126,3 +126,25 @@ def test_components_of_few_edges_take_few_jobs(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert got == _reached(edges)
     assert 0 < len(jobs) <= 12
+
+
+def test_rows_are_dealt_once_for_their_counts_and_themselves(spark):
+    sigs = [(i, [1 + (i % 7) * (j % 3) for j in range(minhash_tensor.HASHES)]) for i in range(40)]
+    sides = minhash_tensor.sub_keys(spark.createDataFrame(sigs, "node bigint, sig array<int>"))
+    sets = spark.createDataFrame([(1, [1, 2, 3]), (2, [2, 3, 4]), (3, [3, 4, 5]), (4, [9])], "node bigint, set array<bigint>")
+    placed = spark.createDataFrame([(1, 1), (2, 1), (2, 1), (3, 3), (4, 3)], "node bigint, root bigint")
+    elsewhere = minhash_tensor._shared_elsewhere(placed, sets)
+    assert sorted(map(tuple, elsewhere.collect())) == [(1, 1), (2, 2), (3, 2)]
+    for frame, key in ((sides, "i#"), (elsewhere, "s#")):
+        assert frame._jdf.queryExecution().sparkPlan().toString().count("Generate") == 1
+        initial = frame._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        assert initial.count(f"Exchange hashpartitioning({key}") == 1
+
+
+def test_sketches_do_not_depend_on_the_parts_taken(monkeypatch):
+    import numpy as np
+
+    sets = [np.random.default_rng(n).integers(1, 2**63, n, dtype=np.uint64) for n in (1, 7, 50)] + [np.empty(0, np.uint64)]
+    whole = [w.to_pylist() for w in minhash_tensor.sketches(sets)]
+    monkeypatch.setattr(minhash_tensor, "SKETCH_SHINGLES", 7)
+    assert [w.to_pylist() for w in minhash_tensor.sketches(sets)] == whole and len(whole) == minhash_tensor.SKETCH // 64
