@@ -66,7 +66,7 @@ def test_a_penalty_draws_values_to_the_mean_and_columns_of_many_values_are_cut_a
     assert shared_trees._places({1.0: 3, 2.0: 1, 4.0: 9}).tolist() == [1.5, 3.0] and len(shared_trees._places({})) == 0
 
 
-@pytest.mark.parametrize("name", ["cross_fit_estimates"])
+@pytest.mark.parametrize("name", ["cross_fit_estimates", "reward_model_comparison"])
 def test_queries_fit_every_tree_of_the_model(spark, train, monkeypatch, name):
     """They take the boosted model as it is, not one of fewer trees."""
     asked = []
