@@ -367,7 +367,7 @@ def score(docs: DataFrame, held_out, vocabulary_path: str, iterations: int = ITE
     columns = [f"c{k}" for k in range(languages)]
     kinds_of = ", ".join(f"{c} array<int>" for c in columns)
     schema = f"words array<binary>, doc_id array<bigint>, held_out array<boolean>, language array<int>, at array<int>, ids array<int>, counts array<int>, {kinds_of}"
-    blocks = cut(rows.mapInArrow(_block_task(languages), schema).withColumn("block", F.monotonically_increasing_id()), "blocks")
+    blocks = cut(rows.mapInArrow(_block_task(languages), schema).withColumn("block", F.monotonically_increasing_id()), "blocks", rows_at_once=1)
     held = blocks.select("block", F.posexplode(F.arrays_zip("words", *columns)).alias("number", "w"))
     held = held.select("block", "number", F.col("w.words").alias("word"), *[F.col(f"w.{c}").alias(c) for c in columns])
     counted = cut(held.groupBy("word").agg(*[F.sum(c).alias(c) for c in columns]), "words")

@@ -3,11 +3,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from decisionlake.llm import lattice_lm
 from decisionlake.llm.queries import vocabulary
+from decisionlake.sources import storage
 from tests.llm.helpers import documents, prose, with_clashes, words
 
 PATH = vocabulary("piece_bpe_32k.model")
@@ -132,3 +134,23 @@ def test_scores_equal_a_model_of_listed_segmentations(spark, monkeypatch):
 
 def test_long_pieces_of_the_vocabulary_are_kept():
     assert max(len(p) for p in lattice_lm.pieces(PATH)) > 16
+
+
+def test_a_task_holds_one_block_at_a_time(spark, monkeypatch):
+    """A block is many MB: rows that are written or read together must not be as many as a task has blocks."""
+    rows = documents(spark, [(i, prose(i, 60)) for i in range(40)]).coalesce(1)
+    whole = sorted(map(tuple, lattice_lm.score(rows, held_out(), PATH).collect()))
+    kept = {}
+
+    def cut(df, name, *more, **options):
+        kept[name] = storage.cut(df, name, *more, **options)
+        return kept[name]
+
+    monkeypatch.setattr(lattice_lm, "cut", cut)
+    monkeypatch.setattr(lattice_lm, "BLOCK_BYTES", 1)
+    monkeypatch.setattr(lattice_lm, "slices", lambda batch: (batch.slice(i, 4) for i in range(0, batch.num_rows, 4)))
+    found = sorted(map(tuple, lattice_lm.score(rows, held_out(), PATH).collect()))
+    files = [pq.ParquetFile(path.removeprefix("file://")).metadata for path in kept["blocks"].inputFiles()]
+    groups = [f.row_group(i).num_rows for f in files for i in range(f.num_row_groups)]
+    assert groups == [1] * 10
+    assert len(found) == len(whole) and all(a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], abs=1e-9) for a, b in zip(found, whole))
